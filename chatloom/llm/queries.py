@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chatloom.llm import chunks, packing, pii
 from chatloom.llm.exact_dedup import exact_groups
 from chatloom.llm.langid import detect_language
 from chatloom.llm.quality import quality_scores
@@ -15,6 +16,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack_documents(_table(spark, sf_dir, "documents")))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -23,12 +28,20 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_language(_table(spark, sf_dir, "documents"))
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_personal_data(_table(spark, sf_dir, "documents")))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.digest(chunks.duplicate_runs(_table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_exact_dedup, op6_language_id, op8_quality)}
+    return {f.__name__: f for f in (op3_packing, op4_exact_dedup, op6_language_id, op7_personal_data, op8_quality, op10_chunk_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
