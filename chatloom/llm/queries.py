@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from chatloom.llm import chunks, packing, pii
 from chatloom.llm.exact_dedup import exact_groups
 from chatloom.llm.langid import detect_language
+from chatloom.llm.minhash import near_duplicate_classes
 from chatloom.llm.quality import quality_scores
 
 
@@ -36,12 +37,16 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicate_classes(_table(spark, sf_dir, "documents"))
+
+
 def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.digest(chunks.duplicate_runs(_table(spark, sf_dir, "documents")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_packing, op4_exact_dedup, op6_language_id, op7_personal_data, op8_quality, op10_chunk_dedup)}
+    return {f.__name__: f for f in (op3_packing, op4_exact_dedup, op6_language_id, op7_personal_data, op8_quality, op9_minhash, op10_chunk_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
