@@ -30,7 +30,7 @@ from chatloom.llm.common import documents, slices
 
 CAPACITY, PIECE, BLOCK_WINDOWS, END = 4096, 1024, 128, 2
 #: Words that a worker remembers, and the longest word that it does.
-CACHE, CACHED_CHARS = 250_000, 64
+CACHE, CACHED_CHARS = 1_000_000, 64
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, ids binary"
 
 
@@ -44,7 +44,7 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
 
     def encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def __missing__(self, word: str) -> bytes:
         return self.encode([word])[0]
