@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chatloom.llm import chunks, packing, pii
+from chatloom.llm.decontam import contaminated
 from chatloom.llm.exact_dedup import exact_groups
 from chatloom.llm.langid import detect_language
 from chatloom.llm.minhash import near_duplicate_classes
@@ -25,6 +26,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return detect_language(_table(spark, sf_dir, "documents"))
 
@@ -46,7 +51,7 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_packing, op4_exact_dedup, op6_language_id, op7_personal_data, op8_quality, op9_minhash, op10_chunk_dedup)}
+    return {f.__name__: f for f in (op3_packing, op4_exact_dedup, op5_decontamination, op6_language_id, op7_personal_data, op8_quality, op9_minhash, op10_chunk_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
