@@ -5,11 +5,12 @@ document frequency, which is counted over all documents in DF_BUCKETS hash bucke
 [1, 2]: 1 + ln((N + 1) / (df + 1)) / ln(N + 1). BANDS x ROWS samples a text give bands; texts that share a band are
 candidates. With weighted Jaccard similarity 0.8 a pair shares one with probability 0.9998.
 
-Texts with the same shingle multiset are one node from the start. In a band's bucket, members are compared by their
-samples with the bucket's leaders, not with each other: a member is a candidate pair with every leader that may be
-similar, and becomes a leader if none is close. Large buckets are dealt in blocks, whose leaders meet in a second level,
-block by block, so nothing grows with the square of a group's copies and no task holds a group. Candidate pairs are
-verified on the exact vectors; classes are the connected components of verified links of THRESHOLD or more.
+Texts with the same shingle multiset are one node from the start. In a band's bucket, dealt in blocks, each member is first
+paired with the one before it that shares the most samples: pairs grow in proportion to members. Candidate pairs are
+verified on the exact vectors, and components of verified links of THRESHOLD or more are made. Then all pairs that share a
+bucket, may be similar and lie in different components are verified too: of each, one is not in the bucket's commonest component,
+so those few are compared with all members. No link between different components is left out, and pairs within a component
+aren't listed. Classes are the components of all verified links.
 
 Defined results: null counts as empty text; a text with fewer than five words has one shingle of all its words; a text without
 words is a class of its own; class_id is the smallest doc_id of the class; rows that repeat are returned as often; an empty table gives
@@ -31,8 +32,8 @@ from chatloom.llm.graph import components
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 4
 DF_BUCKETS = 1 << 18
-#: Shares of equal samples from which a pair is a candidate (0.8 is 4.5 standard deviations above), and a member is close.
-MAYBE, CLOSE = 0.55, 0.8
+#: Shares of equal samples from which a pair is a candidate (0.8 is 3.5 standard deviations above).
+MAYBE = 0.625
 BLOCK = 512
 _STEP = np.cumprod(np.full(SHINGLE, 0xD6E8FEB86659FD93, np.uint64))
 _K = BANDS * ROWS
@@ -146,24 +147,24 @@ def signatures(docs: DataFrame, weights) -> DataFrame:
     return documents(docs).mapInArrow(run, "doc_id long, node binary, bands array<long>, samples binary")
 
 
-def _leaders(keys: list, x: np.ndarray) -> tuple[list[tuple], list[int]]:
-    """Candidate pairs (member, leader) of one group, and its leaders' places."""
-    pairs, lead = [], [0]
+def _partners(keys: list, x: np.ndarray) -> list[tuple]:
+    """For each member of a group but the first, the most similar one before it, if it may be similar."""
+    pairs = []
     for i in range(1, len(keys)):
-        share = (x[lead] == x[i]).mean(1)
-        pairs += [(keys[i], keys[lead[j]]) for j in np.flatnonzero(share >= MAYBE).tolist()]
-        if share.max() < CLOSE:
-            lead.append(i)
-    return pairs, lead
+        share = (x[:i] == x[i]).mean(1)
+        j = int(share.argmax())
+        if share[j] >= MAYBE:
+            pairs.append((keys[i], keys[j]))
+    return pairs
 
 
-def _across(keys: list, x: np.ndarray, side: np.ndarray, same: bool) -> list[tuple]:
-    """Candidate pairs of two blocks of leaders."""
-    pairs = []
-    for i in range(len(keys)):
-        others = np.flatnonzero(side > side[i]) if not same else np.arange(i)
-        if len(others):
-            pairs += [(keys[i], keys[j]) for j in others[(x[others] == x[i]).mean(1) >= MAYBE].tolist()]
+def _strangers(keys: list, x: np.ndarray, labels: list, few: list, rare: bool) -> list[tuple]:
+    """Pairs that may be similar of a member whose label is rare in the bucket and one with another label, rare too or not."""
+    pairs, few, labels = [], np.array(few), np.array(labels, object)
+    for i in np.flatnonzero(few).tolist():
+        other = np.flatnonzero((labels != labels[i]) & ((np.arange(len(keys)) < i) if rare else ~few))
+        if len(other):
+            pairs += [(keys[i], keys[j]) for j in other[(x[other] == x[i]).mean(1) >= MAYBE].tolist()]
     return pairs
 
 
@@ -205,37 +206,55 @@ def _grouped(table: DataFrame, by: list[str], kernel, schema: str) -> DataFrame:
     return table.repartition(*by).sortWithinPartitions(*by, "node").mapInArrow(run, schema)
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of nodes that may be similar; nodes: node, bands, samples."""
+def shared_bands(nodes: DataFrame) -> DataFrame:
+    """band, key, n, node, samples of the nodes that share a band with another; nodes: node, bands, samples."""
     rows = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    shared = rows.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = materialize(shared, "bands")
-    multi = rows.join(shared, ["band", "key"]).join(nodes.select("node", "samples"), "node")
-    blocks = F.ceil(F.col("n") / BLOCK)
-    multi = multi.select("band", "key", F.pmod(F.xxhash64("node", "band"), blocks).cast("long").alias("block"), (blocks > 1).alias("more"), "node", "samples")
-
-    def first(g: dict) -> list[tuple]:
-        keys, x = g["node"], np.frombuffer(b"".join(g["samples"]), np.uint16).reshape(len(g["node"]), -1)
-        pairs, lead = _leaders(keys, x)
-        out = [(a, b, None, None, None) for a, b in pairs]
-        if g["more"][0]:
-            out += [(keys[i], None, g["band"][0], g["key"][0], g["samples"][i]) for i in lead]
-        return out
+    shared = rows.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("centre")).where("n > 1")
+    return rows.join(shared, ["band", "key"]).join(nodes.select("node", "samples"), "node").select("band", "key", "n", "centre", "node", "samples")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
-    level = materialize(_grouped(multi, ["band", "key", "block"], first, "a binary, b binary, band int, key long, samples binary"), "pairs")
-    lead = level.where("b is null").select("band", "key", F.col("a").alias("node"), "samples")
-    sizes = lead.groupBy("band", "key").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
-    lead = lead.join(sizes, ["band", "key"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")))
-    cells = lead.select("band", "key", "node", "samples", "own", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("other"))
-    cells = cells.select("band", "key", "node", "samples", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
 
-    def second(g: dict) -> list[tuple]:
+def first_pairs(shared: DataFrame) -> DataFrame:
+    """Each member with its most similar one before it in its block of each bucket; the bucket's smallest node is in every block."""
+    blocks = F.ceil(F.col("n") / BLOCK).cast("long")
+    dealt = shared.withColumn("blocks", F.when(F.col("node") == F.col("centre"), F.sequence(F.lit(0).cast("long"), blocks - 1)).otherwise(F.array(F.pmod(F.xxhash64("node", "band"), blocks))))
+    dealt = dealt.select("band", "key", F.explode("blocks").alias("block"), "node", "samples")
+
+    def kernel(g: dict) -> list[tuple]:
+        return _partners(g["node"], np.frombuffer(b"".join(g["samples"]), np.uint16).reshape(len(g["node"]), -1))
+
+    return _ordered(_grouped(dealt, ["band", "key", "block"], kernel, "a binary, b binary"))
+
+
+def other_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
+    """All pairs of a bucket that may be similar and whose components differ. Of such a pair at least one is not in the bucket's
+    commonest component, so those few are compared with all members, block by block."""
+    named = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).drop("centre")
+    counts = named.groupBy("band", "key", "label").agg(F.count("*").alias("c"))
+    top = counts.groupBy("band", "key").agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("kinds")).where("kinds > 1")
+    named = named.join(top.select("band", "key", F.col("top.label").alias("most"), F.col("top.c").alias("c")), ["band", "key"])
+    few = F.col("label") != F.col("most")
+    blocks, rare = F.ceil(F.col("n") / BLOCK).cast("long"), F.ceil((F.col("n") - F.col("c")) / BLOCK).cast("long")
+    h = F.xxhash64("node", "band")
+    all_of = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+    named = named.withColumn("few", few).withColumn("own", F.pmod(h, rare)).withColumn("rare", rare).withColumn("blocks", blocks)
+    columns = ["band", "key", "node", "samples", "label", "few"]
+    # the rare against the common: a cell for each block of the common and each of the rare
+    mixed = named.select(*columns, "own", "rare", F.explode(F.when(F.col("few"), all_of(F.col("blocks"))).otherwise(F.array(F.pmod(h, F.col("blocks"))))).alias("low"))
+    mixed = mixed.select(*columns, "low", F.explode(F.when(F.col("few"), F.array("own")).otherwise(all_of(F.col("rare")))).alias("high"), F.lit(0).alias("kind"))
+    # the rare among each other: a cell for each two blocks
+    rares = named.where("few").select(*columns, "own", F.explode(all_of(F.col("rare"))).alias("other"))
+    rares = rares.select(*columns, F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), F.lit(1).alias("kind"))
+    cell = mixed.unionByName(rares)
+
+    def kernel(g: dict) -> list[tuple]:
         x = np.frombuffer(b"".join(g["samples"]), np.uint16).reshape(len(g["node"]), -1)
-        return _across(g["node"], x, np.array(g["own"]), g["low"][0] == g["high"][0])
+        return _strangers(g["node"], x, g["label"], g["few"], g["kind"][0] == 1)
 
-    across = _grouped(cells, ["band", "key", "low", "high"], second, "a binary, b binary")
-    pairs = level.where("b is not null").select("a", "b").unionByName(across)
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return _ordered(_grouped(cell, ["band", "key", "kind", "low", "high"], kernel, "a binary, b binary"))
 
 
 def vectors(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -295,11 +314,19 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     some = signed.where("node is not null")
     groups = some.groupBy("node").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"))
     nodes = materialize(some.join(groups, "node").where(F.col("doc_id").eqNullSafe(F.col("rep"))).dropDuplicates(["node"]).select("node", "rep", "copies", "bands", "samples"), "nodes")
-    pairs = materialize(candidates(nodes), "pairs")
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = nodes.join(ends, "node", "left_semi").select(F.col("rep").alias("wanted"))
-    links = materialize(verified(pairs, vectors(docs, wanted), weights), "links")
+    shared = materialize(shared_bands(nodes), "shared")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        wanted = nodes.join(ends, "node", "left_semi").select(F.col("rep").alias("wanted"))
+        return materialize(verified(pairs, vectors(docs, wanted), weights), "links")
+
+    links = linked(materialize(first_pairs(shared), "pairs"))
     labels = components(links)
+    more = materialize(other_pairs(shared, labels).join(links.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    if not more.isEmpty():
+        links = links.unionByName(linked(more))
+        labels = components(links)
     named = nodes.select("node", "rep", "copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     sizes = named.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"))
     named = materialize(named.join(sizes, "label").select("node", "copies", "class_id", "class_size"), "classes")
