@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from chatloom.llm import chunks, packing, pii, suffix
+from chatloom.llm.chat import reply_ordered
 from chatloom.llm.decontam import contaminated
 from chatloom.llm.exact_dedup import exact_groups
 from chatloom.llm.langid import detect_language
@@ -22,6 +23,10 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.digest(suffix.cut_repeats(_table(spark, sf_dir, "documents")))
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reply_ordered(_table(spark, sf_dir, "conversations"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack_documents(_table(spark, sf_dir, "documents")))
 
@@ -55,7 +60,7 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op3_packing, op4_exact_dedup, op5_decontamination, op6_language_id, op7_personal_data, op8_quality, op9_minhash, op10_chunk_dedup)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_chat_format, op3_packing, op4_exact_dedup, op5_decontamination, op6_language_id, op7_personal_data, op8_quality, op9_minhash, op10_chunk_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
