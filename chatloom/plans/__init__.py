@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from chatloom.plans import metrics
-
 
 def registry() -> dict:
+    from chatloom.plans import clusters, facts, metrics, texts, vectors
+
     out: dict = {}
-    for module in (metrics,):
+    for module in (metrics, facts, texts, vectors, clusters):
         for name, entry in module.QUERIES.items():
             if name in out:
                 raise ValueError(f"two queries named {name}")
