@@ -1 +1,108 @@
-QUERIES = {}
+"""Queries of matching, assignment and cluster quality."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from chatloom.functions.vectors import cosine, euclidean
+from chatloom.operators import assign as A
+from chatloom.operators import lexical as L
+from chatloom.operators import vector_quality as Q
+from chatloom.plans import views as V
+from chatloom.session import table
+
+#: Scaled to the synthetic vectors, so that every status occurs.
+LOOSE = A.Thresholds(primary=0.28, gap=0.02, borderline=0.25)
+SCORES = f"{V.VECTORS}, sc AS (SELECT message, theme, max(list_cosine_similarity(vm.v, vp.v)) AS score FROM vm, vp GROUP BY 1, 2)"
+DECIDED = """rk AS (SELECT message, theme, round(score, 9) AS s, lead(round(score, 9)) OVER w AS second, row_number() OVER w AS nth FROM sc WINDOW w AS (PARTITION BY message ORDER BY round(score, 9) DESC, theme)),
+    de AS (SELECT message, theme, s, coalesce(s - second, 1.0) AS gap, CASE WHEN s >= {p} AND round(coalesce(s - second, 1.0), 9) >= {g} THEN 'confident' WHEN s >= {b} THEN 'borderline' ELSE 'miscellaneous' END AS status FROM rk WHERE nth = 1)"""
+_loose = DECIDED.format(p=0.28, g=0.02, b=0.25)
+_strict = DECIDED.format(p=0.5, g=0.04, b=0.45)
+_scores = lambda s, d: A.theme_scores(V.vec_messages(s, d), V.vec_phrases(s, d))
+_clusters = lambda s, d: table(s, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("long").alias("cluster"), F.col("embedding").alias("v"))
+_texts = lambda s, d: table(s, d, "part").where("p_partkey <= 4000").select(F.col("p_partkey").alias("message"), F.concat_ws(" ", "p_name", F.lower("p_type")).alias("text"))
+TEXTS = "tx AS (SELECT p_partkey AS message, p_name || ' ' || lower(p_type) AS text FROM part WHERE p_partkey <= 4000)"
+CL = "cl AS (SELECT vec_id AS id, CAST(label AS BIGINT) AS cluster, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
+BM25 = f"""{TEXTS}, {V.NAMES}, pw AS (SELECT phrase, list_filter(regexp_split_to_array(lower(phrase), '\\s+'), lambda w: w <> '') AS w FROM names),
+    sz AS (SELECT count(*) AS n, avg(CAST(len(w) AS DOUBLE)) AS mean FROM pw), pt AS (SELECT phrase, len(w) AS dl, unnest(w) AS word FROM pw), tf AS (SELECT phrase, dl, word, count(*) AS tf FROM pt GROUP BY 1, 2, 3),
+    idf AS (SELECT word, ln((n + 1) / count(*)) AS idf, mean FROM tf, sz GROUP BY word, n, mean),
+    qw AS (SELECT message, unnest(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda w: w <> '')) AS word FROM tx), q AS (SELECT message, qw.word, count(*) AS q, any_value(idf) AS idf, any_value(mean) AS mean FROM qw JOIN idf USING (word) GROUP BY 1, 2),
+    bs AS (SELECT message, sum(q * idf) AS base FROM q GROUP BY 1), hit AS (SELECT message, phrase, sum(q * idf * (tf * 2.5 / (1.5 * (0.25 + 0.75 * dl / mean) + tf))) AS more FROM q JOIN tf USING (word) GROUP BY 1, 2),
+    bm AS (SELECT tx.message, hit.phrase, coalesce(base, 0) + coalesce(more, 0) AS raw FROM tx LEFT JOIN bs USING (message) LEFT JOIN hit USING (message))"""
+
+
+def _fused(s, d):
+    raw = L.bm25plus(_texts(s, d), V.product_names(s, d)).where("phrase is not null")
+    return A.fused(raw.select("message", "phrase", F.lit(0.5).alias("cosine"), "raw", F.lit(0.8).alias("fuzzy")))
+
+
+FUSED = f"{BM25}, fu AS (SELECT message, phrase, raw, 1 / (1 + exp(-(raw - 3) / 2)) AS norm, 0.55::DOUBLE * 0.5 + 0.30::DOUBLE * (1 / (1 + exp(-(raw - 3) / 2))) + 0.15::DOUBLE * 0.8 AS fusion FROM bm WHERE phrase IS NOT NULL)"
+
+QUERIES = {
+    "f19_cosine": (lambda s, d: table(s, d, "embeddings").alias("a").join(table(s, d, "embeddings").alias("b"), F.expr("a.vec_id + 1 = b.vec_id")).select(F.col("a.vec_id").alias("vec_id"), F.round(cosine(F.col("a.embedding"), F.col("b.embedding")), 6).alias("cos")), "SELECT a.vec_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS cos FROM embeddings a JOIN embeddings b ON a.vec_id + 1 = b.vec_id"),
+    "f20_euclidean": (lambda s, d: table(s, d, "embeddings").alias("a").join(table(s, d, "embeddings").alias("b"), F.expr("a.vec_id + 1 = b.vec_id")).select(F.col("a.vec_id").alias("vec_id"), F.round(euclidean(F.col("a.embedding"), F.col("b.embedding")), 6).alias("dist")), "SELECT a.vec_id, round(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS dist FROM embeddings a JOIN embeddings b ON a.vec_id + 1 = b.vec_id"),
+    "m1_theme_scores": (lambda s, d: _scores(s, d).select("message", "theme", F.round("score", 6).alias("score")), f"WITH {SCORES} SELECT message, theme, round(score, 6) AS score FROM sc"),
+    "m5_decide": (lambda s, d: A.decide(_scores(s, d)).select("message", "theme", F.round("score", 6).alias("score"), F.round("gap", 6).alias("gap"), "status"), f"WITH {SCORES}, {_strict} SELECT message, CASE WHEN status = 'miscellaneous' THEN -1 ELSE theme END AS theme, round(s, 6) AS score, round(gap, 6) AS gap, status FROM de"),
+    "m5_decide_loose": (lambda s, d: A.decide(_scores(s, d), LOOSE).select("message", "theme", F.round("score", 6).alias("score"), F.round("gap", 6).alias("gap"), "status"), f"WITH {SCORES}, {_loose} SELECT message, CASE WHEN status = 'miscellaneous' THEN -1 ELSE theme END AS theme, round(s, 6) AS score, round(gap, 6) AS gap, status FROM de"),
+    "a29_status_counts": (lambda s, d: A.decide(_scores(s, d), LOOSE).groupBy("status").agg(F.count("*").alias("n")), f"WITH {SCORES}, {_loose} SELECT status, count(*) AS n FROM de GROUP BY status"),
+    "m6_boosted": (
+        lambda s, d: A.boosted(_scores(s, d), V.vec_messages(s, d).select("message", (F.col("message") % 10).alias("theme"))).select("message", "theme", F.round("score", 6).alias("score")),
+        f"WITH {SCORES} SELECT message, theme, round(CASE WHEN theme = message % 10 THEN least(score + 0.25, 1.0) ELSE score END, 6) AS score FROM sc",
+    ),
+    "m7_reassigned": (
+        lambda s, d: A.reassigned(A.decide(_scores(s, d), LOOSE), _scores(s, d), s.range(0, 9, 2).withColumnRenamed("id", "theme"), 0.26).select("message", "theme", "status", "moved"),
+        f"""WITH {SCORES}, {_loose}, best AS (SELECT message, arg_max(theme, struct_pack(s := round(score, 9), t := -theme)) AS better FROM sc WHERE theme % 2 = 0 AND theme < 9 GROUP BY 1)
+        SELECT message, CASE WHEN status = 'borderline' AND s > 0.26 THEN better WHEN status = 'miscellaneous' THEN -1 ELSE theme END AS theme, CASE WHEN status = 'borderline' AND s > 0.26 THEN 'confident' ELSE status END AS status,
+        CASE WHEN status = 'borderline' AND s > 0.26 THEN 1 ELSE 0 END AS moved FROM de JOIN best USING (message)""",
+    ),
+    "a28_dissolve_small": (
+        lambda s, d: A.dissolve_small(A.decide(_scores(s, d), LOOSE), 40).groupBy("theme", "status").agg(F.count("*").alias("n")),
+        f"""WITH {SCORES}, {_loose}, th AS (SELECT message, CASE WHEN status = 'miscellaneous' THEN -1 ELSE theme END AS theme, status FROM de), sm AS (SELECT theme FROM th WHERE theme >= 0 GROUP BY 1 HAVING count(*) < 40)
+        SELECT CASE WHEN theme IN (SELECT theme FROM sm) THEN -1 ELSE theme END AS theme, CASE WHEN theme IN (SELECT theme FROM sm) THEN 'borderline' ELSE status END AS status, count(*) AS n FROM th GROUP BY 1, 2""",
+    ),
+    "a27_coverage": (
+        lambda s, d: A.decide(_scores(s, d), LOOSE).agg(F.round(100 * F.avg((F.col("status") == "confident").cast("double")), 2).alias("confident_pct"), F.round(100 * F.avg((F.col("theme") >= 0).cast("double")), 2).alias("assigned_pct")),
+        f"WITH {SCORES}, {_loose} SELECT round(100 * avg(CASE WHEN status = 'confident' THEN 1.0::DOUBLE ELSE 0 END), 2) AS confident_pct, round(100 * avg(CASE WHEN status <> 'miscellaneous' THEN 1.0::DOUBLE ELSE 0 END), 2) AS assigned_pct FROM de",
+    ),
+    "m2_bm25plus": (lambda s, d: L.best_bm25(_texts(s, d), V.product_names(s, d)).select("message", F.round("raw", 6).alias("raw")), f"WITH {BM25} SELECT message, round(max(raw), 6) AS raw FROM bm GROUP BY 1"),
+    "m3_token_sort_ratio": (lambda s, d: L.token_sort_ratio(_texts(s, d), V.product_names(s, d)).select("message", F.round("best", 6).alias("best"), "phrase"), None),
+    "m4_fusion": (lambda s, d: _fused(s, d).select("message", "phrase", F.round("norm", 6).alias("norm"), F.round("fusion", 6).alias("fusion")), f"WITH {FUSED} SELECT message, phrase, round(norm, 6) AS norm, round(fusion, 6) AS fusion FROM fu"),
+    "m9_rescued": (
+        lambda s, d: A.rescued(_fused(s, d).withColumn("theme", F.crc32("phrase").cast("long")), A.Thresholds(rescue=0.6)).groupBy().agg(F.count("*").alias("rescued")),
+        f"WITH {FUSED} SELECT count(DISTINCT message) AS rescued FROM fu WHERE raw <> 0 AND (fusion > 0.6 OR (norm > 0.95 AND fusion > 0.65))",
+    ),
+    "a31_phrase_matches": (
+        lambda s, d: L.phrase_matches(_texts(s, d), V.product_names(s, d)),
+        f"WITH {TEXTS}, {V.NAMES}, w AS (SELECT DISTINCT message, unnest(regexp_split_to_array(lower(text), '\\s+')) AS word FROM tx), p AS (SELECT DISTINCT theme, phrase, unnest(regexp_split_to_array(lower(phrase), '\\s+')) AS word FROM names) SELECT theme, phrase, count(DISTINCT message) AS n FROM p JOIN w USING (word) GROUP BY 1, 2",
+    ),
+    "a23_centroids": (
+        lambda s, d: Q.centroids(_clusters(s, d)).select("cluster", "n", F.posexplode("centroid").alias("pos", "x")).select("cluster", "n", F.col("pos").cast("long").alias("pos"), F.round("x", 6).alias("x")),
+        f"WITH {CL}, l AS (SELECT cluster, unnest(v) AS x, unnest(range(len(v))) AS pos FROM cl) SELECT cluster, count(*) AS n, pos, round(avg(x), 6) AS x FROM l GROUP BY cluster, pos",
+    ),
+    "a24_coherence": (
+        lambda s, d: Q.coherence(_clusters(s, d)).select("cluster", "n", F.round("coherence", 6).alias("coherence")),
+        f"WITH {CL}, p AS (SELECT a.cluster, list_cosine_similarity(a.v, b.v) AS c FROM cl a JOIN cl b ON a.cluster = b.cluster AND a.id < b.id), g AS (SELECT cluster, avg(c) * (1 - stddev_pop(c)) AS co FROM p GROUP BY 1) SELECT cl.cluster, count(*) AS n, round(coalesce(any_value(co), 1.0), 6) AS coherence FROM cl LEFT JOIN g ON g.cluster = cl.cluster GROUP BY 1",
+    ),
+    "a24_mean_cosine": (
+        lambda s, d: Q.mean_cosine(_clusters(s, d)).select("cluster", "n", F.round("mean_cosine", 6).alias("mean_cosine")),
+        f"WITH {CL}, p AS (SELECT a.cluster, avg(list_cosine_similarity(a.v, b.v)) AS c FROM cl a JOIN cl b ON a.cluster = b.cluster AND a.id < b.id GROUP BY 1) SELECT cl.cluster, count(*) AS n, round(coalesce(any_value(c), 1.0), 6) AS mean_cosine FROM cl LEFT JOIN p ON p.cluster = cl.cluster GROUP BY 1",
+    ),
+    "a26_silhouette": (
+        lambda s, d: Q.silhouette_report(_clusters(s, d)),
+        f"""WITH {CL}, di AS (SELECT a.id, a.cluster, b.cluster AS other, avg(1 - list_cosine_similarity(a.v, b.v)) AS d FROM cl a JOIN cl b ON a.id <> b.id GROUP BY 1, 2, 3),
+        s AS (SELECT id, cluster, max(d) FILTER (other = cluster) AS a, min(d) FILTER (other <> cluster) AS b FROM di GROUP BY 1, 2), x AS (SELECT cluster, coalesce((b - a) / greatest(a, b), 0) AS si FROM s)
+        SELECT cluster, count(*) AS n, round(avg(si), 6) AS avg_silhouette, round(avg(CASE WHEN round(si, 9) > 0 THEN 1.0::DOUBLE ELSE 0 END), 4) AS positive_share FROM x GROUP BY 1""",
+    ),
+    "a25_dispersion": (
+        lambda s, d: Q.dispersion(_clusters(s, d)),
+        f"""WITH {CL}, l AS (SELECT cluster, unnest(v) AS x, unnest(range(len(v))) AS pos FROM cl), ce AS (SELECT cluster, pos, avg(x) AS x FROM l GROUP BY 1, 2), cv AS (SELECT cluster, list(x ORDER BY pos) AS c FROM ce GROUP BY 1),
+        d AS (SELECT cl.cluster, list_distance(v, c) AS d FROM cl JOIN cv USING (cluster)), st AS (SELECT cluster, quantile_cont(d, 0.25) AS q1, quantile_cont(d, 0.75) AS q3, stddev_pop(d) / avg(d) AS cv FROM d GROUP BY 1)
+        SELECT cluster, round(any_value(q1), 6) AS q1, round(any_value(q3), 6) AS q3, round(any_value(cv), 6) AS cv, count(*) FILTER (round(d, 9) > round(q3 + 0.5 * (q3 - q1), 9)) AS outliers FROM d JOIN st USING (cluster) GROUP BY 1""",
+    ),
+    "j12_similar_themes": (
+        lambda s, d: Q.similar_pairs(Q.centroids(_clusters(s, d)), 0.0).select("a", "b", F.round("similarity", 6).alias("similarity")),
+        f"""WITH {CL}, l AS (SELECT cluster, unnest(v) AS x, unnest(range(len(v))) AS pos FROM cl), ce AS (SELECT cluster, pos, avg(x) AS x FROM l GROUP BY 1, 2), cv AS (SELECT cluster, list(x ORDER BY pos) AS c FROM ce GROUP BY 1)
+        SELECT a.cluster AS a, b.cluster AS b, round(list_cosine_similarity(a.c, b.c), 6) AS similarity FROM cv a JOIN cv b ON a.cluster < b.cluster WHERE round(list_cosine_similarity(a.c, b.c), 9) >= 0""",
+    ),
+    "m16_local_outliers": (lambda s, d: Q.local_outliers(_clusters(s, d).where("id < 500")), None),
+}
