@@ -2,7 +2,7 @@
 
 Base spans of the four kinds come from fixed patterns, leftmost and non-overlapping for each kind, and always stay. The
 field adds spans of kind `secret` (keys and tokens) and further e-mail, ip, card and phone spans written in other ways.
-Zones (stretches around digits, @ signs and long mixed tokens) are cut into tokens; each run of up to MAX_TOKENS tokens is
+Zones (stretches around digits and @ signs) are cut into tokens (runs of letters and digits, else single characters); each run of up to MAX_TOKENS tokens is
 a candidate segment with whole-span features; a dynamic program over boundaries and types, in which a segment has at most
 MAX_TOKENS tokens, picks the best labelling. Weights are learned here, by the exact gradient of the log-likelihood over
 forward-backward sums, from a bounded sample: TRAIN_DOCS documents chosen by a hash of doc_id, at most TRAIN_CHARS
@@ -94,7 +94,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 #: A zone starts at a digit, @ or + and takes what personal data is written with; words next to it give context.
 ZONE = re.compile(r"[A-Za-z0-9._%+@\-]*[0-9@][A-Za-z0-9._%+@\-()/=:\"']*(?: [A-Za-z0-9._%+@\-()/=:\"']*[0-9@][A-Za-z0-9._%+@\-()/=:\"']*)*")
-TOKEN = re.compile(r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9]")
+TOKEN = re.compile(r"[A-Za-z0-9]+|[^A-Za-z0-9]")
 SIGNAL = re.compile(r"[0-9@]")
 #: A longer stretch is cut into zones of this many tokens.
 ZONE_TOKENS = 96
