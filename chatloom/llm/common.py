@@ -18,14 +18,17 @@ SLICE_CHARS = 1_000_000
 HOT_SHARE = 256
 
 
+_own_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share. Only a session without one (tests) gets a folder of its own."""
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = tempfile.mkdtemp(prefix="chatloom-")
-        spark.conf.set("spark.checkpoint.dir", found)
+        app = spark.sparkContext.applicationId
+        found = _own_dirs.get(app) or _own_dirs.setdefault(app, tempfile.mkdtemp(prefix="chatloom-"))
     return found.rstrip("/")
 
 
