@@ -9,8 +9,8 @@ Texts with the same shingle multiset are one node from the start. In a band's bu
 paired with the one before it that shares the most samples: pairs grow in proportion to members. Candidate pairs are
 verified on the exact vectors, and components of verified links of THRESHOLD or more are made. Then all pairs that share a
 bucket, may be similar and lie in different components are verified too: of each, one is not in the bucket's commonest component,
-so those few are compared with all members. No link between different components is left out, and pairs within a component
-aren't listed. Classes are the components of all verified links.
+so those few are compared with all members. That is done block by block on the exact vectors, so these pairs are never listed. No
+link that joins two components is left out. Classes are the components of all verified links.
 
 Defined results: null counts as empty text; a text with fewer than five words has one shingle of all its words; a text without
 words is a class of its own; class_id is the smallest doc_id of the class; rows that repeat are returned as often; an empty table gives
@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chatloom.llm import cells
 from chatloom.llm.common import attach, documents, materialize, mix, slices, words
 from chatloom.llm.graph import components
 
@@ -158,16 +159,6 @@ def _partners(keys: list, x: np.ndarray) -> list[tuple]:
     return pairs
 
 
-def _strangers(keys: list, x: np.ndarray, labels: list, few: list, rare: bool) -> list[tuple]:
-    """Pairs that may be similar of a member whose label is rare in the bucket and one with another label, rare too or not."""
-    pairs, few, labels = [], np.array(few), np.array(labels, object)
-    for i in np.flatnonzero(few).tolist():
-        other = np.flatnonzero((labels != labels[i]) & ((np.arange(len(keys)) < i) if rare else ~few))
-        if len(other):
-            pairs += [(keys[i], keys[j]) for j in other[(x[other] == x[i]).mean(1) >= MAYBE].tolist()]
-    return pairs
-
-
 def _grouped(table: DataFrame, by: list[str], kernel, schema: str) -> DataFrame:
     """kernel(table of one group) -> list of rows, over groups sorted within partitions; groups are bounded by BLOCK rows a block."""
     names = [x.split()[0] for x in schema.split(", ")]
@@ -190,7 +181,7 @@ def _grouped(table: DataFrame, by: list[str], kernel, schema: str) -> DataFrame:
         def packed(rows):
             return pa.RecordBatch.from_pylist([dict(zip(names, r, strict=True)) for r in rows], schema=arrow)
 
-        kinds = {"binary": pa.binary(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+        kinds = {"binary": pa.binary(), "long": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "double": pa.float64()}
         arrow = pa.schema([(x.split()[0], kinds[x.split()[1]]) for x in schema.split(", ")])
         for b in batches:
             t = pa.Table.from_batches([b]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([b])])
@@ -229,9 +220,10 @@ def first_pairs(shared: DataFrame) -> DataFrame:
     return _ordered(_grouped(dealt, ["band", "key", "block"], kernel, "a binary, b binary"))
 
 
-def other_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """All pairs of a bucket that may be similar and whose components differ. Of such a pair at least one is not in the bucket's
-    commonest component, so those few are compared with all members, block by block."""
+def other_links(docs: DataFrame, nodes: DataFrame, shared: DataFrame, labels: DataFrame, weights, threshold: float = THRESHOLD) -> DataFrame:
+    """a, b, similarity: verified links between components, enough to join all components that pairs of a bucket link. Of such
+    a pair at least one is not in the bucket's commonest component, so those few are compared with all members, cell by cell: first by
+    samples, then those that may be similar by their exact vectors. Pairs aren't listed, so a bucket of n texts makes n rows a cell."""
     named = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).drop("centre")
     counts = named.groupBy("band", "key", "label").agg(F.count("*").alias("c"))
     top = counts.groupBy("band", "key").agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("kinds")).where("kinds > 1")
@@ -250,11 +242,22 @@ def other_pairs(shared: DataFrame, labels: DataFrame) -> DataFrame:
     rares = rares.select(*columns, F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), F.lit(1).alias("kind"))
     cell = mixed.unionByName(rares)
 
-    def kernel(g: dict) -> list[tuple]:
+    names = ["band", "key", "kind", "low", "high", "node", "label", "few"]
+
+    def marked(g: dict) -> list[tuple]:
         x = np.frombuffer(b"".join(g["samples"]), np.uint16).reshape(len(g["node"]), -1)
-        return _strangers(g["node"], x, g["label"], g["few"], g["kind"][0] == 1)
+        keep = cells.candidates(x, g["label"], g["few"], g["kind"][0] == 1, MAYBE)
+        return [tuple(g[c][i] for c in names) for i in np.flatnonzero(keep).tolist()]
+
+    by = names[:5]
+    maybe = materialize(_grouped(cell, by, marked, "band int, key long, kind int, low long, high long, node binary, label binary, few boolean"), "cells")
+    wanted = nodes.join(maybe.select("node").distinct(), "node", "left_semi").select(F.col("rep").alias("wanted"))
+
+    def linked(g: dict) -> list[tuple]:
+        pairs = [(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint16)) for x, y in zip(g["s"], g["tf"], strict=True)]
+        return cells.links(g["node"], g["label"], g["few"], g["kind"][0] == 1, pairs, lambda x: weights.value[buckets(x)], similarity, threshold)
 
-    return _ordered(_grouped(cell, ["band", "key", "kind", "low", "high"], kernel, "a binary, b binary"))
+    return materialize(_grouped(maybe.join(vectors(docs, wanted), "node"), by, linked, "a binary, b binary, similarity double"), "links")
 
 
 def vectors(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -323,10 +326,9 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
 
     links = linked(materialize(first_pairs(shared), "pairs"))
     labels = components(links)
-    more = materialize(other_pairs(shared, labels).join(links.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    more = other_links(docs, nodes, shared, labels, weights)
     if not more.isEmpty():
-        links = links.unionByName(linked(more))
-        labels = components(links)
+        labels = components(links.unionByName(more))
     named = nodes.select("node", "rep", "copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     sizes = named.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"))
     named = materialize(named.join(sizes, "label").select("node", "copies", "class_id", "class_size"), "classes")
