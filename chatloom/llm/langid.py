@@ -130,8 +130,10 @@ class Model:
             c = s[start[:n] + t]
             now = self.table[state[:, :n] * ALPHABET + c]
             miss = now == 0
-            count[:, :n] += miss
             first = root_row[:, c]
+            # a symbol that the sample lacks ends the phrase before it, if there is one, and is a phrase of its own
+            count[:, :n] += miss
+            count[:, :n] += miss & (first == 0) & (state[:, :n] != root)
             state[:, :n] = np.where(miss, np.where(first == 0, root, first), now)
         out = np.zeros((len(self.langs), len(sizes)))
         for k in range(len(self.langs)):
