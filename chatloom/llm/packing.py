@@ -19,6 +19,7 @@ from __future__ import annotations
 import heapq
 import os
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +32,8 @@ from chatloom.llm.common import documents, slices
 CAPACITY, PIECE, BLOCK_WINDOWS, END = 4096, 1024, 128, 2
 #: Words that a worker remembers, and the longest word that it does.
 CACHE, CACHED_CHARS = 1_000_000, 64
+#: Words that the tokeniser gets as one pre-split text.
+TOGETHER = 1000
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, ids binary"
 
 
@@ -44,7 +47,13 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
 
     def encode(self, words: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        out: list[bytes] = []
+        for group, e in zip(groups, self.tokenizer.encode_batch(groups, is_pretokenized=True, add_special_tokens=False), strict=True):
+            blob = np.array(e.ids, "<u4").tobytes()
+            sizes = np.bincount(np.array(e.word_ids, np.int64), minlength=len(group))
+            out += [blob[a:b] for a, b in pairwise([0, *(4 * np.cumsum(sizes)).tolist()])]
+        return out
 
     def __missing__(self, word: str) -> bytes:
         return self.encode([word])[0]
@@ -54,7 +63,7 @@ class WordIds(dict):
         split = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self) > CACHE:
             self.clear()
-        new = [w for w in {w for ws in split for w in ws}.difference(self) if len(w) <= CACHED_CHARS]
+        new = [w for w in set().union(*split).difference(self) if len(w) <= CACHED_CHARS]
         for i in range(0, len(new), 10_000):
             self.update(zip(new[i : i + 10_000], self.encode(new[i : i + 10_000]), strict=True))
         end = np.array([END], "<u4").tobytes()
