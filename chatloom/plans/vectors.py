@@ -20,7 +20,7 @@ _loose = DECIDED.format(p=0.28, g=0.02, b=0.25)
 _strict = DECIDED.format(p=0.5, g=0.04, b=0.45)
 _scores = lambda s, d: A.theme_scores(V.vec_messages(s, d), V.vec_phrases(s, d))
 _clusters = lambda s, d: table(s, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("long").alias("cluster"), F.col("embedding").alias("v"))
-_texts = lambda s, d: table(s, d, "part").where("p_partkey <= 4000").select(F.col("p_partkey").alias("message"), F.concat_ws(" ", "p_name", F.lower("p_type")).alias("text"))
+_texts = lambda s, d: table(s, d, "part").select(F.col("p_partkey").alias("message"), F.concat_ws(" ", "p_name", F.lower("p_type")).alias("text"))
 TEXTS = "tx AS (SELECT p_partkey AS message, p_name || ' ' || lower(p_type) AS text FROM part WHERE p_partkey <= 4000)"
 CL = "cl AS (SELECT vec_id AS id, CAST(label AS BIGINT) AS cluster, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
 BM25 = f"""{TEXTS}, {V.NAMES}, pw AS (SELECT phrase, list_filter(regexp_split_to_array(lower(phrase), '\\s+'), lambda w: w <> '') AS w FROM names),
