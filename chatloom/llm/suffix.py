@@ -10,13 +10,14 @@ if their anchor has fragments with other bytes.
 anchor that are in the cover COVER modulo PERIOD are ranked from the right, each by the bytes up to the next one and its
 rank; then one suffix bucket (anchor, distance to it) is sorted at a time by the bytes up to the next cover place, long ties
 resolved by that place's rank. Equal windows are in the same bucket, so one cover place serves all. Neighbours are compared byte by byte.
-A block holds BLOCK_FRAGMENTS fragments, which bounds memory; anchors with more fragments are dealt by the bytes left of the anchor
-in the window, bucket by bucket.
+A block holds at most BLOCK_FRAGMENTS fragments of whole anchors, which bounds memory. Anchors with more are counted beforehand; their
+fragments are dealt as windows by (anchor, distance) bucket and two hashes of the window's bytes, left and right of the anchor alike, so
+equal windows meet, and the earliest of each is an aggregate, which is partial before the shuffle: no task holds such a group.
 4. Ranges are merged for each document and cut out.
 
 Defined results: a null text counts as empty; a null doc_id is the smallest; windows of rows with the same doc_id and start are no
 earlier than each other; texts under WIDTH bytes stay whole; an empty table gives an empty result; other columns are ignored. A false
-merge in step 1 needs equal 128-bit hashes.
+merge in step 1, or of windows of an anchor with too many fragments, needs equal 128-bit hashes.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import documents, materialize, mix, slices
+from chatloom.llm.common import attach, documents, materialize, mix, slices
 
 WIDTH, K = 100, 32
 PERIOD, COVER = 13, (0, 1, 3, 9)
@@ -253,8 +254,8 @@ def ranges_of(repeats: np.ndarray, start: np.ndarray, shape: np.ndarray) -> tupl
     return f, start[f] + a, b - a
 
 
-def mixed_ranges(named: DataFrame, mixed: DataFrame) -> DataFrame:
-    """doc_id, tag, start, n of the repeated windows of mixed fragments."""
+def fetched(named: DataFrame, mixed: DataFrame) -> DataFrame:
+    """anchor, doc_id, tag, start, shape, bytes of mixed fragments."""
     places = mixed.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("anchor", "start", "shape")).alias("places"))  # up to a text's length
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,7 +267,20 @@ def mixed_ranges(named: DataFrame, mixed: DataFrame) -> DataFrame:
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["anchor", "doc_id", "tag", "start", "shape", "bytes"])
 
-    rows = named.join(places, ["doc_id", "tag"]).select("doc_id", "tag", "text", "places").mapInArrow(fetch, "anchor long, doc_id long, tag long, start long, shape int, bytes binary")
+    return named.join(places, ["doc_id", "tag"]).select("doc_id", "tag", "text", "places").mapInArrow(fetch, "anchor long, doc_id long, tag long, start long, shape int, bytes binary")
+
+
+def mixed_ranges(named: DataFrame, mixed: DataFrame) -> DataFrame:
+    """doc_id, tag, start, n of the repeated windows of mixed fragments."""
+    big = materialize(mixed.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK_FRAGMENTS).select("anchor"), "big")
+    if big.isEmpty():
+        return block_ranges(fetched(named, mixed))
+    hot = F.broadcast(big)  # fewer than fragments / BLOCK_FRAGMENTS
+    return block_ranges(fetched(named, mixed.join(hot, "anchor", "left_anti"))).unionByName(window_ranges(fetched(named, mixed.join(hot, "anchor", "left_semi"))))
+
+
+def block_ranges(rows: DataFrame) -> DataFrame:
+    """mixed_ranges() of fragments whose anchors have at most BLOCK_FRAGMENTS each, a block of whole anchors at a time."""
 
     def solve(t: pa.Table) -> pa.RecordBatch:
         anchor, doc, tag, start, shape = (t.column(i).to_numpy() for i in range(5))
@@ -276,22 +290,69 @@ def mixed_ranges(named: DataFrame, mixed: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+
+        def blocks(last: bool) -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            t = pa.Table.from_batches(held)
+            a = t.column(0).to_numpy()
+            edge = np.r_[np.flatnonzero(a[1:] != a[:-1]) + 1, len(a)] if last else np.flatnonzero(a[1:] != a[:-1]) + 1  # the last anchor may go on
+            lo = 0
+            while len(edge) and lo < edge[-1]:
+                hi = int(edge[np.searchsorted(edge, lo + BLOCK_FRAGMENTS, side="right") - 1])
+                if not lo < hi <= lo + BLOCK_FRAGMENTS:
+                    raise ValueError("an anchor has more fragments than a block")
+                if not last and hi == edge[-1] and hi - lo < BLOCK_FRAGMENTS and lo:
+                    break  # a part of a block waits for more
+                yield solve(t.slice(lo, hi - lo))
+                lo = hi
+            held = t.slice(lo).combine_chunks().to_batches()
+
         for b in batches:
-            held.append(b)
-            if sum(map(len, held)) >= BLOCK_FRAGMENTS:
-                t = pa.Table.from_batches(held)
-                a = t.column(0).to_numpy()
-                cut = int(np.searchsorted(a, a[-1]))  # the last anchor may go on
-                if cut:
-                    yield solve(t.slice(0, cut))
-                held = t.slice(cut).combine_chunks().to_batches()
-        t = pa.Table.from_batches(held) if held else None
-        if t is not None and len(t):
-            yield solve(t)
+            if len(b):
+                held.append(b)
+                if sum(map(len, held)) > BLOCK_FRAGMENTS:
+                    yield from blocks(False)
+        if held:
+            yield from blocks(True)
 
     return rows.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(run, "doc_id long, tag long, start long, n long")
 
 
+def window_rows(rows: DataFrame) -> DataFrame:
+    """anchor, distance, h1, h2 (of the window's bytes), doc_id, tag, start of every window of fragments."""
+    names = ["anchor", "distance", "h1", "h2", "doc_id", "tag", "start"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, len(batch), 1000):
+                b = batch.slice(lo, 1000)
+                anchor, doc, tag, start, shape = (b.column(i).to_numpy() for i in range(5))
+                blobs = b.column(5).to_pylist()
+                count, left = shape.astype(np.int64) // 128, shape.astype(np.int64) % 128
+                sizes = np.fromiter(map(len, blobs), np.int64, len(blobs))
+                data = np.frombuffer(b"".join(blobs), np.uint8)
+                of = np.repeat(np.arange(len(blobs)), count)
+                j = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)  # the fragment's j-th window
+                place = (np.cumsum(sizes) - sizes)[of] + j
+                h = []
+                for table, base in ((_T1, _B1), (_T2, _B2)):
+                    total, down = _sums(data, table, base)
+                    h.append(mix((total[place + WIDTH] - total[place]) * down[place]).view(np.int64))
+                columns = [anchor[of], (left[of] - j), *h, doc[of], tag[of], start[of] + j]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    return rows.mapInArrow(run, "anchor long, distance long, h1 long, h2 long, doc_id long, tag long, start long")
+
+
+def window_ranges(rows: DataFrame) -> DataFrame:
+    """mixed_ranges() of fragments of any number, window by window."""
+    windows = materialize(window_rows(rows), "windows")
+    key = ["anchor", "distance", "h1", "h2"]
+    groups = windows.groupBy(*key).agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "start")).alias("first")).where("copies > 1")
+    found = attach(windows, materialize(groups, "windows"), key, "copies", windows.count())
+    return found.where("copies > 1 and not (first.doc_id = doc_id and first.start = start)").select("doc_id", "tag", "start", F.lit(1).cast("long").alias("n"))
+
+
 def repeated_ranges(named: DataFrame) -> DataFrame:
     """doc_id, tag, ranges (arrays of first window and number of windows) of documents with repeated windows."""
     compared = materialize(compare_fragments(fragment_rows(named)), "fragments")

@@ -48,3 +48,26 @@ def test_null_ids_and_empty_table(spark):
     got = sorted((r.doc_id is not None, r.n_removed) for r in S.digest(S.cut_repeats(df)).collect())
     assert got == [(False, 0), (True, 200), (True, 200)]
     assert S.digest(S.cut_repeats(df.limit(0))).collect() == []
+
+
+def test_no_block_holds_more_than_its_bound(spark, monkeypatch, tmp_path):
+    """A phrase in other surroundings in most documents, with more fragments than a block holds."""
+    rng = random.Random(6)
+    near = lambda: "".join(rng.choice("abcdefgh ") for _ in range(120))
+    phrase, some = "the same phrase of forty bytes, or so it is"[:40], [near() for _ in range(5)]
+    texts = {i: near() + (rng.choice(some) if i % 3 else near()[:60]) + phrase + near() for i in range(120)} | {i: near() + rng.choice(some) for i in range(120, 150)}
+    solve, sizes = S.repeated_windows, str(tmp_path / "sizes")
+
+    def counted(anchor, *rest):
+        with open(sizes, "a") as f:
+            f.write(f"{len(anchor)}\n")
+        return solve(anchor, *rest)
+
+    monkeypatch.setattr(S, "BLOCK_FRAGMENTS", 20)
+    monkeypatch.setattr(S, "repeated_windows", counted)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in S.digest(S.cut_repeats(df)).collect()}
+    assert got == S.brute_force(texts)
+    with open(sizes) as f:
+        held = [int(x) for x in f]
+    assert held and max(held) <= 20
