@@ -1,9 +1,11 @@
 """Near-duplicates by improved consistent weighted sampling over TF-IDF shingles (operator 9).
 
 Shingles are five words (lower-cased runs of letters and digits). A shingle weighs its count in the text times an inverse
-document frequency, which is counted over all documents in DF_BUCKETS hash buckets, a table of fixed size, and damped to
-[1, 2]: 1 + ln((N + 1) / (df + 1)) / ln(N + 1). BANDS x ROWS samples a text give bands; texts that share a band are
-candidates. With weighted Jaccard similarity 0.8 a pair shares one with probability 0.9998.
+document frequency, damped to [1, 2]: 1 + ln((N + 1) / (df + 1)) / ln(N + 2). Frequencies are exact for shingles in at least a
+COMMON-th of all documents and in two; all rarer ones weigh as if in one document. There are at most COMMON times as many common ones as
+a document has shingles on average. They are found in two passes: counts in DF_BUCKETS hash buckets, which are no less than the
+frequencies of the shingles in them, and then a count by shingle of what full buckets hold, partial before the shuffle.
+BANDS x ROWS samples a text give bands; texts that share a band are candidates. With weighted Jaccard similarity 0.8 a pair shares one with probability 0.9998.
 
 Texts with the same shingle multiset are one node from the start. In a band's bucket, dealt in blocks, each member is first
 paired with the one before it that shares the most samples: pairs grow in proportion to members. Candidate pairs are
@@ -32,7 +34,8 @@ from chatloom.llm.graph import components
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 4
-DF_BUCKETS = 1 << 18
+DF_BUCKETS, DF_PARTS = 1 << 22, 64
+COMMON = 4096
 #: Shares of equal samples from which a pair is a candidate (0.8 is 3.5 standard deviations above).
 MAYBE = 0.625
 BLOCK = 512
@@ -68,30 +71,88 @@ def shingles(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return s[at], np.diff(np.r_[at, len(s)]), np.bincount(owner[at], minlength=len(n))
 
 
+class Weights:
+    """Numbers of shingles: those of sorted keys, and one for all others."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, other: float):
+        self.keys, self.values, self.other = keys, values, other
+
+    def __getitem__(self, s: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.full(len(s), self.other)
+        at = np.minimum(np.searchsorted(self.keys, s), len(self.keys) - 1)
+        return np.where(self.keys[at] == s, self.values[at], self.other)
+
+
 def buckets(s: np.ndarray) -> np.ndarray:
-    return (s >> np.uint64(20)).astype(np.int64) & (DF_BUCKETS - 1)
+    """What a shingle's weight is kept under: the shingle, so that none shares another's."""
+    return s
+
+
+def _places(s: np.ndarray, n: int) -> np.ndarray:
+    return (s >> np.uint64(20)).astype(np.int64) & (n - 1)
 
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Documents in each hash bucket of shingles, and all documents."""
+def full_buckets(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """Documents in each hash bucket of shingles, and all documents. A task's counts are DF_PARTS rows of at most a fixed size."""
+    size = DF_BUCKETS // DF_PARTS
+
+    def packed(x: np.ndarray) -> bytes:
+        return x.astype(np.min_scalar_type(x.max())).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, n = np.zeros(DF_BUCKETS, np.int64), 0
+        count, n = np.zeros(DF_BUCKETS, np.uint32), 0
         for _, texts in slices(batches):
-            s, _, sizes = shingles(texts)
-            count += np.bincount(buckets(s), minlength=DF_BUCKETS)
+            s, _, _ = shingles(texts)
+            at, more = np.unique(_places(s, DF_BUCKETS), return_counts=True)
+            count[at] += more.astype(np.uint32)
             n += len(texts)
-        at = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays([pa.array(np.r_[at, -1]), pa.array(np.r_[count[at], n])], ["bucket", "n"])
+        if n:
+            rows = [*(packed(count[k * size : (k + 1) * size]) for k in range(DF_PARTS)), np.array([n]).tobytes()]
+            yield pa.RecordBatch.from_arrays([pa.array(range(DF_PARTS + 1), pa.int32()), pa.array(rows, pa.binary())], ["part", "counts"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for part, counts in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                x = np.frombuffer(counts.as_buffer(), f"u{counts.as_buffer().size // size}" if part < DF_PARTS else np.int64).astype(np.int64)
+                sums[part] = sums[part] + x if part in sums else x
+        for part, x in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([x.tobytes()], pa.binary())], ["part", "counts"])
+
+    schema = "part int, counts binary"
+    out, total = np.zeros(DF_BUCKETS, np.int64), 0
+    for part, counts in documents(docs).mapInArrow(run, schema).repartition(DF_PARTS, "part").mapInArrow(add, schema).toLocalIterator():
+        x = np.frombuffer(counts, np.int64)
+        if part < DF_PARTS:
+            out[part * size : (part + 1) * size] = x
+        else:
+            total = int(x[0])
+    return out, total
+
+
+def document_frequencies(docs: DataFrame) -> tuple[Weights, int]:
+    """Documents of each common shingle, 1 for all others; and all documents. See the module's text."""
+    counts, total = full_buckets(docs)
+    least = max(2, -(-total // COMMON))
+    full = docs.sparkSession.sparkContext.broadcast(np.packbits(counts >= least))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(full.value).astype(bool)
+        for _, texts in slices(batches):
+            s, _, _ = shingles(texts)
+            keys, n = np.unique(s[wanted[_places(s, len(wanted))]], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["shingle", "n"])
 
-    rows = documents(docs).mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()  # DF_BUCKETS rows
-    out = np.zeros(DF_BUCKETS + 1, np.int64)
-    out[rows["bucket"].to_numpy(np.int64)] = rows["n"].to_numpy(np.int64)
-    return out[:-1], int(out[-1])
+    found = documents(docs).mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas()
+    keys = found["shingle"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(keys)
+    return Weights(keys[order], found["n"].to_numpy(np.int64)[order], 1), total
 
 
-def idf(frequencies: np.ndarray, total: int) -> np.ndarray:
-    return 1 + np.log((total + 1) / (np.minimum(frequencies, total) + 1)) / np.log(total + 2)
+def idf(frequencies: Weights, total: int) -> Weights:
+    weight = lambda df: 1 + np.log((total + 1) / (np.minimum(df, total) + 1)) / np.log(total + 2)
+    return Weights(frequencies.keys, weight(frequencies.values), float(weight(frequencies.other)))
 
 
 def samples(s: np.ndarray, weight: np.ndarray, sizes: np.ndarray) -> np.ndarray:

@@ -82,3 +82,20 @@ def test_samples_estimate_weighted_similarity():
     x = M.samples(np.r_[s[a], s[b]], np.r_[w[a], w[b]], np.array([350, 350]))
     want = w[50:350].sum() / w.sum()
     assert abs((x[0] == x[1]).mean() - want) < 0.2
+
+
+def test_frequencies_are_of_shingles_not_of_buckets(spark, monkeypatch):
+    """With more shingles than buckets: exact above the bound, one weight below it."""
+    monkeypatch.setattr(M, "DF_BUCKETS", 64)
+    monkeypatch.setattr(M, "COMMON", 20, raising=False)
+    texts = [f"often seen words in a row {'and in some rows more ' * (i % 4 == 0)}" + " ".join(f"w{i}x{k}" for k in range(30)) for i in range(100)] + ["", None]
+    frequencies, total = M.document_frequencies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3))
+    assert total == 102
+    want = {}
+    for t in texts:
+        for x in M.shingles([t or ""])[0].tolist():
+            want[x] = want.get(x, 0) + 1
+    s = np.array(list(want), np.uint64)
+    n = np.array([v if v >= 6 else 1 for v in want.values()])
+    assert frequencies[M.buckets(s)].tolist() == n.tolist() and (n > 1).sum() > 4
+    assert M.idf(frequencies, total)[M.buckets(s)] == pytest.approx(1 + np.log(103 / (n + 1)) / np.log(104))
