@@ -135,3 +135,26 @@ def test_pipeline_stages(spark, tmp_path):
     assert kept[3] == kept[2] - {102}
     packed = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in packed.select("doc_id").collect()} == kept[3]
+
+
+def test_short_runs_count_and_passages_reach_over_edges(spark):
+    rng = random.Random(8)
+    passage = _words(rng, 51)
+    texts, where = {}, {}
+    for i in range(30):
+        head = _words(rng, rng.randint(5, 60)) + f" {i}# "
+        texts[i], where[i] = f"{head}{passage} @{i} {_words(rng, 20)}", (len(head), len(head) + len(passage))
+    texts |= {100 + i: f"{_words(rng, 30)} {i} {passage[90:200]} {i} {_words(rng, 30)}" for i in range(10)} | {200: "q" * 900, 201: "q" * 900}
+    seen, dups = {}, {}
+    for i in sorted(texts):
+        data = texts[i].encode()
+        dups[i] = sum(seen.setdefault(data[s:e], (i, s)) != (i, s) for s, e in _chunks(data))
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in C.duplicate_runs(df).collect()}
+    assert {i: r.n_duplicates for i, r in got.items()} == dups
+    assert any(0 < sum(e - s for s, e in _chunks(texts[i].encode())[:1]) and dups[i] and not got[i].spans for i in range(100, 110))
+    for i in range(1, 30):
+        a, b = where[i]
+        assert any(s.start <= a and b <= s.end and b - a <= s.end - s.start <= b - a + 12 for s in got[i].passages), i
+        assert got[i].n_repeated == sum(s.end - s.start for s in got[i].passages)
+    assert [(s.start, s.end) for s in got[201].passages] == [(0, 900)]
