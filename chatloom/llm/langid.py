@@ -3,17 +3,22 @@
 For each language a suffix automaton of a bounded sample of labelled text is built once and broadcast. A text is parsed
 greedily into longest phrases that occur in a language's sample; the language with the fewest phrases, each weighted by
 the log of its sample's length, wins. All texts of a slice are parsed in lock step, one numpy step a character, in blocks
-of BLOCK characters, so a very long text costs no more a character than a short one. Every character is parsed.
+of BLOCK characters, so a very long text costs no more a character than a short one. Blocks but a text's first one are parsed as if a phrase began
+there; the phrases that reach over a block's edge are then parsed again until they meet a phrase of that block, so the count is exactly
+that of parsing the text in one go. Every character is parsed.
 
-Letters are lower-cased, the rarest share one symbol, and a run of anything else counts as one space.
+Letters are lower-cased, and a run of anything else counts as one space. Every letter of the samples is a symbol of its own: a language's DENSE
+commonest ones have a column in a dense table of transitions, the others are looked up in a sorted one, so scripts with thousands of
+letters are told apart too. A letter that a language's sample lacks is a phrase of its own there.
 
-The sample: SAMPLE_DOCS documents a language on average, chosen by a hash of doc_id among the learning folds, at most
-SAMPLE_CHARS characters of each and REFERENCE_CHARS in all.
+The sample: SAMPLE_DOCS different documents a language on average (never more than twice as many), chosen by a hash among the
+learning folds; of each a stretch of at most SAMPLE_CHARS characters at a place chosen by the hash; of these stretches equal shares, REFERENCE_CHARS
+letters a language in all.
 
 Defined results: `und` with score 0 if a text is null, has no letter, or no language could be learned; else the score is
 the margin (second - best) / second of the two lowest weighted phrase counts, 1 if only one language is known; ties go
-to the language first in alphabetical order; a null doc_id is held out; an empty table gives an empty result; other columns
-are ignored.
+to the language first in alphabetical order; a null doc_id is held out; rows that repeat are returned as often; an empty table gives an
+empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -25,13 +30,18 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chatloom.llm.common import code_points, documents, slices
 
 SAMPLE_DOCS, SAMPLE_CHARS, REFERENCE_CHARS = 100, 2000, 24_000
 BLOCK = 1024
-ALPHABET = 46
+#: Columns of the dense table: the space, what it doesn't hold, and a language's commonest letters.
+DENSE = 46
+SPACE, NONE = 0, 1
+#: Characters times languages that are parsed at once.
+AT_ONCE = 16_000_000
 
 
 def held_out():
@@ -60,18 +70,28 @@ def letters(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return x[keep], np.bincount(owner[keep], minlength=len(texts))
 
 
-def automaton(symbols: list[int], width: int) -> np.ndarray:
-    """Transitions of the suffix automaton, states x width; 0 is no state, 1 the root."""
-    trans: list[list[int]] = [[0] * width, [0] * width]
+def reference(texts: list[str], size: int) -> np.ndarray:
+    """Letters of texts with a space after each, the same number of each as far as it has them, about `size` in all."""
+    parts = [letters([t])[0] for t in texts]
+    share, left = 0, size
+    for n, k in zip(sorted(map(len, parts)), range(len(parts), 0, -1), strict=True):
+        share = max(share, min(n, left // k))  # the shorter ones leave more to the others
+        left -= min(n, left // k)
+    return np.concatenate([np.zeros(0, np.uint32), *(np.r_[p[:share], np.uint32(0)] for p in parts)])
+
+
+def automaton(symbols: list[int]) -> list[dict[int, int]]:
+    """Transitions of each state of the suffix automaton; 0 is no state, 1 the root."""
+    trans: list[dict[int, int]] = [{}, {}]
     length, link = [0, 0], [0, 0]
     last = 1
     for c in symbols:
         cur = len(trans)
-        trans.append([0] * width)
+        trans.append({})
         length.append(length[last] + 1)
         link.append(1)
         p = last
-        while p and not trans[p][c]:
+        while p and c not in trans[p]:
             trans[p][c] = cur
             p = link[p]
         if p:
@@ -80,35 +100,75 @@ def automaton(symbols: list[int], width: int) -> np.ndarray:
                 link[cur] = q
             else:
                 copy = len(trans)
-                trans.append(trans[q][:])
+                trans.append(dict(trans[q]))
                 length.append(length[p] + 1)
                 link.append(link[q])
-                while p and trans[p][c] == q:
+                while p and trans[p].get(c) == q:
                     trans[p][c] = copy
                     p = link[p]
                 link[q] = link[cur] = copy
         last = cur
-    return np.array(trans, np.int32)
+    return trans
 
 
 class Model:
-    """Languages in alphabetical order, the symbol of each letter, all transitions in one table, weight of a phrase."""
+    """Languages in alphabetical order and the weight of a phrase in each; the transitions of all automata. States are numbered through, in
+    steps of DENSE, so a state and a column add up to a place in the dense table."""
 
-    def __init__(self, samples: dict[str, list[str]], reference: int = REFERENCE_CHARS):
+    def __init__(self, samples: dict[str, list[str]], size: int = REFERENCE_CHARS):
         self.langs = sorted(samples)
-        parts = [letters(samples[k])[0][:reference] for k in self.langs]
-        common = [c for c, _ in sorted(Counter(np.concatenate([*parts, np.zeros(0, np.uint32)]).tolist()).items(), key=lambda x: (-x[1], x[0])) if c][: ALPHABET - 2]
-        self.codes = np.array(sorted(common), np.uint32)
-        tables = [automaton(self.symbols(p).tolist(), ALPHABET) for p in parts]
-        self.base = np.cumsum([0, *(len(t) for t in tables)])[:-1]
-        self.table = np.concatenate([np.where(t > 0, t + b, 0) for t, b in zip(tables, self.base, strict=True)]).astype(np.int32).ravel() if tables else np.zeros(0, np.int32)
+        parts = [reference(samples[k], size) for k in self.langs]
         self.weight = np.array([np.log2(max(len(p), 2)) for p in parts])
+        #: Letters of all samples, and their numbers in a row: 0 the space, 1 any other letter.
+        self.letters = np.unique(np.concatenate([*parts, np.zeros(1, np.uint32)]))[1:]
+        n = len(self.letters) + 2
+        self.column = np.full((len(self.langs), n), NONE, np.int32)
+        self.root = np.zeros((len(self.langs), 1), np.int32)
+        self.first = np.zeros((len(self.langs), n), np.int32)  # the state after a phrase's first letter: the root if it is a phrase of its own
+        dense, keys, targets, base = [np.zeros(DENSE, np.int32)], [], [], 1
+        for k, p in enumerate(parts):
+            common = [c for c, _ in sorted(Counter(p[p > 0].tolist()).items(), key=lambda x: (-x[1], x[0]))]
+            place = {int(np.searchsorted(self.letters, c)) + 2: i for i, c in enumerate(common)}
+            self.column[k, SPACE] = SPACE
+            for symbol, i in place.items():
+                self.column[k, symbol] = min(i + 2, DENSE)
+            trans = automaton(self.symbols(p).tolist())[1:]
+            self.root[k] = self.first[k] = base * DENSE
+            table = np.zeros((len(trans), DENSE), np.int32)
+            for s, t in enumerate(trans):
+                for symbol, to in t.items():
+                    if (c := self.column[k, symbol]) < DENSE:
+                        table[s, c] = (base + to - 1) * DENSE
+                    else:
+                        keys.append((base + s) * DENSE * n + symbol)
+                        targets.append((base + to - 1) * DENSE)
+            for symbol, to in trans[0].items():
+                self.first[k, symbol] = (base + to - 1) * DENSE
+            dense.append(table.ravel())
+            base += len(trans)
+        order = np.argsort(np.array(keys, np.int64))
+        self.dense = np.concatenate(dense)
+        self.keys, self.targets = np.r_[np.array(keys, np.int64)[order], 1 << 62], np.r_[np.array(targets, np.int32)[order], 0].astype(np.int32)
 
     def symbols(self, x: np.ndarray) -> np.ndarray:
-        """0 for the space, 1 for a rare letter, else the letter's place."""
-        at = np.searchsorted(self.codes, x)
-        hit = (at < len(self.codes)) & (self.codes[np.minimum(at, max(len(self.codes) - 1, 0))] == x) if len(self.codes) else np.zeros(len(x), bool)
-        return np.where(x == 0, 0, np.where(hit, at + 2, 1)).astype(np.int32)
+        """0 for the space, 1 for a letter of no sample, else the letter's number."""
+        if not len(self.letters):
+            return np.where(x == 0, SPACE, NONE).astype(np.int32)
+        at = np.minimum(np.searchsorted(self.letters, x), len(self.letters) - 1)
+        return np.where(x == 0, SPACE, np.where(self.letters[at] == x, at + 2, NONE)).astype(np.int32)
+
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+        """The next states (languages x texts), 0 where the sample has no such phrase."""
+        column = self.column.take(symbol, 1)
+        if len(self.keys) == 1:
+            return self.dense.take(state + column)
+        out = self.dense.take(state + np.minimum(column, DENSE - 1))
+        sparse = column == DENSE
+        if sparse.any():
+            key = state[sparse].astype(np.int64) * self.column.shape[1] + np.broadcast_to(symbol, sparse.shape)[sparse]
+            at = np.searchsorted(self.keys, key)
+            out[sparse] = np.where(self.keys[at] == key, self.targets[at], 0)
+        return out
 
     def phrases(self, x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Phrases of each text in each language."""
@@ -119,27 +179,52 @@ class Model:
         start = (np.cumsum(sizes) - sizes)[owner] + nth * BLOCK
         length = np.minimum(BLOCK, np.cumsum(sizes)[owner] - start)
         order = np.argsort(-length, kind="stable")
-        owner, start, length = owner[order], start[order], length[order]
-        root = (self.base + 1).astype(np.int32)[:, None]
-        root_row = self.table.reshape(-1, ALPHABET)[root[:, 0]]
-        state = np.repeat(root, len(owner), 1)
-        count = np.zeros(state.shape, np.int32)
+        owner, nth, start, length = owner[order], nth[order], start[order], length[order]
+        state = np.repeat(self.root, len(owner), 1)
+        begins = []  # at each step, where phrases begin (languages x blocks)
         lanes = np.searchsorted(-length, -np.arange(1, BLOCK + 1), side="right")
+        first = self.first.ravel()
         for t in range(int(length[0]) if len(length) else 0):
-            n = lanes[t]
+            n = int(lanes[t])
             c = s[start[:n] + t]
-            now = self.table[state[:, :n] * ALPHABET + c]
-            miss = now == 0
-            first = root_row[:, c]
-            # a symbol that the sample lacks ends the phrase before it, if there is one, and is a phrase of its own
-            count[:, :n] += miss
-            count[:, :n] += miss & (first == 0) & (state[:, :n] != root)
-            state[:, :n] = np.where(miss, np.where(first == 0, root, first), now)
-        out = np.zeros((len(self.langs), len(sizes)))
+            now = self.step(state[:, :n], c)
+            miss = np.flatnonzero(now == 0)
+            new = state[:, :n] == self.root
+            new.ravel()[miss] = True
+            begins.append(new)
+            k, lane = np.divmod(miss, n)
+            now.ravel()[miss] = first[k * self.first.shape[1] + c[lane]]
+            state[:, :n] = now
+        self._mend(s, begins, owner, nth, start, length, state)
+        out, total = np.zeros((len(self.langs), len(sizes))), np.zeros(state.shape, np.int64)
+        for new in begins:
+            total[:, : new.shape[1]] += new
         for k in range(len(self.langs)):
-            out[k] = np.bincount(owner, count[k] + 1, len(sizes))
+            out[k] = np.bincount(owner, total[k], len(sizes))
         return out
 
+    def _mend(self, s: np.ndarray, begins: list[np.ndarray], owner: np.ndarray, nth: np.ndarray, start: np.ndarray, length: np.ndarray, last: np.ndarray) -> None:
+        """Let each text's phrases go on over the edges of blocks: from an edge on, parse again until a phrase begins where one did."""
+        by_text = np.lexsort((nth, owner))
+        inner = [(b, a) for b, a in zip(by_text[1:].tolist(), by_text[:-1].tolist(), strict=True) if nth[b]]  # a block and the one before it
+        if not inner:
+            return
+        dense, letter, n = memoryview(self.dense), memoryview(s), self.column.shape[1]
+        sparse = dict(zip(self.keys.tolist(), self.targets.tolist(), strict=True))
+        for k, root in enumerate(self.root[:, 0].tolist()):
+            column, first, going = memoryview(self.column[k]), memoryview(self.first[k]), {}
+            for b, before in inner:
+                state = going.pop(before, None) or int(last[k, before])
+                for t, c in enumerate(letter[start[b] : start[b] + length[b]]):
+                    to = dense[state + column[c]] if column[c] < DENSE else sparse.get(state * n + c, 0)
+                    new, seen = not to or state == root, begins[t]
+                    if new and seen[k, b]:
+                        break
+                    seen[k, b] = new
+                    state = to or first[c]
+                else:
+                    going[b] = state  # no phrase of this block was met: the next one goes on from here
+
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         x, sizes = letters(texts)
         some = np.bincount(np.repeat(np.arange(len(texts)), sizes)[x > 0], minlength=len(texts)) > 0
@@ -153,14 +238,18 @@ class Model:
 
 
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out())
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out()).withColumn("h", F.xxhash64("doc_id", "text"))
     counts = dict(rows.groupBy("lang").count().collect())  # one row a language
     chosen = F.lit(False)
     for lang, n in counts.items():
-        chosen |= (F.col("lang") == lang) & (F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) <= int(1_000_003 * sample_docs / n))
+        chosen |= (F.col("lang") == lang) & (F.pmod("h", F.lit(1_000_003)) <= int(1_000_003 * sample_docs / n))
+    at = F.lit(1) + F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(1))).cast("int")
+    some = rows.where(chosen).dropDuplicates(["lang", "h"]).select("lang", "h", F.substring("text", at, F.lit(SAMPLE_CHARS)).alias("part"))
+    some = some.withColumn("nth", F.row_number().over(W.partitionBy("lang").orderBy("h"))).where(F.col("nth") <= 2 * sample_docs)
     samples: dict[str, list[str]] = {}
-    for _, lang, text in sorted(rows.where(chosen).select(F.xxhash64("doc_id", "text").alias("h"), "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()):
-        samples.setdefault(lang, []).append(text)  # SAMPLE_DOCS x SAMPLE_CHARS characters a language on average
+    for lang, _, text in sorted(some.select("lang", "h", "part").collect()):  # at most 2 x SAMPLE_DOCS x SAMPLE_CHARS characters a language
+        samples.setdefault(lang, []).append(text)
     return Model(samples)
 
 
@@ -169,7 +258,7 @@ def detect_language(docs: DataFrame, model: Model | None = None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model or learn(docs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in slices(batches, 4_000_000):
+        for ids, texts in slices(batches, AT_ONCE // max(4, len(shared.value.langs))):
             lang, score = shared.value.predict(texts)
             yield pa.RecordBatch.from_arrays([ids, pa.array(lang, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
 

@@ -65,19 +65,58 @@ def _naive_phrases(text, reference):
     return n
 
 
-def test_phrases_match_longest_matches():
+def _text(x):
+    return "".join(chr(c) if c else " " for c in x.tolist())
+
+
+def test_phrases_match_longest_matches(monkeypatch):
+    """Exactly, also over the edges of blocks, where nothing meets for long, and for letters beyond the dense table."""
     rng = random.Random(7)
     word = lambda a: "".join(rng.choice(a) for _ in range(rng.randint(1, 7)))
-    samples = {"x": [" ".join(word("abcde") for _ in range(300))], "y": [" ".join(word("defgh") for _ in range(300))]}
+    han = [chr(0x4E00 + i) for i in range(300)]
+    samples = {"x": [" ".join(word("abcde") for _ in range(300))], "y": [" ".join(word("defgh") for _ in range(300)), "zzzz"], "z": ["".join(rng.choice(han) for _ in range(900))]}
     model = L.Model(samples)
-    texts = [" ".join(word("abcdefgh") for _ in range(40)) for _ in range(20)]
+    many = lambda a, n: " ".join(word(a) for _ in range(n))
+    texts = [many("abcdefgh", 40) for _ in range(20)] + [many("abcdefgh", 2500), "z" * 5001, many(han, 2000), "ab" * 3000, "", "ÿ" * 1500, many("abcdefgh", 1) * 1500]
     x, sizes = L.letters(texts)
-    got = model.phrases(x, sizes)
+    whole = model.phrases(x, sizes)
+    parts = np.split(x, np.cumsum(sizes)[:-1])
     for k, lang in enumerate(model.langs):
-        reference = samples[lang][0]
-        for i, t in enumerate(texts):
-            assert abs(got[k][i] - _naive_phrases(t, reference)) <= 1
-    assert model.predict(["abc abd", "", "123 %%", "hgf fgh"])[0] == ["x", "und", "und", "y"]
+        reference = _text(L.reference(samples[lang], L.REFERENCE_CHARS))
+        assert whole[k].tolist() == [_naive_phrases(_text(p), reference) for p in parts]
+    assert max(map(len, parts)) > 10_000
+    for block, dense in ((7, L.DENSE), (100, 5)):
+        monkeypatch.setattr(L, "BLOCK", block)
+        monkeypatch.setattr(L, "DENSE", dense)
+        assert (L.Model(samples).phrases(x, sizes) == whole).all()
+    assert model.predict(["abc abd", "", "123 %%", "hgf fgh", "".join(han[:20])])[0] == ["x", "und", "und", "y", "z"]
+
+
+def test_eight_scripts_are_told_apart():
+    rng = random.Random(3)
+    alphabets = {"latin": (0x61, 24), "greek": (0x3B1, 24), "cyrillic1": (0x430, 30), "cyrillic2": (0x430, 30), "hebrew": (0x5D0, 22), "arabic": (0x628, 24), "kana": (0x3042, 60), "han1": (0x4E00, 2500), "han2": (0x4E00, 2500)}
+    words = {k: ["".join(chr(a + rng.randrange(n)) for _ in range(rng.randint(1, 3) if n > 100 else rng.randint(2, 8))) for _ in range(800)] for k, (a, n) in alphabets.items()}
+    made = lambda k, n: " ".join(rng.choices(words[k], k=n))
+    model = L.Model({k: [made(k, 300) for _ in range(60)] for k in words})
+    for k in words:
+        got = model.predict([made(k, 40) for _ in range(100)])[0]
+        assert got.count(k) >= 95, k
+
+
+def test_the_reference_takes_equal_shares():
+    assert _text(L.reference(["aaaa", "bb", "c" * 90], 12)) == "aaaa bb cccccc "
+    assert len(L.reference(["d" * 50] * 4, 20)) == 24 and len(L.reference([], 20)) == 0
+
+
+def test_ties_repeated_rows_and_clashing_columns(spark):
+    rows = [(i, "ab ba ab", "one") for i in range(40)] + [(100 + i, "ab ba ab", "two") for i in range(40)] + [(7, "ab ba ab", "one")] * 30
+    df = spark.createDataFrame([(i, t, k, 1, 0.5) for i, t, k in rows], "doc_id long, text string, lang string, lang_pred int, score double")
+    got = L.detect_language(df).collect()
+    assert len(got) == len(rows) and len({(r.lang_pred, r.score) for r in got}) == 1
+    language, score = L.Model({"two": ["ab ba ab"], "one": ["ab ba ab"]}).predict(["ab ba", "q"])
+    assert language == ["one", "one"] and score.tolist() == [0.0, 0.0]
+    assert L.detect_language(df.limit(0)).collect() == []
+    assert {r.lang_pred for r in L.detect_language(df.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
 def test_language_of_held_out_documents(spark, sf):
@@ -90,8 +129,8 @@ def test_language_of_held_out_documents(spark, sf):
     assert got == {1: "und", 2: "und", 3: "und", None: "und"} or got[None] == "en"
 
 
-def test_quality_of_held_out_documents(spark):
-    big = "/root/testdata/sf0.01"
+def test_quality_of_held_out_documents(spark, sf):
+    big = sf.replace("sf0.001", "sf0.01")  # more labels, if they are there
     docs, labels = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/labels.parquet")
     found = Q.quality_scores(docs, labels)
     assert found.count() == docs.count()
