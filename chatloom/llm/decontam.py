@@ -3,12 +3,14 @@
 Words are lower-cased runs of letters and digits, shingles are five words, and a shingle weighs its count times an inverse
 item frequency in [1, 2]. A window of a document is as long as an item and lies where a shingle stands that the item has at
 that place; every window of similarity over 0 with an item shares a shingle with it, so leaving out the other places loses
-nothing. Each window and item has a 64-bit SimHash of its weighted shingles. The fingerprints are cut into BLOCKS blocks, and
-items are indexed under all block values with up to FLIPS bits changed: of two fingerprints within RADIUS bits, at least one
-block differs in RADIUS // BLOCKS = FLIPS bits or fewer, so all of them are found. Candidates are verified by the exact weighted
-Jaccard similarity of window and item, which must be THRESHOLD or more.
+nothing. Windows with the same shingles, such as those of a passage that many documents share, are one from here on. Each window and item
+has a 64-bit SimHash of its weighted shingles. The fingerprints are cut into BLOCKS blocks, and
+items are indexed under their length and all block values with up to FLIPS bits changed: of two fingerprints within RADIUS bits, at least one
+block differs in RADIUS // BLOCKS = FLIPS bits or fewer, so all of them are found. A window meets items of its own length only. Candidates are
+verified by the exact weighted Jaccard similarity of window and item, which must be THRESHOLD or more.
 
-The benchmark's shingles and index are broadcast while they have at most BROADCAST_ROWS rows, else joined by shuffle.
+The benchmark's shingles and index, the places of windows and the windows that match are broadcast while they have at most BROADCAST_ROWS rows,
+else joined by shuffle; then windows that many documents have (common.attach) are broadcast alone, so no passage gathers in one task.
 
 Defined results: one row for each (doc_id, item_id) that matches, with its best window (most similar, then first); rows with the
 same doc_id count as one document, also null ids; an item with fewer than five words matches where its words stand in a row;
@@ -21,10 +23,9 @@ from __future__ import annotations
 import itertools
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import materialize
+from chatloom.llm.common import attach, materialize
 
 SHINGLE, THRESHOLD = 5, 0.8
 BLOCKS, RADIUS = 7, 20
@@ -75,12 +76,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     """doc_id, item_id, start, n_words, hamming, similarity. See the module's text."""
     items = benchmark.select(F.col("item_id"), words("text").alias("w")).where(F.size("w") > 0).withColumn("item", F.monotonically_increasing_id())
     items = materialize(items.select("item", "item_id", "w", F.size("w").alias("n_words")), "items")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tag"), "text")
     found = _long_items(texts, items.where(F.col("n_words") >= SHINGLE), threshold)
     for (n,) in items.where(F.col("n_words") < SHINGLE).select("n_words").distinct().collect():  # at most four lengths
         found = found.unionByName(_short_items(texts, items.where(F.col("n_words") == n), n))
-    best = W.partitionBy("doc_id", "item_id").orderBy(F.desc("similarity"), "start", "n_words", "hamming")
-    return found.withColumn("nth", F.row_number().over(best)).where("nth = 1").select("doc_id", "item_id", "start", "n_words", "hamming", "similarity")
+    best = F.min(F.struct((-F.col("similarity")).alias("s"), "start", "n_words", "hamming")).alias("b")
+    found = found.groupBy("doc_id", "item_id").agg(best)
+    return found.select("doc_id", "item_id", "b.start", "b.n_words", "b.hamming", (-F.col("b.s")).alias("similarity"))
 
 
 def _small(df: DataFrame) -> DataFrame:
@@ -89,10 +91,10 @@ def _small(df: DataFrame) -> DataFrame:
 
 
 def _hits(texts: DataFrame, places: DataFrame, n: int) -> DataFrame:
-    """doc_id, at, h where a document has a shingle of places (h)."""
+    """doc_id, tag, at, h where a document has a shingle of places (h)."""
     # explode_outer: for explode, Catalyst filters on the array's size below the projections, which makes the words again for each shingle
-    hashed = texts.select("doc_id", words("text").alias("w")).select("doc_id", shingles("w", n).alias("hs"))
-    return hashed.select("doc_id", F.posexplode_outer("hs").alias("at", "h")).join(_small(places.select("h").distinct()), "h", "left_semi")
+    hashed = texts.select("doc_id", "tag", words("text").alias("w")).select("doc_id", "tag", shingles("w", n).alias("hs"))
+    return hashed.select("doc_id", "tag", F.posexplode_outer("hs").alias("at", "h")).join(_small(places.select("h").distinct()), "h", "left_semi")
 
 
 def _short_items(texts: DataFrame, items: DataFrame, n: int) -> DataFrame:
@@ -111,42 +113,55 @@ def _long_items(texts: DataFrame, items: DataFrame, threshold: float) -> DataFra
     counts = materialize(places.groupBy("item", "h").agg(F.count("*").alias("n")).join(weight, "h").select("item", "h", (F.col("n") * F.col("idf")).alias("weight")), "items")
     prints = materialize(simhash(counts, ["item"]), "items")
 
-    hits = materialize(_hits(texts, places, SHINGLE).select("doc_id", "at", "h"), "hits")
-    starts = hits.join(_small(places), "h").select("doc_id", (F.col("at") - F.col("place")).alias("start"), F.col("n_words").alias("long")).distinct()
-    spots = starts.groupBy("doc_id").agg(F.collect_list(F.struct("start", "long")).alias("spots"))  # up to a document's words times the item lengths
+    hits = materialize(_hits(texts, places, SHINGLE), "hits")
+    at = places.select("h", "place", F.col("n_words").alias("long")).distinct()  # what items have in common counts once
+    starts = hits.join(_small(at), "h").select("doc_id", "tag", (F.col("at") - F.col("place")).alias("start"), "long").distinct()
+    spots = starts.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("start", "long")).alias("spots"))  # up to a text's words times the item lengths
+    contents, spots = _windows(texts, materialize(spots, "spots"))
 
-    texts = texts.withColumnRenamed("doc_id", "id")
-    mine = texts.join(spots, F.col("id").eqNullSafe(F.col("doc_id"))).select("doc_id", "spots", words("text").alias("w"))
-    mine = mine.select("doc_id", "spots", F.size("w").alias("size"), shingles("w", SHINGLE).alias("hs"))
-    spot = mine.select("doc_id", F.explode_outer(F.transform("spots", lambda s: F.struct(
-        F.greatest(s["start"], F.lit(0)).alias("start"),
-        F.least(s["start"] + s["long"], F.col("size")).alias("stop"),
-        F.slice(F.col("hs"), F.greatest(s["start"], F.lit(0)) + 1, F.least(s["start"] + s["long"], F.col("size")) - F.greatest(s["start"], F.lit(0)) - (SHINGLE - 1)).alias("hs"),
-    ))).alias("s"))
-    # a window's key; tag: rows that share an id may differ; fields of a struct compare null-safe
-    spot = spot.select(F.struct("doc_id", "s.start", "s.stop", F.xxhash64("s.hs").alias("tag")).alias("win"), "s.hs").dropDuplicates(["win"])
-    inside = spot.select("win", F.explode_outer("hs").alias("h")).where("h is not null").groupBy("win", "h").agg(F.count("*").alias("n"))
-    inside = inside.join(_small(weight), "h", "left").select("win", "h", (F.col("n") * F.coalesce("idf", F.lit(most))).alias("weight"))
+    inside = contents.select("content", "long", F.explode_outer("hs").alias("h")).where("h is not null").groupBy("content", "long", "h").agg(F.count("*").alias("n"))
+    inside = inside.join(_small(weight), "h", "left").select("content", "long", "h", (F.col("n") * F.coalesce("idf", F.lit(most))).alias("weight"))
     inside = materialize(inside, "windows")
-    seen = simhash(inside, ["win"])
+    seen = simhash(inside, ["content", "long"])
 
-    index = prints.select("item", F.col("sim").alias("item_sim"), F.col("total").alias("item_total"), F.explode(near_block_values(F.col("sim"))).alias("b")).select("item", "item_sim", "item_total", "b.block", "b.value")
-    probe = seen.select("win", "total", "sim", F.explode(block_values(F.col("sim"))).alias("b")).select("win", "total", "sim", "b.block", "b.value")
+    size = items.select("item", F.col("n_words").alias("long"))
+    index = prints.join(_small(size), "item").select("item", "long", F.col("sim").alias("item_sim"), F.col("total").alias("item_total"), F.explode(near_block_values(F.col("sim"))).alias("b")).select("item", "long", "item_sim", "item_total", "b.block", "b.value")
+    probe = seen.select("content", "long", "total", "sim", F.explode(block_values(F.col("sim"))).alias("b")).select("content", "long", "total", "sim", "b.block", "b.value")
     probe, index = probe.alias("p"), _small(index).alias("i")
     hamming = F.bit_count(F.col("p.sim").bitwiseXOR(F.col("i.item_sim")))
-    near = probe.join(index, (F.col("p.block") == F.col("i.block")) & (F.col("p.value") == F.col("i.value")) & (hamming <= RADIUS))
-    near = materialize(near.select("win", "total", "item", "item_total", hamming.alias("hamming")).distinct(), "near")
-
-    mine = near.select("win", "item").join(inside, "win")
-    common = mine.join(_small(counts.withColumnRenamed("weight", "other")), ["item", "h"]).groupBy("win", "item").agg(F.sum(F.least("weight", "other")).alias("common"))
-    both = near.join(common, ["win", "item"])
-    sim = F.col("common") / (F.col("total") + F.col("item_total") - F.col("common"))
-    both = both.withColumn("similarity", sim).where(F.col("similarity") >= threshold).select("win.*", "item", "hamming", "similarity")
-    names = items.select("item", "item_id")
-    return both.join(_small(names), "item").select("doc_id", "item_id", F.col("start").cast("long").alias("start"), (F.col("stop") - F.col("start")).cast("long").alias("n_words"), "hamming", "similarity")
+    same = [F.col(f"p.{c}") == F.col(f"i.{c}") for c in ("long", "block", "value")]
+    near = probe.join(index, [*same, hamming <= RADIUS])
+    near = materialize(near.select("content", "total", "item", "item_total", hamming.alias("hamming")).distinct(), "near")
+
+    common = near.select("content", "item").join(inside, "content").join(_small(counts.withColumnRenamed("weight", "other")), ["item", "h"])
+    common = common.groupBy("content", "item").agg(F.sum(F.least("weight", "other")).alias("common"))
+    similarity = F.col("common") / (F.col("total") + F.col("item_total") - F.col("common"))
+    good = near.join(common, ["content", "item"]).withColumn("similarity", similarity).where(F.col("similarity") >= threshold)
+    good = good.join(_small(items.select("item", "item_id")), "item").select("content", F.struct("item_id", "hamming", "similarity").alias("match"))
+    good = materialize(good.groupBy("content").agg(F.collect_list("match").alias("matches")), "good")  # up to the items of a length
+    if good.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        out = spots.join(F.broadcast(good), "content")
+    else:
+        copies = spots.groupBy("content").agg(F.count("*").alias("copies"))
+        out = attach(spots, materialize(copies.join(good, "content"), "good"), ["content"], "copies", spots.count()).where("matches is not null")
+    out = out.select("doc_id", "start", "stop", F.explode("matches").alias("m"))
+    return out.select("doc_id", "m.item_id", F.col("start").cast("long").alias("start"), (F.col("stop") - F.col("start")).cast("long").alias("n_words"), "m.hamming", "m.similarity")
+
+
+def _windows(texts: DataFrame, spots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct windows (content, long, hs), and where they are (doc_id, start, stop, content); spots: doc_id, tag and arrays of start, long."""
+    named = texts.select(F.col("doc_id").alias("id"), F.col("tag").alias("own"), "text")
+    mine = named.join(_small(spots), F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("own") == F.col("tag"))).select("doc_id", "spots", words("text").alias("w"))
+    mine = mine.select("doc_id", "spots", F.size("w").alias("size"), shingles("w", SHINGLE).alias("hs"))
+    low, high = (lambda s: F.greatest(s["start"], F.lit(0))), (lambda s: F.least(s["start"] + s["long"], F.col("size")))
+    cut = F.transform("spots", lambda s: F.struct(low(s).alias("start"), high(s).alias("stop"), s["long"].alias("long"), F.slice(F.col("hs"), low(s) + 1, high(s) - low(s) - (SHINGLE - 1)).alias("hs")))
+    spot = mine.select("doc_id", F.explode_outer(cut).alias("s")).select("doc_id", "s.start", "s.stop", "s.long", F.array_sort("s.hs").alias("hs"))
+    content = F.struct("long", F.xxhash64("hs").alias("h1"), F.xxhash64(F.lit(1), "hs").alias("h2"))  # 128 bits for each length
+    spot = materialize(spot.where(F.size("hs") > 0).withColumn("content", content), "windows")
+    return spot.groupBy("content").agg(F.first("long").alias("long"), F.first("hs").alias("hs")), spot.select("doc_id", "start", "stop", "content")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that match no item, with all their columns."""
-    bad = contaminated(docs, benchmark).select("doc_id").distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    bad = materialize(contaminated(docs, benchmark).select("doc_id").distinct(), "bad")
+    return docs.join(_small(bad), docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
