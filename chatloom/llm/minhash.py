@@ -11,8 +11,10 @@ Texts with the same shingle multiset are one node from the start. In a band's bu
 paired with the one before it that shares the most samples: pairs grow in proportion to members. Candidate pairs are
 verified on the exact vectors, and components of verified links of THRESHOLD or more are made. Then all pairs that share a
 bucket, may be similar and lie in different components are verified too: of each, one is not in the bucket's commonest component,
-so those few are compared with all members. That is done block by block on the exact vectors, so these pairs are never listed. No
-link that joins two components is left out. Classes are the components of all verified links.
+so those few are compared with all members. That is done block by block on the exact vectors, so these pairs are never listed. A bucket with
+more than BLOCK members, such as that of a template with many fillings, is first split by prefixes: texts of similarity THRESHOLD have in common one of the
+features (rarest first) that make up the first 1 - THRESHOLD of their weight, so only members that share such a feature are compared, and
+rows grow in proportion to members. No link that joins two components is left out. Classes are the components of all verified links.
 
 Defined results: null counts as empty text; a text with fewer than five words has one shingle of all its words; a text without
 words is a class of its own; class_id is the smallest doc_id of the class; rows that repeat are returned as often; an empty table gives
@@ -39,6 +41,8 @@ COMMON = 4096
 #: Shares of equal samples from which a pair is a candidate (0.8 is 3.5 standard deviations above).
 MAYBE = 0.625
 BLOCK = 512
+#: Up to so many document ids (8 bytes each) are broadcast, else joined by shuffle.
+BROADCAST_IDS = 500_000
 _STEP = np.cumprod(np.full(SHINGLE, 0xD6E8FEB86659FD93, np.uint64))
 _K = BANDS * ROWS
 _rng = np.random.default_rng(9)
@@ -262,7 +266,8 @@ def shared_bands(nodes: DataFrame) -> DataFrame:
     """band, key, n, node, samples of the nodes that share a band with another; nodes: node, bands, samples."""
     rows = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     shared = rows.groupBy("band", "key").agg(F.count("*").alias("n"), F.min("node").alias("centre")).where("n > 1")
-    return rows.join(shared, ["band", "key"]).join(nodes.select("node", "samples"), "node").select("band", "key", "n", "centre", "node", "samples")
+    rows = attach(rows, materialize(shared, "buckets"), ["band", "key"], "n", BANDS * nodes.count()).where("n is not null")
+    return rows.join(nodes.select("node", "samples"), "node").select("band", "key", "n", "centre", "node", "samples")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -281,14 +286,64 @@ def first_pairs(shared: DataFrame) -> DataFrame:
     return _ordered(_grouped(dealt, ["band", "key", "block"], kernel, "a binary, b binary"))
 
 
+def with_commonest(named: DataFrame, of: DataFrame) -> DataFrame:
+    """The rows of buckets with more than one label, with the commonest label (most) and its rows (c)."""
+    counts = named.groupBy("band", "key", "label").agg(F.count("*").alias("c"), F.first("n").alias("n"))
+    top = counts.groupBy("band", "key").agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("kinds"), F.first("n").alias("n")).where("kinds > 1")
+    top = materialize(top.select("band", "key", "n", F.col("top.label").alias("most"), F.col("top.c").alias("c")), "top")
+    return attach(named.drop("n"), top, ["band", "key"], "n", of.count()).where("most is not null")
+
+
+def prefixes(docs: DataFrame, wanted: DataFrame, weights, threshold: float = THRESHOLD) -> DataFrame:
+    """band (-1), key, node: of each wanted document the features (shingle and its number in the text) that make up the first 1 - threshold
+    of its weight, in one order for all texts: rarest first, ties by hash. Two texts of similarity threshold share one of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in slices(batches):
+            s, tf, sizes = shingles(texts)
+            edge = np.r_[0, np.cumsum(sizes)].tolist()
+            keys, features = [], []
+            for i, node in enumerate(node_keys(s, tf, sizes)):
+                if node is None:
+                    continue
+                mine, n = s[edge[i] : edge[i + 1]], tf[edge[i] : edge[i + 1]]
+                weight = np.repeat(weights.value[buckets(mine)], n)
+                nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                feature = mix(np.repeat(mine, n) + mix(nth.astype(np.uint64)))
+                order = np.lexsort((feature, -weight))
+                before = np.cumsum(weight[order]) - weight[order]
+                taken = feature[order][before <= (1 - threshold + 1e-9) * weight.sum()]
+                features.append(taken)
+                keys += [node] * len(taken)
+            key = np.concatenate([np.zeros(0, np.uint64), *features]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), -1), pa.int32()), pa.array(key), pa.array(keys, pa.binary())], ["band", "key", "node"])
+
+    return chosen(docs, wanted).mapInArrow(run, "band int, key long, node binary").distinct()
+
+
+def chosen(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """doc_id and text of the documents with an id in column wanted."""
+    if wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)
+    return (d := documents(docs)).join(wanted, d["doc_id"].eqNullSafe(wanted["wanted"]), "left_semi")
+
+
 def other_links(docs: DataFrame, nodes: DataFrame, shared: DataFrame, labels: DataFrame, weights, threshold: float = THRESHOLD) -> DataFrame:
     """a, b, similarity: verified links between components, enough to join all components that pairs of a bucket link. Of such
     a pair at least one is not in the bucket's commonest component, so those few are compared with all members, cell by cell: first by
-    samples, then those that may be similar by their exact vectors. Pairs aren't listed, so a bucket of n texts makes n rows a cell."""
-    named = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).drop("centre")
-    counts = named.groupBy("band", "key", "label").agg(F.count("*").alias("c"))
-    top = counts.groupBy("band", "key").agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("kinds")).where("kinds > 1")
-    named = named.join(top.select("band", "key", F.col("top.label").alias("most"), F.col("top.c").alias("c")), ["band", "key"])
+    samples, then those that may be similar by their exact vectors. Pairs aren't listed, so a bucket of n texts makes n rows a cell. Buckets over
+    BLOCK texts are split by prefixes() first; a feature that over BLOCK of their texts begin with is compared block by block of both sides."""
+    named = materialize(shared.drop("centre").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "named")
+    small = with_commonest(named.where(F.col("n") <= BLOCK), named)
+    large = with_commonest(named.where(F.col("n") > BLOCK), named).select("node", "samples", "label").dropDuplicates(["node"])
+    if not large.isEmpty():
+        large = materialize(large, "large")
+        wanted = nodes.join(large.select("node"), "node", "left_semi").select(F.col("rep").alias("wanted"))
+        rows = materialize(prefixes(docs, wanted, weights, threshold).join(large, "node"), "prefixes")
+        sizes = rows.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+        rows = attach(rows, materialize(sizes, "sizes"), ["band", "key"], "n", rows.count()).where("n is not null")
+        small = small.unionByName(with_commonest(rows.select(*named.columns), rows))
+    named = small
     few = F.col("label") != F.col("most")
     blocks, rare = F.ceil(F.col("n") / BLOCK).cast("long"), F.ceil((F.col("n") - F.col("c")) / BLOCK).cast("long")
     h = F.xxhash64("node", "band")
@@ -315,7 +370,7 @@ def other_links(docs: DataFrame, nodes: DataFrame, shared: DataFrame, labels: Da
     wanted = nodes.join(maybe.select("node").distinct(), "node", "left_semi").select(F.col("rep").alias("wanted"))
 
     def linked(g: dict) -> list[tuple]:
-        pairs = [(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint16)) for x, y in zip(g["s"], g["tf"], strict=True)]
+        pairs = [(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint32)) for x, y in zip(g["s"], g["tf"], strict=True)]
         return cells.links(g["node"], g["label"], g["few"], g["kind"][0] == 1, pairs, lambda x: weights.value[buckets(x)], similarity, threshold)
 
     return materialize(_grouped(maybe.join(vectors(docs, wanted), "node"), by, linked, "a binary, b binary, similarity double"), "links")
@@ -330,10 +385,10 @@ def vectors(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             edge = np.r_[0, np.cumsum(sizes)].tolist()
             keys = node_keys(s, tf, sizes)
             at = [i for i, k in enumerate(keys) if k is not None]
-            small = np.minimum(tf, 65535).astype(np.uint16)
-            yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in at], pa.binary()), pa.array([s[edge[i] : edge[i + 1]].tobytes() for i in at], pa.binary()), pa.array([small[edge[i] : edge[i + 1]].tobytes() for i in at], pa.binary())], ["node", "s", "tf"])
+            counts = tf.astype(np.uint32)
+            yield pa.RecordBatch.from_arrays([pa.array([keys[i] for i in at], pa.binary()), pa.array([s[edge[i] : edge[i + 1]].tobytes() for i in at], pa.binary()), pa.array([counts[edge[i] : edge[i + 1]].tobytes() for i in at], pa.binary())], ["node", "s", "tf"])
 
-    return (d := documents(docs)).join(wanted, d["doc_id"].eqNullSafe(wanted["wanted"]), "left_semi").mapInArrow(run, "node binary, s binary, tf binary").dropDuplicates(["node"])
+    return chosen(docs, wanted).mapInArrow(run, "node binary, s binary, tf binary").dropDuplicates(["node"])
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -352,7 +407,7 @@ def verified(pairs: DataFrame, vecs: DataFrame, weights, threshold: float = THRE
 
     def vector(s: bytes, tf: bytes) -> tuple[np.ndarray, np.ndarray]:
         x = np.frombuffer(s, np.uint64)
-        return x, np.frombuffer(tf, np.uint16) * weights.value[buckets(x)]
+        return x, np.frombuffer(tf, np.uint32) * weights.value[buckets(x)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
