@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -32,14 +33,57 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Folders that materialize() wrote and that are still there, in order.
+_tables: list[str] = []
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Cut lineage: write df as Parquet to the shared folder and read it again."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _tables.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that nothing reads any more."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+        _tables.remove(path)
+
+
+@contextmanager
+def only_last_table(spark: SparkSession) -> Iterator[None]:
+    """Of the tables written within, delete all but the last one, which must not be read through the others."""
+    before = set(_tables)
+    yield
+    discard(spark, [p for p in _tables if p not in before][:-1])
+
+
+def last_table() -> str:
+    return _tables[-1]
+
+
+#: Ids (some 50 bytes each) that are broadcast at most.
+BROADCAST_IDS = 500_000
+
+
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, whose doc_id isn't in column gone of ids, null ids included. Ids are broadcast if a count shows
+    that they are few, else both sides are shuffled."""
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["gone"]), "left_anti")
+
+
+def dropped_ids(decided: DataFrame, tag: str) -> DataFrame:
+    """gone: the ids of which decided (doc_id, kept) keeps no row."""
+    gone = decided.groupBy(F.col("doc_id").alias("gone")).agg(F.max("kept").alias("kept")).where("not kept")
+    return materialize(gone.select("gone"), tag)
+
+
 def documents(docs: DataFrame) -> DataFrame:
     """doc_id and text alone, null text as empty: other columns can't clash with what an operator adds."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))

@@ -25,7 +25,7 @@ import itertools
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import attach, materialize
+from chatloom.llm.common import attach, materialize, without_ids
 
 SHINGLE, THRESHOLD = 5, 0.8
 BLOCKS, RADIUS = 7, 20
@@ -163,5 +163,4 @@ def _windows(texts: DataFrame, spots: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of docs that match no item, with all their columns."""
-    bad = materialize(contaminated(docs, benchmark).select("doc_id").distinct(), "bad")
-    return docs.join(_small(bad), docs["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    return without_ids(docs, materialize(contaminated(docs, benchmark).select(F.col("doc_id").alias("gone")).distinct(), "leaks"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import attach, documents, materialize, slices
+from chatloom.llm.common import attach, documents, dropped_ids, materialize, slices, without_ids
 
 P = (1 << 31) - 1
 BASES = (1_103_515_245, 1_812_433_253)
@@ -101,6 +101,5 @@ def exact_groups(docs: DataFrame, modulus: int = P) -> DataFrame:
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns."""
-    kept = exact_groups(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """The rows of docs that stay, with all their columns; rows that share an id stay together."""
+    return without_ids(docs, dropped_ids(exact_groups(docs), "exact"))

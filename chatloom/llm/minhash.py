@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm import cells
-from chatloom.llm.common import attach, documents, materialize, mix, slices, words
+from chatloom.llm.common import BROADCAST_IDS, attach, documents, dropped_ids, materialize, mix, slices, without_ids, words
 from chatloom.llm.graph import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -41,8 +41,6 @@ COMMON = 4096
 #: Shares of equal samples from which a pair is a candidate (0.8 is 3.5 standard deviations above).
 MAYBE = 0.625
 BLOCK = 512
-#: Up to so many document ids (8 bytes each) are broadcast, else joined by shuffle.
-BROADCAST_IDS = 500_000
 _STEP = np.cumprod(np.full(SHINGLE, 0xD6E8FEB86659FD93, np.uint64))
 _K = BANDS * ROWS
 _rng = np.random.default_rng(9)
@@ -454,6 +452,5 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_copies(docs: DataFrame) -> DataFrame:
-    """The document of each class with the smallest id, with all columns."""
-    kept = near_duplicate_classes(docs).where("kept").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """The document of each class with the smallest id, with all columns; rows that share an id stay together."""
+    return without_ids(docs, dropped_ids(near_duplicate_classes(docs), "near"))

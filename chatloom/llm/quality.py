@@ -150,12 +150,16 @@ def score(model: dict, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -700, 700)))
 
 
+def learn(table: DataFrame, labels: DataFrame) -> dict:
+    """The model from all rows of table (doc_id, x) of the learning folds that have a label."""
+    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality").where(F.col("quality").isin(0, 1) & ~held_out())
+    return fit(moments(table.join(known, "doc_id")))
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted for each of docs. See the module's text."""
-    spark = docs.sparkSession
     table = materialize(add_features(docs), "quality")
-    known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality").where(F.col("quality").isin(0, 1) & ~held_out())
-    model = spark.sparkContext.broadcast(fit(moments(table.join(known, "doc_id"))))  # d^2 numbers
+    model = docs.sparkSession.sparkContext.broadcast(learn(table, labels))  # d^2 numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -168,6 +172,18 @@ def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that the classifier accepts, with all their columns."""
-    kept = quality_scores(docs, labels).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi")
+    """The rows of docs whose text the classifier accepts, with all their columns. Rows are scored where they are read, so texts aren't joined."""
+    taught = docs.where(~held_out())
+    model = docs.sparkSession.sparkContext.broadcast(learn(add_features(taught), labels))  # d^2 numbers
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            done = 0
+            text = pa.RecordBatch.from_arrays([b.column(at), b.column(at).cast(pa.string()).fill_null("")], ["row", "text"])
+            for _, texts in slices(iter([text])):
+                keep = score(model.value, features(texts)) >= 0.5
+                yield b.slice(done, len(texts)).filter(pa.array(keep))
+                done += len(texts)
+
+    return docs.mapInArrow(run, docs.schema)
