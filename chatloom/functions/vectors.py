@@ -26,3 +26,9 @@ def euclidean(a: Column, b: Column) -> Column:
 
 def sigmoid(c: Column, middle: float = 3.0, width: float = 2.0) -> Column:
     return 1 / (1 + F.exp(-(c - middle) / width))
+
+
+def letter_vector(c: Column) -> Column:
+    """How often each letter from a to z is in a text: an offline stand-in for a text's embedding."""
+    low = F.lower(c)
+    return F.array(*((F.length(low) - F.length(F.replace(low, F.lit(x)))).cast("double") for x in "abcdefghijklmnopqrstuvwxyz"))

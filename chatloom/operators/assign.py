@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -11,9 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from chatloom.functions.vectors import cosine, sigmoid
+from chatloom.functions.vectors import sigmoid
 
-#: Phrases whose vectors each task may hold at once (8 MB for 64 numbers each).
+#: Phrases that each task holds at once (8 MB of vectors for 64 numbers each); more are met block by block.
 PHRASES = 16_384
 
 
@@ -36,15 +37,32 @@ class Thresholds:
             raise ValueError("the weights must sum to 1")
 
 
+def phrase_blocks(phrases: DataFrame) -> Iterator[list]:
+    """Rows of phrases, ordered by theme and phrase, at most PHRASES at a time."""
+    block: list = []
+    for row in phrases.orderBy("theme", "phrase").toLocalIterator():
+        block.append(row)
+        if len(block) == PHRASES:
+            yield block
+            block = []
+    if block:
+        yield block
+
+
 def theme_scores(messages: DataFrame, phrases: DataFrame) -> DataFrame:
-    """message, theme, score, phrase: the best cosine over a theme's phrases (ties: the first phrase). The phrases are few and
-    checked to be; each task multiplies Arrow batches of messages with them."""
-    rows = phrases.orderBy("theme", "phrase").limit(PHRASES + 1).collect()
-    if len(rows) > PHRASES:
-        return theme_scores_joined(messages, phrases)
+    """message, theme, score, phrase: the best cosine over a theme's phrases (ties to nine digits: the first phrase). Each task multiplies
+    Arrow batches of messages with a block of phrases at a time; a theme's best of several blocks is an aggregate."""
+    found = [_block_scores(messages, rows) for rows in phrase_blocks(phrases)]
+    if len(found) < 2:
+        return found[0] if found else _block_scores(messages, [])
+    best = F.max(F.struct(F.round("score", 9).alias("s"), (-F.col("phrase")).alias("p"), "score"))
+    return reduce(DataFrame.union, found).groupBy("message", "theme").agg(best.alias("b")).select("message", "theme", "b.score", (-F.col("b.p")).alias("phrase"))
+
+
+def _block_scores(messages: DataFrame, rows: list) -> DataFrame:
     themes = np.array([r["theme"] for r in rows], np.int64)
     ids = np.array([r["phrase"] for r in rows], np.int64)
-    m = np.array([r["v"] for r in rows], np.float64).reshape(len(rows), -1)
+    m = np.array([r["v"] for r in rows], np.float64).reshape(len(rows), -1) if rows else np.zeros((0, 0))
     length = np.sqrt((m * m).sum(1, keepdims=True))
     m = np.divide(m, length, out=np.zeros_like(m), where=length > 0)
     starts = np.flatnonzero(np.r_[True, themes[1:] != themes[:-1]]) if len(rows) else np.zeros(0, int)
@@ -60,20 +78,12 @@ def theme_scores(messages: DataFrame, phrases: DataFrame) -> DataFrame:
             s = np.divide(x, size, out=np.zeros_like(x), where=size > 0) @ m.T
             ends = np.r_[starts[1:], len(m)]
             for a, e in zip(starts.tolist(), ends.tolist(), strict=True):
-                at = s[:, a:e].argmax(1)
+                at = np.round(s[:, a:e], 9).argmax(1)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.full(len(b), themes[a])), pa.array(s[np.arange(len(b)), a + at]), pa.array(ids[a + at])], ["message", "theme", "score", "phrase"])
 
     return messages.select("message", "v").mapInArrow(run, "message long, theme long, score double, phrase long")
 
 
-def theme_scores_joined(messages: DataFrame, phrases: DataFrame) -> DataFrame:
-    """The same in DataFrame functions, for any number of phrases: messages meet them in blocks of the phrases' table."""
-    pairs = messages.select("message", "v").join(phrases.select("phrase", "theme", F.col("v").alias("pv")), F.lit(True))
-    scored = pairs.select("message", "theme", "phrase", cosine(F.col("v"), F.col("pv")).alias("score"))
-    best = F.max(F.struct("score", (-F.col("phrase")).alias("p")))
-    return scored.groupBy("message", "theme").agg(best.alias("b")).select("message", "theme", "b.score", (-F.col("b.p")).alias("phrase"))
-
-
 def decide(scores: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """message, theme, score, gap, status of each message; columns message, theme, score. With one theme the gap is 1."""
     w = W.partitionBy("message").orderBy(F.desc("s"), "theme")
@@ -97,6 +107,24 @@ def boosted(scores: DataFrame, intents: DataFrame, t: Thresholds = Thresholds())
     return scores.join(hit, ["message", "theme"], "left").withColumn("score", F.when(F.col("hit"), F.least(F.col("score") + t.boost, F.lit(1.0))).otherwise(F.col("score"))).drop("hit")
 
 
+def winners(scores: DataFrame) -> DataFrame:
+    """message, theme: the best theme of each message (ties: the smallest)."""
+    best = F.max(F.struct(F.round("score", 9).alias("s"), (-F.col("theme")).alias("t")))
+    return scores.groupBy("message").agg(best.alias("b")).select("message", (-F.col("b.t")).alias("theme"))
+
+
+def intent_boost(scores: DataFrame, intents: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
+    """message, theme, before: the best theme with the boost and the one that was best without it."""
+    return winners(boosted(scores, intents, t)).join(winners(scores).withColumnRenamed("theme", "before"), "message")
+
+
+def intent_rescue(decided: DataFrame, scores: DataFrame, intents: DataFrame, factor: float = 1.2, least: float = 0.5) -> DataFrame:
+    """message, theme of miscellaneous messages of which a theme of their intent scores `least` or more when multiplied by factor (no cap)."""
+    miscellaneous = decided.where("status = 'miscellaneous'").select("message")
+    tried = scores.join(intents.select("message", "theme").distinct(), ["message", "theme"]).withColumn("score", F.col("score") * factor)
+    return winners(tried.where(F.round("score", 9) >= least).join(miscellaneous, "message", "left_semi"))
+
+
 def reassigned(decided: DataFrame, scores: DataFrame, valid: DataFrame, above: float) -> DataFrame:
     """Borderline messages with a best score over `above` go to the best theme that is still valid."""
     best = scores.join(valid.select("theme"), "theme", "left_semi").groupBy("message").agg(F.max(F.struct(F.round("score", 9).alias("s"), (-F.col("theme")).alias("t"))).alias("b")).select("message", (-F.col("b.t")).alias("better"))

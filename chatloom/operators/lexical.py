@@ -1,16 +1,18 @@
-"""Word-based matching of messages and phrases: BM25Plus and token-sort ratio."""
+"""Word-based matching of messages and phrases: BM25Plus and token-sort ratio; the three signals of a theme."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from chatloom.functions.text import squeezed
+from chatloom.functions.vectors import letter_vector
+from chatloom.operators.assign import fused, phrase_blocks, theme_scores
 
 K1, B, DELTA = 1.5, 0.75, 1.0
 
@@ -20,9 +22,9 @@ def tokens(c: Column) -> Column:
 
 
 def bm25plus(messages: DataFrame, phrases: DataFrame) -> DataFrame:
-    """message, phrase, raw: phrases are the documents, a message's words, repeats counted, the query. Every query word that any phrase has
+    """message, phrase, base, raw: phrases are the documents, a message's words, repeats counted, the query. Every query word that any phrase has
     adds idf * delta, so a message without such a word scores 0; only phrases that share a word get a row of their own, and
-    phrase null stands for the rest. Columns message, text and phrase."""
+    phrase null stands for the rest; base is what every phrase scores. Columns message, text and phrase."""
     words = phrases.select("phrase", tokens(F.col("phrase")).alias("w"))
     sizes = words.agg(F.count("*").alias("n"), F.avg(F.size("w").cast("double")).alias("mean"))
     tf = words.select("phrase", F.size("w").alias("dl"), F.explode("w").alias("word")).groupBy("phrase", "dl", "word").agg(F.count("*").alias("tf"))
@@ -31,7 +33,7 @@ def bm25plus(messages: DataFrame, phrases: DataFrame) -> DataFrame:
     base = query.groupBy("message").agg(F.sum(F.col("q") * F.col("idf") * DELTA).alias("base"))
     part = F.col("q") * F.col("idf") * (F.col("tf") * (K1 + 1) / (K1 * (1 - B + B * F.col("dl") / F.col("mean")) + F.col("tf")))
     hits = query.join(tf, "word").groupBy("message", "phrase").agg(F.sum(part).alias("more"))
-    return messages.select("message").join(base, "message", "left").join(hits, "message", "left").select("message", "phrase", (F.coalesce("base", F.lit(0.0)) + F.coalesce("more", F.lit(0.0))).alias("raw"))
+    return messages.select("message").join(base, "message", "left").join(hits, "message", "left").select("message", "phrase", F.coalesce("base", F.lit(0.0)).alias("base"), (F.coalesce("base", F.lit(0.0)) + F.coalesce("more", F.lit(0.0))).alias("raw"))
 
 
 def best_bm25(messages: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -54,31 +56,52 @@ def lcs(a: str, b: str) -> int:
     return len(a) - (row & full).bit_count()
 
 
-def token_sort_ratio(messages: DataFrame, phrases: DataFrame) -> DataFrame:
-    """message, best and phrase: the highest ratio over all phrases, a small set that each task holds. Ties: the first phrase."""
-    names = [r[0] for r in phrases.select("phrase").distinct().orderBy("phrase").collect()]  # phrases of at most some hundred themes
-    texts = [" ".join(sorted(n.lower().split())) for n in names]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            best = []
-            for t in b["sorted"]:
-                scores = [2 * lcs(t, p) / (len(t) + len(p)) if t or p else 1.0 for p in texts] or [0.0]
-                best.append((int(np.argmax(scores)), max(scores)))
-            yield pd.DataFrame({"message": b["message"], "phrase": [names[i] if names else None for i, _ in best], "best": [s for _, s in best]})
-
-    return messages.select("message", sorted_tokens(F.col("text")).alias("sorted")).mapInPandas(run, "message long, phrase string, best double")
+def theme_bm25(messages: DataFrame, phrases: DataFrame, grid: DataFrame) -> DataFrame:
+    """The rows of grid (message, theme) with raw, the highest score of the theme's phrases; a theme without a common word has the base."""
+    scored = bm25plus(messages, phrases.select("phrase").distinct())
+    base = scored.groupBy("message").agg(F.max("base").alias("base"))
+    best = scored.where("phrase is not null").join(phrases.select("phrase", "theme").distinct(), "phrase").groupBy("message", "theme").agg(F.max("raw").alias("raw"))
+    out = grid.join(base, "message").join(best, ["message", "theme"], "left")
+    return out.withColumn("raw", F.coalesce("raw", "base")).drop("base")
 
 
-def phrase_matches(messages: DataFrame, phrases: DataFrame) -> DataFrame:
-    """theme, phrase, n: messages that contain each phrase's first word, joined by word."""
-    words = messages.select("message", F.explode(F.array_distinct(tokens(F.col("text")))).alias("word"))
-    return phrases.select("theme", "phrase", F.explode(F.array_distinct(tokens(F.col("phrase")))).alias("word")).join(words, "word").groupBy("theme", "phrase").agg(F.countDistinct("message").alias("n"))
-
+def token_sort_ratio(messages: DataFrame, phrases: DataFrame) -> DataFrame:
+    """message, theme, fuzzy: the highest ratio of a theme's phrases. Arrow batches of messages meet a block of phrases at a time."""
+    found = [_block_ratios(messages, rows) for rows in phrase_blocks(phrases.select("theme", "phrase").distinct())]
+    if len(found) < 2:
+        return found[0] if found else _block_ratios(messages, [])
+    return reduce(DataFrame.union, found).groupBy("message", "theme").agg(F.max("fuzzy").alias("fuzzy"))
 
-def ranked(df: DataFrame, by: str, order: list) -> DataFrame:
-    return df.withColumn("nth", F.row_number().over(W.partitionBy(by).orderBy(*order)).cast("long"))
 
+def _block_ratios(messages: DataFrame, rows: list) -> DataFrame:
+    texts = [" ".join(sorted(r["phrase"].lower().split())) for r in rows]
+    themes = np.array([r["theme"] for r in rows], np.int64)
+    starts = np.flatnonzero(np.r_[True, themes[1:] != themes[:-1]]).tolist() if rows else []
 
-def clean_phrase(c: Column) -> Column:
-    return squeezed(F.lower(c))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not len(b) or not texts:
+                continue
+            ratios = np.array([[2 * lcs(t, p) / (len(t) + len(p)) if t or p else 1.0 for p in texts] for t in b.column(1).to_pylist()])
+            for a, e in zip(starts, [*starts[1:], len(texts)], strict=True):
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.full(len(b), themes[a])), pa.array(ratios[:, a:e].max(1))], ["message", "theme", "fuzzy"])
+
+    return messages.select("message", sorted_tokens(F.col("text")).alias("sorted")).mapInArrow(run, "message long, theme long, fuzzy double")
+
+
+def signals(messages: DataFrame, phrases: DataFrame) -> DataFrame:
+    """message, theme, phrase, cosine, raw, norm, fuzzy, fusion of every message (message, text) and theme of phrases (theme, phrase), phrase being
+    the one with the highest cosine. Each different text is scored once."""
+    texts = messages.groupBy("text").agg(F.min("message").alias("message"))
+    numbered = phrases.select("theme", "phrase").distinct()
+    numbered = numbered.withColumn("id", F.row_number().over(W.orderBy("theme", "phrase")).cast("long"))  # phrases of themes are few
+    cosines = theme_scores(texts.select("message", letter_vector(F.col("text")).alias("v")), numbered.select("theme", F.col("id").alias("phrase"), letter_vector(F.col("phrase")).alias("v")))
+    named = cosines.withColumnRenamed("score", "cosine").withColumnRenamed("phrase", "id").join(numbered.select("id", "phrase"), "id").drop("id")
+    scored = theme_bm25(texts, numbered, named).join(token_sort_ratio(texts, numbered), ["message", "theme"])
+    out = fused(scored).join(texts, "message").drop("message")
+    return messages.join(out, "text").select("message", "theme", "phrase", "cosine", "raw", "norm", "fuzzy", "fusion")
+
+
+def phrase_matches(assigned: DataFrame) -> DataFrame:
+    """theme, phrase, n: of the messages of each theme, how many have each phrase as their best one; messages without a theme or phrase don't count."""
+    return assigned.where("theme >= 0 and phrase is not null").groupBy("theme", "phrase").agg(F.count("*").alias("n"))

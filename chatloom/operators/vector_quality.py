@@ -5,6 +5,11 @@ product with the cluster's sum S, so each row meets one vector for each cluster,
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -37,13 +42,32 @@ def mean_cosine(df: DataFrame) -> DataFrame:
 
 
 def coherence(df: DataFrame) -> DataFrame:
-    """cluster, n, coherence: mean pairwise cosine times (1 - its population deviation). The deviation needs the pairs of a cluster, which are
-    made cluster by cluster; themes hold some thousand sampled messages."""
-    a = df.select("cluster", "id", F.col("v").alias("a"))
-    b = df.select("cluster", F.col("id").alias("other"), F.col("v").alias("b"))
-    pairs = a.join(b, (a["cluster"] == b["cluster"]) & (F.col("id") < F.col("other"))).select(a["cluster"], cosine(F.col("a"), F.col("b")).alias("c"))
-    stat = pairs.groupBy("cluster").agg((F.avg("c") * (1 - F.stddev_pop("c"))).alias("coherence"))
-    return df.groupBy("cluster").agg(F.count("*").alias("n")).join(stat, "cluster", "left").select("cluster", "n", F.coalesce("coherence", F.lit(1.0)).alias("coherence"))
+    """cluster, n, coherence: mean pairwise cosine times (1 - its population deviation), 1 for a single vector. With unit vectors u and S their sum,
+    the cosines of all ordered pairs add up to |S|^2 and their squares to the squared Frobenius norm of the sum of u u^T, so a cluster
+    takes one d x d sum, added up in each task before the shuffle, and no pairs."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, tuple] = {}
+        for b in batches:
+            if len(b):
+                cluster, u = b.column(0).to_numpy(), np.array(b.column(1).to_pylist(), np.float64)
+                for k in np.unique(cluster).tolist():
+                    x = u[cluster == k]
+                    own = (x * x).sum(1)
+                    part = (len(x), own.sum(), (own * own).sum(), x.sum(0), x.T @ x)
+                    sums[k] = tuple(a + c for a, c in zip(sums[k], part, strict=True)) if k in sums else part
+        for k, (n, own, squares, s, gram) in sums.items():
+            flat = np.concatenate([[n, own, squares], s, gram.ravel()])
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(flat), k)), pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat), pa.array(np.full(len(flat), len(s), np.int32))], ["cluster", "at", "x", "d"])
+
+    sums = unit(df).select("cluster", "u").mapInArrow(run, "cluster long, at int, x double, d int").groupBy("cluster", "at").agg(F.sum("x").alias("x"), F.max("d").alias("d"))
+    x, at, d = F.col("x"), F.col("at"), F.col("d")
+    total = lambda where, v=x: F.sum(F.when(where, v).otherwise(0.0))
+    each = sums.groupBy("cluster").agg(total(at == 0).alias("n"), total(at == 1).alias("own"), total(at == 2).alias("squares"), total((at > 2) & (at < 3 + d), x * x).alias("sum"), total(at >= 3 + d, x * x).alias("gram"))
+    pairs = F.col("n") * (F.col("n") - 1)
+    mean = (F.col("sum") - F.col("own")) / pairs
+    deviation = F.sqrt(F.greatest((F.col("gram") - F.col("squares")) / pairs - mean * mean, F.lit(0.0)))
+    return each.select("cluster", F.col("n").cast("long").alias("n"), F.when(F.col("n") > 1, mean * (1 - deviation)).otherwise(1.0).alias("coherence"))
 
 
 def silhouette(df: DataFrame) -> DataFrame:
@@ -78,14 +102,53 @@ def similar_pairs(themes: DataFrame, least: float) -> DataFrame:
     return a.join(b, F.col("a") < F.col("b")).select("a", "b", F.round(cosine(F.col("va"), F.col("vb")), 9).alias("similarity")).where(F.col("similarity") >= least)
 
 
+#: Vectors that meet all others at once.
+OTHERS = 4096
+
+
+def nearest(df: DataFrame, k: int) -> DataFrame:
+    """a, b, d: the k nearest others of each vector by Euclidean distance rounded to nine digits (ties: the smaller id). The table passes in blocks
+    of OTHERS vectors; each task keeps the k nearest of a block, and a window those of all blocks."""
+    parts, block = [], []
+
+    def meet(rows: list) -> DataFrame:
+        shared = df.sparkSession.sparkContext.broadcast((np.array([r["id"] for r in rows], np.int64), np.array([r["v"] for r in rows], np.float64)))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            ids, m = shared.value
+            for whole in batches:
+                for low in range(0, len(whole), 512):
+                    b = whole.slice(low, 512)
+                    own, x = b.column(0).to_numpy(), np.array(b.column(1).to_pylist(), np.float64)
+                    near = np.zeros((len(x), len(m)))
+                    for j in range(m.shape[1]):  # differences, not products, so that equal vectors are at 0
+                        near += (x[:, j : j + 1] - m[None, :, j]) ** 2
+                    near = np.round(np.sqrt(near), 9)
+                    near[own[:, None] == ids[None]] = np.inf
+                    order = np.lexsort((np.broadcast_to(ids, near.shape), near), axis=1)[:, :k]
+                    d = np.take_along_axis(near, order, 1)
+                    some = np.isfinite(d)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(own, some.sum(1))), pa.array(ids[order][some]), pa.array(d[some])], ["a", "b", "d"])
+
+        return df.select("id", "v").mapInArrow(run, "a long, b long, d double")
+
+    for row in df.select("id", "v").toLocalIterator():
+        block.append(row)
+        if len(block) == OTHERS:
+            parts.append(meet(block))
+            block = []
+    if block or not parts:
+        parts.append(meet(block)) if block else parts.append(df.sparkSession.createDataFrame([], "a long, b long, d double"))
+    found = reduce(DataFrame.union, parts)
+    return found.withColumn("nth", F.row_number().over(W.partitionBy("a").orderBy("d", "b"))).where(F.col("nth") <= k).drop("nth")
+
+
 def local_outliers(df: DataFrame, k: int = 20, share: float = 0.1) -> DataFrame:
-    """id, lof, outlier: local outlier factors of a sample of at most some thousand vectors, by exact distances."""
-    a, b = df.select(F.col("id").alias("a"), F.col("v").alias("va")), df.select(F.col("id").alias("b"), F.col("v").alias("vb"))
-    near = a.join(b, F.col("a") != F.col("b")).select("a", "b", F.round(euclidean(F.col("va"), F.col("vb")), 9).alias("d"))
-    near = near.withColumn("nth", F.row_number().over(W.partitionBy("a").orderBy("d", "b"))).where(F.col("nth") <= k)
+    """id, lof, outlier: exact local outlier factors; the `share` of all vectors with the highest ones (ties: the smaller id) are outliers."""
+    near = nearest(df, k)
     reach = near.groupBy(F.col("a").alias("b")).agg(F.max("d").alias("kd"))
-    density = near.join(reach, "b").groupBy("a").agg((1 / F.avg(F.greatest("d", "kd"))).alias("lrd"))
+    density = near.join(reach, "b").groupBy("a").agg((1 / F.greatest(F.avg(F.greatest("d", "kd")), F.lit(1e-10))).alias("lrd"))
     lof = near.join(density.select(F.col("a").alias("b"), F.col("lrd").alias("their")), "b").join(density, "a").groupBy("a").agg(F.round(F.avg("their") / F.first("lrd"), 6).alias("lof"))
-    n = F.count("*").over(W.partitionBy())
+    most = F.broadcast(lof.agg(F.floor(F.count("*") * F.lit(share)).alias("most")))  # one row
     rank = F.row_number().over(W.orderBy(F.desc("lof"), "a"))
-    return lof.select(F.col("a").alias("id"), "lof", (rank <= F.floor(n * F.lit(share))).cast("int").alias("outlier"))
+    return lof.withColumn("nth", rank).join(most, F.lit(True)).select(F.col("a").alias("id"), "lof", (F.col("nth") <= F.col("most")).cast("int").alias("outlier"))

@@ -76,20 +76,12 @@ QUERIES = {
         lambda s, d: V.chat(s, d).groupBy("session").agg(F.array_sort(F.collect_list(F.struct("pos", "actor", "text"))).alias("c")).select("session", F.expr("try_element_at(c, 1).actor").alias("first_actor"), F.expr("substring(try_element_at(filter(c, x -> x.actor = 'AI'), 1).text, 1, 20)").alias("first_answer")),
         f"WITH {V.CHAT} SELECT session, arg_min(actor, pos) AS first_actor, substring(arg_min(text, pos) FILTER (actor = 'AI'), 1, 20) AS first_answer FROM chat GROUP BY session",
     ),
-    "p5_attribution": (
-        lambda s, d: table(s, d, "events").select("event_id", (F.get_json_object(F.get_json_object(F.to_json(F.struct(F.col("props").alias("twice"))), "$.twice"), "$.k").cast("int") % 2 == 1).cast("int").alias("attributed")),
-        "SELECT event_id, CASE WHEN CAST(props ->> '$.k' AS INTEGER) % 2 = 1 THEN 1 ELSE 0 END AS attributed FROM events",
-    ),
     "p6_drop_null_label": (lambda s, d: table(s, d, "documents").select("doc_id", _doc_case().alias("label")).dropna(subset=["label"]).select("doc_id"), "SELECT doc_id FROM documents WHERE text NOT LIKE 'The%'"),
     "p7_page_filter": (lambda s, d: table(s, d, "pages").where(F.coalesce(F.lower("url").contains("en"), F.lit(False)) & F.element_at(F.split("url", "/"), 4).isin("en", "fr")).select("page_id"), "SELECT page_id FROM pages WHERE contains(lower(url), 'en') AND string_split(url, '/')[4] IN ('en', 'fr')"),
     "p9_prefix_filter": (lambda s, d: V.chat(s, d).where(~(F.lower(F.trim("text")).startswith("the") | F.lower(F.trim("text")).startswith("and"))).select("session", "pos"), f"WITH {V.CHAT} SELECT session, pos FROM chat WHERE NOT (starts_with(lower(trim(text)), 'the') OR starts_with(lower(trim(text)), 'and'))"),
     "p10_length_filter": (lambda s, d: V.doc_lines(s, d).where(F.length(T.strip(F.col("text"))) >= 7).groupBy("session").agg(F.count("*").alias("n")), f"WITH {V.DOC_LINES} SELECT session, count(*) AS n FROM doc_lines WHERE length(trim(text)) >= 7 GROUP BY session"),
     "p11_special_tenant": (lambda s, d: table(s, d, "customer").select("c_custkey", F.coalesce(F.expr("c_mktsegment like 'A%' or c_mktsegment like 'B%'"), F.lit(False)).cast("int").alias("special")), "SELECT c_custkey, CASE WHEN starts_with(c_mktsegment, 'A') OR starts_with(c_mktsegment, 'B') THEN 1 ELSE 0 END AS special FROM customer"),
     "j5_semi": (lambda s, d: table(s, d, "orders").join(table(s, d, "customer").where("c_acctbal > 9000").select(F.col("c_custkey").alias("o_custkey")), "o_custkey", "left_semi").select("o_orderkey"), "SELECT o_orderkey FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 9000)"),
-    "j7_case_insensitive": (
-        lambda s, d: table(s, d, "nation").select("n_nationkey", F.lower("n_name").alias("k")).join(F.broadcast(table(s, d, "nation").select(F.lower(F.upper("n_name")).alias("k"), "n_regionkey").dropDuplicates(["k"])), "k").select("n_nationkey", "n_regionkey"),  # 25 rows
-        "SELECT n_nationkey, n_regionkey FROM nation",
-    ),
     "j8_label_map": (lambda s, d: table(s, d, "events").select("event_id", O.mapped(F.col("event_type"), LABELS).alias("label")), "SELECT event_id, CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in LABELS.items()) + " ELSE event_type END AS label FROM events"),
     "u1_union_keep_last": (
         lambda s, d: O.keep_last(V.events(s, d).select("session", "event_id", F.lit(1).alias("day")).unionByName(V.events(s, d).where("event_id % 2 = 0").select("session", "event_id", F.lit(2).alias("day"))), "session", [F.desc("day"), F.desc("event_id")]).select("session", "event_id", "day"),

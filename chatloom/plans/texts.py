@@ -8,11 +8,10 @@ from chatloom.functions import text as T
 from chatloom.plans import views as V
 from chatloom.session import table
 
-CLEAN = r"trim(regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, 'http\S+', ' ', 'g'), '\S+@\S+', ' ', 'g'), '\+?\d[\d -]{8,}\d', ' ', 'g'), '[$€₹¥]', ' ', 'g')), '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g'))"
+CLEAN = r"trim(regexp_replace(regexp_replace(lower(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, 'http\S+', '', 'g'), '\S+@\S+', '', 'g'), '\+?\d[\d -]{8,}\d', '', 'g'), '[$€₹¥]', '', 'g')), '[^\p{L}\p{N}_\s]', ' ', 'g'), '\s+', ' ', 'g'))"
 MARKS = r"array_to_string(list_slice(regexp_extract_all(text, '[!]{2,}|[?]{2,}|[.]{3,}'), 1, 2), ' ')"
 _docs = lambda s, d: table(s, d, "documents")
 _events = lambda s, d: table(s, d, "events")
-HINGLISH = (("kya", ("kyaa", "kia")), ("hai", ("he", "hae")))
 
 
 def _kinds():
@@ -37,15 +36,7 @@ QUERIES = {
         WHEN 2 THEN '["' || array_to_string(list_sort([event_type, 'other']), '", "') || '"]' ELSE '["' || event_type || '"]' END AS key FROM events""",
     ),
     "f1_local_time": (lambda s, d: _events(s, d).select("event_id", F.date_format(F.col("ts") + F.expr("interval 330 minutes"), "yyyy-MM-dd HH:mm:ss").alias("ist")), "SELECT event_id, strftime(ts + INTERVAL 330 MINUTE, '%Y-%m-%d %H:%M:%S') AS ist FROM events"),
-    "f2_json_scalar_or_list": (
-        lambda s, d: _events(s, d).withColumn("j", F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('{"k":['), F.get_json_object("props", "$.k"), F.lit(',0]}'))).otherwise(F.col("props"))).select("event_id", F.coalesce(F.get_json_object("j", "$.k[0]"), F.get_json_object("j", "$.k")).alias("k")),
-        "SELECT event_id, props ->> '$.k' AS k FROM events",
-    ),
     "f3_json_array_length": (lambda s, d: _events(s, d).select("event_id", F.json_array_length(F.concat(F.lit("["), F.array_join(F.transform(F.sequence(F.lit(1), (F.col("event_id") % 3 + 1).cast("int")), lambda x: x.cast("string")), ","), F.lit("]"))).cast("long").alias("days")), "SELECT event_id, event_id % 3 + 1 AS days FROM events"),
-    "f5_synonyms": (
-        lambda s, d: _events(s, d).select("event_id", F.when(F.col("event_type").isin("view", "click"), "browse").when(F.col("event_type") == "signup", None).otherwise(F.col("event_type")).alias("label")),
-        "SELECT event_id, CASE WHEN event_type IN ('view', 'click') THEN 'browse' WHEN event_type = 'signup' THEN NULL ELSE event_type END AS label FROM events",
-    ),
     "f6_utm_value": (lambda s, d: _docs(s, d).select("doc_id", T.utm_value(F.concat(F.lit("  "), F.when(F.col("doc_id") % 3 == 0, "NaN").otherwise(F.upper("source")), F.lit(" \t"))).alias("utm")), "SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN NULL ELSE lower(source) END AS utm FROM documents"),
     "f17_page_slug": (lambda s, d: table(s, d, "pages").select("page_id", T.page_slug(F.col("url")).alias("slug")), r"SELECT page_id, substring(regexp_replace(regexp_replace(regexp_replace(url, '^[a-z]+://[^/]*/?', ''), '[?#].*$', ''), '[^A-Za-z0-9_\-]', '_', 'g'), 1, 50) AS slug FROM pages"),
     "f18_labels_of_time": (
@@ -53,13 +44,11 @@ QUERIES = {
         """SELECT event_id, (CASE WHEN hour(ts) % 12 = 0 THEN 12 ELSE hour(ts) % 12 END) || CASE WHEN hour(ts) < 12 THEN ' AM' ELSE ' PM' END AS hour_label,
         day(ts) || CASE WHEN day(ts) % 100 BETWEEN 11 AND 13 THEN 'th' WHEN day(ts) % 10 = 1 THEN 'st' WHEN day(ts) % 10 = 2 THEN 'nd' WHEN day(ts) % 10 = 3 THEN 'rd' ELSE 'th' END AS day_label, strftime(ts, '%b %d') AS short_date FROM events""",
     ),
-    "f16_json_reply": (lambda s, d: _events(s, d).select("event_id", F.from_json(T.json_reply(F.concat(F.lit("Sure:\n```json\n["), F.col("event_id").cast("string"), F.lit(", 2]\n``` done"))), "array<bigint>").getItem(0).alias("first")), "SELECT event_id, event_id AS first FROM events"),
     "f25_stage_rule": (lambda s, d: V.doc_lines(s, d).select("session", "pos", F.when(F.lower("text").rlike("order|return|refund|the"), "post-sales").otherwise("pre-sales").alias("stage")), f"WITH {V.DOC_LINES} SELECT session, pos, CASE WHEN regexp_matches(lower(text), 'order|return|refund|the') THEN 'post-sales' ELSE 'pre-sales' END AS stage FROM doc_lines"),
     "f28_html_links": (lambda s, d: table(s, d, "pages").select("page_id", F.regexp_extract("html", 'href="([^"]*)"', 1).alias("link")), "SELECT page_id, regexp_extract(html, 'href=\"([^\"]*)\"', 1) AS link FROM pages"),
     "f29_seed_match": (lambda s, d: table(s, d, "part").select("p_partkey", F.exists(F.array(F.lit("red"), F.lit("small blue")), lambda x: F.lower("p_name").contains(x) | x.contains(F.lower("p_name"))).cast("int").alias("seed")), "SELECT p_partkey, CASE WHEN contains(lower(p_name), 'red') OR contains('red', lower(p_name)) OR contains(lower(p_name), 'small blue') OR contains('small blue', lower(p_name)) THEN 1 ELSE 0 END AS seed FROM part"),
     "f30_dates": (lambda s, d: table(s, d, "orders").select("o_orderkey", F.date_format(F.date_add("o_orderdate", 1), "yyyy-MM-dd").alias("next_day"), F.date_format(F.date_sub("o_orderdate", 30), "yyyy-MM-dd").alias("from_day"), F.date_format("o_orderdate", "yyyy_MM").alias("month")), "SELECT o_orderkey, strftime(CAST(o_orderdate AS DATE) + 1, '%Y-%m-%d') AS next_day, strftime(CAST(o_orderdate AS DATE) - 30, '%Y-%m-%d') AS from_day, strftime(o_orderdate, '%Y_%m') AS month FROM orders"),
     "f31_clean_title": (lambda s, d: table(s, d, "part").select("p_partkey", T.clean_title(F.concat(F.lit('"'), F.when(F.col("p_partkey") % 3 == 0, F.concat_ws(" ", "p_name", "p_name", "p_name")).otherwise(F.col("p_name")), F.lit('"')), F.lit("old")).alias("title")), "SELECT p_partkey, CASE WHEN p_partkey % 3 = 0 THEN 'old' ELSE p_name END AS title FROM part"),
-    "s14_repair_json": (lambda s, d: _events(s, d).select("event_id", F.get_json_object(F.regexp_replace(F.concat(F.lit("\x01"), F.col("props"), F.lit("\x0b")), r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F]", ""), "$.k").alias("k")), "SELECT event_id, props ->> '$.k' AS k FROM events"),
     "p15_noise_share": (
         lambda s, d: V.doc_lines(s, d).groupBy("session").agg((F.avg(((F.length("text") < 40) | F.lower("text").contains("hi")).cast("double")) > 0.6).cast("int").alias("noise")),
         f"WITH {V.DOC_LINES} SELECT session, CASE WHEN avg(CASE WHEN length(text) < 40 OR contains(lower(text), 'hi') THEN 1.0::DOUBLE ELSE 0 END) > 0.6 THEN 1 ELSE 0 END AS noise FROM doc_lines GROUP BY session",

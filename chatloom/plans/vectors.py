@@ -21,22 +21,41 @@ _strict = DECIDED.format(p=0.5, g=0.04, b=0.45)
 _scores = lambda s, d: A.theme_scores(V.vec_messages(s, d), V.vec_phrases(s, d))
 _clusters = lambda s, d: table(s, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("long").alias("cluster"), F.col("embedding").alias("v"))
 _texts = lambda s, d: table(s, d, "part").select(F.col("p_partkey").alias("message"), F.concat_ws(" ", "p_name", F.lower("p_type")).alias("text"))
-TEXTS = "tx AS (SELECT p_partkey AS message, p_name || ' ' || lower(p_type) AS text FROM part WHERE p_partkey <= 4000)"
+TEXTS = "tx AS (SELECT p_partkey AS message, p_name || ' ' || lower(p_type) AS text FROM part)"
 CL = "cl AS (SELECT vec_id AS id, CAST(label AS BIGINT) AS cluster, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"
 BM25 = f"""{TEXTS}, {V.NAMES}, pw AS (SELECT phrase, list_filter(regexp_split_to_array(lower(phrase), '\\s+'), lambda w: w <> '') AS w FROM names),
     sz AS (SELECT count(*) AS n, avg(CAST(len(w) AS DOUBLE)) AS mean FROM pw), pt AS (SELECT phrase, len(w) AS dl, unnest(w) AS word FROM pw), tf AS (SELECT phrase, dl, word, count(*) AS tf FROM pt GROUP BY 1, 2, 3),
     idf AS (SELECT word, ln((n + 1) / count(*)) AS idf, mean FROM tf, sz GROUP BY word, n, mean),
     qw AS (SELECT message, unnest(list_filter(regexp_split_to_array(lower(text), '\\s+'), lambda w: w <> '')) AS word FROM tx), q AS (SELECT message, qw.word, count(*) AS q, any_value(idf) AS idf, any_value(mean) AS mean FROM qw JOIN idf USING (word) GROUP BY 1, 2),
     bs AS (SELECT message, sum(q * idf) AS base FROM q GROUP BY 1), hit AS (SELECT message, phrase, sum(q * idf * (tf * 2.5 / (1.5 * (0.25 + 0.75 * dl / mean) + tf))) AS more FROM q JOIN tf USING (word) GROUP BY 1, 2),
-    bm AS (SELECT tx.message, hit.phrase, coalesce(base, 0) + coalesce(more, 0) AS raw FROM tx LEFT JOIN bs USING (message) LEFT JOIN hit USING (message))"""
+    bm AS (SELECT tx.message, hit.phrase, coalesce(base, 0) AS base, coalesce(base, 0) + coalesce(more, 0) AS raw FROM tx LEFT JOIN bs USING (message) LEFT JOIN hit USING (message))"""
 
 
-def _fused(s, d):
-    raw = L.bm25plus(_texts(s, d), V.product_names(s, d)).where("phrase is not null")
-    return A.fused(raw.select("message", "phrase", F.lit(0.5).alias("cosine"), "raw", F.lit(0.8).alias("fuzzy")))
+_themed = lambda s, d: V.product_names(s, d).select(F.ascii("theme").cast("long").alias("theme"), "phrase")
+_signals = lambda s, d: L.signals(_texts(s, d), _themed(s, d))
+_fused = lambda s, d: _signals(s, d).withColumn("score", F.col("fusion"))
+MEET = A.Thresholds(primary=0.55, gap=0.02, borderline=0.5, rescue=0.7, rescue_norm=0.8, rescue_fusion=0.6)
+_letters = lambda c: f"list_transform(string_split('a b c d e f g h i j k l m n o p q r s t u v w x y z', ' '), lambda z: CAST(len({c}) - len(replace({c}, z, '')) AS DOUBLE))"
+_sorted = lambda c: f"array_to_string(list_sort(list_filter(regexp_split_to_array(lower({c}), '\\s+'), lambda z: z <> '')), ' ')"
+LCS = "list_reduce(range(1, len(a) + 1), lambda row, i: list_reduce(range(1, len(b) + 1), lambda acc, j: list_append(acc, CASE WHEN a[i] = b[j] THEN row[j] + 1 ELSE greatest(row[j + 1], acc[j]) END), [0::BIGINT]), list_transform(range(0, len(b) + 1), lambda z: 0::BIGINT))[-1]"
+#: The three signals of each different text and theme, in SQL; sg has them for each message.
+SIGNALS = f"""{BM25}, dt AS (SELECT text, min(message) AS message FROM tx GROUP BY 1), th AS (SELECT phrase, CAST(ascii(theme) AS BIGINT) AS theme FROM names),
+    cs AS (SELECT message, theme, phrase, list_cosine_similarity({_letters('lower(text)')}, {_letters('lower(phrase)')}) AS c FROM dt, th), bc AS (SELECT message, theme, max(c) AS cosine, arg_max(phrase, struct_pack(c := round(c, 9), p := -pos)) AS phrase
+        FROM (SELECT *, row_number() OVER (PARTITION BY message, theme ORDER BY phrase) AS pos FROM cs) GROUP BY 1, 2),
+    br AS (SELECT message, theme, max(raw) AS raw FROM bm JOIN th USING (phrase) GROUP BY 1, 2), bb AS (SELECT message, max(base) AS base FROM bm GROUP BY 1),
+    lc AS (SELECT message, theme, {_sorted('text')} AS a, {_sorted('phrase')} AS b FROM dt, th), fz AS (SELECT message, theme, max(CASE WHEN a = '' AND b = '' THEN 1.0::DOUBLE ELSE 2.0::DOUBLE * {LCS} / (len(a) + len(b)) END) AS fuzzy FROM lc GROUP BY 1, 2),
+    s0 AS (SELECT bc.message, bc.theme, bc.phrase, cosine, coalesce(br.raw, base) AS raw, fuzzy FROM bc JOIN bb USING (message) LEFT JOIN br ON br.message = bc.message AND br.theme = bc.theme JOIN fz ON fz.message = bc.message AND fz.theme = bc.theme),
+    s1 AS (SELECT *, 1 / (1 + exp(-(raw - 3) / 2)) AS norm FROM s0),
+    sg AS (SELECT tx.message, theme, phrase, cosine, raw, norm, fuzzy, 0.55::DOUBLE * cosine + 0.30::DOUBLE * norm + 0.15::DOUBLE * fuzzy AS fusion FROM s1 JOIN dt USING (message) JOIN tx ON tx.text = dt.text)"""
+_meets = f"""rk AS (SELECT message, theme, phrase, round(fusion, 9) AS s, lead(round(fusion, 9)) OVER w AS second, row_number() OVER w AS nth FROM sg WINDOW w AS (PARTITION BY message ORDER BY round(fusion, 9) DESC, theme)),
+    de AS (SELECT message, theme, phrase, s, CASE WHEN s >= 0.55 AND round(coalesce(s - second, 1.0), 9) >= 0.02 THEN 'confident' WHEN s >= 0.5 THEN 'borderline' ELSE 'miscellaneous' END AS status FROM rk WHERE nth = 1)"""
 
 
-FUSED = f"{BM25}, fu AS (SELECT message, phrase, raw, 1 / (1 + exp(-(raw - 3) / 2)) AS norm, 0.55::DOUBLE * 0.5 + 0.30::DOUBLE * (1 / (1 + exp(-(raw - 3) / 2))) + 0.15::DOUBLE * 0.8 AS fusion FROM bm WHERE phrase IS NOT NULL)"
+def _assigned(s, d):
+    """Each message's theme by fusion, with the phrase of that theme that it is closest to."""
+    scores = _signals(s, d)
+    return A.decide(scores.select("message", "theme", F.col("fusion").alias("score")), MEET).join(scores.select("message", "theme", "phrase"), ["message", "theme"])
+
 
 QUERIES = {
     "f19_cosine": (lambda s, d: table(s, d, "embeddings").alias("a").join(table(s, d, "embeddings").alias("b"), F.expr("a.vec_id + 1 = b.vec_id")).select(F.col("a.vec_id").alias("vec_id"), F.round(cosine(F.col("a.embedding"), F.col("b.embedding")), 6).alias("cos")), "SELECT a.vec_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS cos FROM embeddings a JOIN embeddings b ON a.vec_id + 1 = b.vec_id"),
@@ -64,16 +83,31 @@ QUERIES = {
         lambda s, d: A.decide(_scores(s, d), LOOSE).agg(F.round(100 * F.avg((F.col("status") == "confident").cast("double")), 2).alias("confident_pct"), F.round(100 * F.avg((F.col("theme") >= 0).cast("double")), 2).alias("assigned_pct")),
         f"WITH {SCORES}, {_loose} SELECT round(100 * avg(CASE WHEN status = 'confident' THEN 1.0::DOUBLE ELSE 0 END), 2) AS confident_pct, round(100 * avg(CASE WHEN status <> 'miscellaneous' THEN 1.0::DOUBLE ELSE 0 END), 2) AS assigned_pct FROM de",
     ),
-    "m2_bm25plus": (lambda s, d: L.best_bm25(_texts(s, d), V.product_names(s, d)).select("message", F.round("raw", 6).alias("raw")), f"WITH {BM25} SELECT message, round(max(raw), 6) AS raw FROM bm GROUP BY 1"),
-    "m3_token_sort_ratio": (lambda s, d: L.token_sort_ratio(_texts(s, d), V.product_names(s, d)).select("message", F.round("best", 6).alias("best"), "phrase"), None),
-    "m4_fusion": (lambda s, d: _fused(s, d).select("message", "phrase", F.round("norm", 6).alias("norm"), F.round("fusion", 6).alias("fusion")), f"WITH {FUSED} SELECT message, phrase, round(norm, 6) AS norm, round(fusion, 6) AS fusion FROM fu"),
+    "m1_best_phrase": (
+        lambda s, d: _scores(s, d).select("message", "theme", "phrase"),
+        f"WITH {V.VECTORS}, c AS (SELECT message, theme, phrase, round(list_cosine_similarity(vm.v, vp.v), 9) AS c FROM vm, vp) SELECT message, theme, phrase FROM c QUALIFY row_number() OVER (PARTITION BY message, theme ORDER BY c DESC, phrase) = 1",
+    ),
+    "m2_best_bm25": (lambda s, d: L.best_bm25(_texts(s, d), V.product_names(s, d)).select("message", F.round("raw", 6).alias("raw")), f"WITH {BM25} SELECT message, round(max(raw), 6) AS raw FROM bm GROUP BY 1"),
+    "m2_bm25plus": (lambda s, d: _signals(s, d).select("message", "theme", F.round("raw", 6).alias("raw")), f"WITH {SIGNALS} SELECT message, theme, round(raw, 6) AS raw FROM sg"),
+    "m3_token_sort_ratio": (lambda s, d: _signals(s, d).select("message", "theme", F.round("fuzzy", 6).alias("fuzzy")), f"WITH {SIGNALS} SELECT message, theme, round(fuzzy, 6) AS fuzzy FROM sg"),
+    "m4_fusion": (
+        lambda s, d: _signals(s, d).select("message", "theme", "phrase", *(F.round(c, 6).alias(c) for c in ("cosine", "norm", "fuzzy", "fusion"))),
+        f"WITH {SIGNALS} SELECT message, theme, phrase, round(cosine, 6) AS cosine, round(norm, 6) AS norm, round(fuzzy, 6) AS fuzzy, round(fusion, 6) AS fusion FROM sg",
+    ),
+    "m5_decide_fused": (lambda s, d: A.decide(_fused(s, d), MEET).select("message", "theme", "status"), f"WITH {SIGNALS}, {_meets} SELECT message, CASE WHEN status = 'miscellaneous' THEN -1 ELSE theme END AS theme, status FROM de"),
     "m9_rescued": (
-        lambda s, d: A.rescued(_fused(s, d).withColumn("theme", F.crc32("phrase").cast("long")), A.Thresholds(rescue=0.6)).groupBy().agg(F.count("*").alias("rescued")),
-        f"WITH {FUSED} SELECT count(DISTINCT message) AS rescued FROM fu WHERE raw <> 0 AND (fusion > 0.6 OR (norm > 0.95 AND fusion > 0.65))",
+        lambda s, d: A.rescued(_fused(s, d), MEET),
+        f"WITH {SIGNALS} SELECT message, arg_max(theme, struct_pack(f := round(fusion, 9), t := -theme)) AS theme FROM sg WHERE raw <> 0 AND (fusion > 0.7 OR (norm > 0.8 AND fusion > 0.6)) GROUP BY 1",
+    ),
+    "a31_phrase_matches": (lambda s, d: L.phrase_matches(_assigned(s, d)), f"WITH {SIGNALS}, {_meets} SELECT theme, phrase, count(*) AS n FROM de WHERE status <> 'miscellaneous' GROUP BY 1, 2"),
+    "m6_intent_boost": (
+        lambda s, d: A.intent_boost(_scores(s, d), V.vec_messages(s, d).select("message", (F.col("message") % 10).alias("theme"))),
+        f"""WITH {SCORES}, b AS (SELECT message, theme, score, CASE WHEN theme = message % 10 THEN least(score + 0.25, 1.0) ELSE score END AS boosted FROM sc)
+        SELECT message, arg_max(theme, struct_pack(s := round(boosted, 9), t := -theme)) AS theme, arg_max(theme, struct_pack(s := round(score, 9), t := -theme)) AS before FROM b GROUP BY 1""",
     ),
-    "a31_phrase_matches": (
-        lambda s, d: L.phrase_matches(_texts(s, d), V.product_names(s, d)),
-        f"WITH {TEXTS}, {V.NAMES}, w AS (SELECT DISTINCT message, unnest(regexp_split_to_array(lower(text), '\\s+')) AS word FROM tx), p AS (SELECT DISTINCT theme, phrase, unnest(regexp_split_to_array(lower(phrase), '\\s+')) AS word FROM names) SELECT theme, phrase, count(DISTINCT message) AS n FROM p JOIN w USING (word) GROUP BY 1, 2",
+    "m8_intent_rescue": (
+        lambda s, d: A.intent_rescue(A.decide(_scores(s, d), LOOSE), _scores(s, d), V.vec_messages(s, d).select("message", (F.col("message") % 10).alias("theme")), 3.0, 0.2),
+        f"WITH {SCORES}, {_loose} SELECT sc.message, sc.theme FROM sc JOIN de USING (message) WHERE status = 'miscellaneous' AND sc.theme = message % 10 AND round(score * 3.0, 9) >= 0.2",
     ),
     "a23_centroids": (
         lambda s, d: Q.centroids(_clusters(s, d)).select("cluster", "n", F.posexplode("centroid").alias("pos", "x")).select("cluster", "n", F.col("pos").cast("long").alias("pos"), F.round("x", 6).alias("x")),
@@ -104,5 +138,5 @@ QUERIES = {
         f"""WITH {CL}, l AS (SELECT cluster, unnest(v) AS x, unnest(range(len(v))) AS pos FROM cl), ce AS (SELECT cluster, pos, avg(x) AS x FROM l GROUP BY 1, 2), cv AS (SELECT cluster, list(x ORDER BY pos) AS c FROM ce GROUP BY 1)
         SELECT a.cluster AS a, b.cluster AS b, round(list_cosine_similarity(a.c, b.c), 6) AS similarity FROM cv a JOIN cv b ON a.cluster < b.cluster WHERE round(list_cosine_similarity(a.c, b.c), 9) >= 0""",
     ),
-    "m16_local_outliers": (lambda s, d: Q.local_outliers(_clusters(s, d).where("id < 500")), None),
+    "m16_local_outliers": (lambda s, d: Q.local_outliers(_clusters(s, d)), None),  # tested against brute force
 }
