@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Characters that one numpy step holds; a longer text forms a step of its own.
-SLICE_CHARS = 1_000_000
+SLICE_CHARS = 300_000
 #: A key is hot beyond a 256th of the rows, so there are never more than 256 hot keys.
 HOT_SHARE = 256
 

@@ -12,7 +12,7 @@ paired with the one before it that shares the most samples: pairs grow in propor
 verified on the exact vectors, and components of verified links of THRESHOLD or more are made. Then all pairs that share a
 bucket, may be similar and lie in different components are verified too: of each, one is not in the bucket's commonest component,
 so those few are compared with all members. That is done block by block on the exact vectors, so these pairs are never listed. A bucket with
-more than BLOCK members, such as that of a template with many fillings, is first split by prefixes: texts of similarity THRESHOLD have in common one of the
+more than BLOCK such members, as that of a template with many fillings, is first split by prefixes: texts of similarity THRESHOLD have in common one of the
 features (rarest first) that make up the first 1 - THRESHOLD of their weight, so only members that share such a feature are compared, and
 rows grow in proportion to members. No link that joins two components is left out. Classes are the components of all verified links.
 
@@ -284,12 +284,12 @@ def first_pairs(shared: DataFrame) -> DataFrame:
     return _ordered(_grouped(dealt, ["band", "key", "block"], kernel, "a binary, b binary"))
 
 
-def with_commonest(named: DataFrame, of: DataFrame) -> DataFrame:
+def with_commonest(named: DataFrame) -> DataFrame:
     """The rows of buckets with more than one label, with the commonest label (most) and its rows (c)."""
     counts = named.groupBy("band", "key", "label").agg(F.count("*").alias("c"), F.first("n").alias("n"))
     top = counts.groupBy("band", "key").agg(F.max(F.struct("c", "label")).alias("top"), F.count("*").alias("kinds"), F.first("n").alias("n")).where("kinds > 1")
     top = materialize(top.select("band", "key", "n", F.col("top.label").alias("most"), F.col("top.c").alias("c")), "top")
-    return attach(named.drop("n"), top, ["band", "key"], "n", of.count()).where("most is not null")
+    return attach(named.drop("n"), top, ["band", "key"], "n", named.count()).where("most is not null")
 
 
 def prefixes(docs: DataFrame, wanted: DataFrame, weights, threshold: float = THRESHOLD) -> DataFrame:
@@ -329,18 +329,21 @@ def chosen(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def other_links(docs: DataFrame, nodes: DataFrame, shared: DataFrame, labels: DataFrame, weights, threshold: float = THRESHOLD) -> DataFrame:
     """a, b, similarity: verified links between components, enough to join all components that pairs of a bucket link. Of such
     a pair at least one is not in the bucket's commonest component, so those few are compared with all members, cell by cell: first by
-    samples, then those that may be similar by their exact vectors. Pairs aren't listed, so a bucket of n texts makes n rows a cell. Buckets over
-    BLOCK texts are split by prefixes() first; a feature that over BLOCK of their texts begin with is compared block by block of both sides."""
+    samples, then those that may be similar by their exact vectors. Pairs aren't listed, so a bucket of n texts makes n rows a cell. Buckets with
+    over BLOCK of the few are split by prefixes() first; a feature that over BLOCK of their texts begin with is compared block by block of both sides."""
     named = materialize(shared.drop("centre").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "named")
-    small = with_commonest(named.where(F.col("n") <= BLOCK), named)
-    large = with_commonest(named.where(F.col("n") > BLOCK), named).select("node", "samples", "label").dropDuplicates(["node"])
-    if not large.isEmpty():
-        large = materialize(large, "large")
-        wanted = nodes.join(large.select("node"), "node", "left_semi").select(F.col("rep").alias("wanted"))
-        rows = materialize(prefixes(docs, wanted, weights, threshold).join(large, "node"), "prefixes")
+    named = materialize(with_commonest(named), "named")
+    split = F.col("n") - F.col("c") > BLOCK  # many that aren't in the commonest component: in blocks, rows would grow with their square
+    large = named.where(split).groupBy("node").agg(F.first("samples").alias("samples"), F.first("label").alias("label"), F.max(F.col("label") != F.col("most")).alias("few"))
+    small = named.where(~split)
+    if not (large := materialize(large, "large")).isEmpty():
+        asked = [nodes.join(large.where(who).select("node"), "node", "left_semi").select(F.col("rep").alias("wanted")) for who in ("few", "not few")]
+        rows = materialize(prefixes(docs, asked[0], weights, threshold), "prefixes")
+        rest = prefixes(docs, asked[1], weights, threshold).join(rows.select("key").distinct(), "key", "left_semi").select("band", "key", "node")
+        rows = materialize(rows.unionByName(rest).join(large.drop("few"), "node"), "prefixes")
         sizes = rows.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
         rows = attach(rows, materialize(sizes, "sizes"), ["band", "key"], "n", rows.count()).where("n is not null")
-        small = small.unionByName(with_commonest(rows.select(*named.columns), rows))
+        small = small.unionByName(with_commonest(rows).select(*named.columns))
     named = small
     few = F.col("label") != F.col("most")
     blocks, rare = F.ceil(F.col("n") / BLOCK).cast("long"), F.ceil((F.col("n") - F.col("c")) / BLOCK).cast("long")

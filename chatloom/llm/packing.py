@@ -7,7 +7,8 @@ one is left. k starts at total / capacity, rounded up, and rises whenever a set
 it reads, block by block: there is no shuffle, and memory is bounded by a block.
 
 Tokens: white space always ends a token of this vocabulary, so the distinct words of a slice are encoded once and a
-document's ids are its words' ids in a row; tests compare that with the tokeniser's result for whole texts.
+document's ids are its words' ids in a row; words are cut into the tokeniser's own pieces where that is known to be the same (WordIds). Tests compare
+both with the tokeniser's result for whole texts.
 
 Defined results: a null text counts as empty and has the end id alone; rows that repeat are packed as often; sequence_id is
 the task's number times 2^33 plus a count; padded_to is `capacity` but for sequences whose length is a power of two; an empty
@@ -17,12 +18,14 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import heapq
+import json
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,23 +33,45 @@ from pyspark.sql import functions as F
 from chatloom.llm.common import documents, slices
 
 CAPACITY, PIECE, BLOCK_WINDOWS, END = 4096, 1024, 128, 2
-#: Words that a worker remembers, and the longest word that it does.
-CACHE, CACHED_CHARS = 1_000_000, 64
+#: Words, and pieces of words, that a worker remembers, and the longest word that it does.
+CACHE, CACHED_CHARS = 300_000, 64
 #: Words that the tokeniser gets as one pre-split text.
 TOGETHER = 1000
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, ids binary"
 
 
 class WordIds(dict):
-    """Word -> its ids as little-endian 32-bit numbers."""
+    """Word -> its ids as little-endian 32-bit numbers.
+
+    If the vocabulary lower-cases and splits words by a pattern into pieces, as `pieces_of` tells, words of printable ASCII signs are cut by that pattern
+    and their pieces, of which there are fewer than words, are remembered too. All other words go through the whole tokeniser."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.split, self.special = pieces_of(self.tokenizer)
+        self.pieces: dict[str, bytes] = {}
 
     def encode(self, words: list[str]) -> list[bytes]:
+        """The ids of each word."""
+        easy = [self.split is not None and w.isascii() and w.isprintable() and not self.special(w) for w in words]
+        hard = iter(self._whole([w for w, e in zip(words, easy, strict=True) if not e]))
+        return [self._cut(w) if e else next(hard) for w, e in zip(words, easy, strict=True)]
+
+    def _cut(self, word: str) -> bytes:
+        out = []
+        for piece in self.split(word.lower()):
+            ids = self.pieces.get(piece)
+            if ids is None:
+                if len(self.pieces) > CACHE:
+                    self.pieces.clear()
+                self.pieces[piece] = ids = np.array([t.id for t in self.tokenizer.model.tokenize(piece)], "<u4").tobytes()
+            out.append(ids)
+        return b"".join(out)
+
+    def _whole(self, words: list[str]) -> list[bytes]:
         groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
         out: list[bytes] = []
         for group, e in zip(groups, self.tokenizer.encode_batch(groups, is_pretokenized=True, add_special_tokens=False), strict=True):
@@ -70,6 +95,18 @@ class WordIds(dict):
         return [b"".join([*map(self.__getitem__, ws), end]) for ws in split]
 
 
+def pieces_of(tokenizer) -> tuple[Callable[[str], list[str]] | None, Callable[[str], object]]:
+    """How the tokeniser cuts a lower-case ASCII word into the pieces that it encodes one by one, None if it works in another way; and whether a word
+    has a token that is taken out beforehand. ASCII bytes stand for themselves in pieces."""
+    told = json.loads(tokenizer.to_str())
+    special = regex.compile("|".join(regex.escape(t["content"]) for t in told["added_tokens"]) or r"(?!)").search
+    normal, cut = told["normalizer"] or {}, told["pre_tokenizer"] or {}
+    lowers = [n["type"] for n in normal.get("normalizers", [])] == ["NFC", "Replace", "Lowercase"] and normal["normalizers"][1]["pattern"] == {"Regex": r"\s+"} and normal["normalizers"][1]["content"] == " "
+    steps = cut.get("pretokenizers", [])
+    splits = [p["type"] for p in steps] == ["Split", "ByteLevel"] and steps[0]["behavior"] == "Removed" and steps[0]["invert"] and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"]
+    return regex.compile(steps[0]["pattern"]["Regex"]).findall if lowers and splits else None, special
+
+
 _loaded: dict[str, WordIds] = {}
 
 

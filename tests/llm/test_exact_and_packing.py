@@ -63,6 +63,8 @@ def test_words_give_the_tokenisers_ids():
     rng = random.Random(2)
     pieces = ["a", "Word", " ", "\n", "\t", "é", "é", " ́", "Σ", "ς", "<|endoftext|>", "'s", "12", "ß", "İ", "中", " ", "\x1c", "🙂", "<|", "%%", "  "]
     texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 30))) for _ in range(3000)] + ["x" * 300, ""]
+    signs = [chr(i) for i in range(128)]
+    texts += ["".join(rng.choice(signs) for _ in range(rng.randint(0, 60))) for _ in range(3000)] + ["can't WE'LL i'd 'S x's9'T <|endoftext|>it <|ENDOFTEXT|>", "\x0bA\x0c\x1d b\x00c"]
     want = [np.array([*t.encode(x, add_special_tokens=False).ids, 2], "<u4").tobytes() for x in texts]
     assert ids.of(texts) == want
     assert ids.of(texts) == want  # now from the words remembered
