@@ -31,12 +31,14 @@ def atomic_labels(df: DataFrame, labels: str) -> DataFrame:
     return df.select(F.explode(labels).alias("label")).groupBy("label").agg(F.count("*").alias("n"))
 
 
-def median_bands(m: DataFrame, names: tuple[str, ...] = ("did_a2c_pct", "order_placed_pct", "utm_pct")) -> DataFrame:
-    """One row: p25, median and p75 of each share."""
+def median_bands(m: DataFrame, names: tuple[str, ...] = ("did_a2c_pct", "order_placed_pct", "utm_pct"), only=None) -> DataFrame:
+    """One row: p25, median and p75 of each share over the clusters where `only` holds, over all if there are none, and 0 without clusters."""
+    only = F.lit(True) if only is None else F.coalesce(only, F.lit(False))
     out = []
     for c in names:
         for label, p in (("p25", 0.25), ("median", 0.5), ("p75", 0.75)):
-            out.append(F.round(F.percentile(c, F.lit(p)), 2).alias(f"{c}_{label}"))
+            some, every = F.percentile(F.when(only, F.col(c)), F.lit(p)), F.percentile(c, F.lit(p))
+            out.append(F.round(F.coalesce(some, every, F.lit(0.0)), 2).alias(f"{c}_{label}"))
     return m.agg(*out)
 
 
@@ -91,3 +93,19 @@ def nearest_label(low: DataFrame, regular: DataFrame, distance, key: str) -> Dat
 def adaptive_sample_size(n):
     """Fixed steps: all up to 500, then shares with a cap, then 800."""
     return F.when(n <= 500, n).when(n <= 1000, F.least(F.lit(500), F.floor(n * 0.75))).when(n <= 1500, F.least(F.lit(650), F.floor(n * 0.33))).otherwise(800).cast("long")
+
+
+def sessions_of(df: DataFrame, key: str, session: str, order: list[str]) -> DataFrame:
+    """key, sessions: the different sessions of each cluster in the order in which they were first seen."""
+    first = df.groupBy(key, session).agg(F.min(F.struct(*order)).alias("seen"))
+    packed = first.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("seen", session))).alias("all"))  # one cluster's sessions
+    return packed.select(key, F.transform("all", lambda x: x[session]).alias("sessions"))
+
+
+def quality_report(decided: DataFrame, coherence: DataFrame) -> DataFrame:
+    """One row: confident and assigned share of all messages, miscellaneous ones, themes in use, and the themes' mean coherence, 0 without any."""
+    counts = decided.agg(
+        F.round(100 * F.avg((F.col("status") == "confident").cast("double")), 2).alias("confident_pct"), F.round(100 * F.avg((F.col("theme") >= 0).cast("double")), 2).alias("assigned_pct"),
+        F.sum((F.col("theme") < 0).cast("long")).alias("miscellaneous"), F.countDistinct(F.when(F.col("theme") >= 0, F.col("theme"))).alias("themes"),
+    )
+    return counts.join(F.broadcast(coherence.agg(F.round(F.coalesce(F.avg("coherence"), F.lit(0.0)), 6).alias("mean_coherence"))), F.lit(True))  # one row

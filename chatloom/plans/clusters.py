@@ -32,6 +32,12 @@ QUERIES = {
     "a18_cluster_metrics": (_metrics, f"WITH {METRICS} SELECT * FROM m"),
     "a19_summary": (lambda s, d: C.summary(_metrics(s, d)), f"WITH {METRICS} SELECT CAST(sum(sessions) AS BIGINT) AS sessions, CAST(sum(order_placed_sessions) AS BIGINT) AS orders, round(avg(order_placed_pct), 4) AS mean_conversion FROM m"),
     "a20_median_bands": (lambda s, d: C.median_bands(_metrics(s, d)), f"WITH {METRICS} SELECT {_percent('did_a2c_pct')}, {_percent('order_placed_pct')}, {_percent('utm_pct')} FROM m"),
+    "a20_bands_of_segment": (lambda s, d: C.median_bands(_metrics(s, d), only=F.col("cluster").endswith("BUILDING")), f"WITH {METRICS} SELECT {_percent('did_a2c_pct')}, {_percent('order_placed_pct')}, {_percent('utm_pct')} FROM m WHERE cluster LIKE '%BUILDING'"),
+    "a20_bands_fall_back": (lambda s, d: C.median_bands(_metrics(s, d), only=F.col("cluster") == "none"), f"WITH {METRICS} SELECT {_percent('did_a2c_pct')}, {_percent('order_placed_pct')}, {_percent('utm_pct')} FROM m"),
+    "a16_first_seen_sessions": (
+        lambda s, d: C.sessions_of(table(s, d, "events"), "event_type", "user_id", ["ts", "event_id"]).select("event_type", F.array_join(F.transform("sessions", lambda x: x.cast("string")), ",").alias("sessions")),
+        "WITH f AS (SELECT event_type, user_id, min(struct_pack(t := ts, e := event_id)) AS seen FROM events GROUP BY 1, 2) SELECT event_type, string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY seen) AS sessions FROM f GROUP BY 1",
+    ),
     "a21_banded": (
         lambda s, d: C.banded(_metrics(s, d), "did_a2c_pct", 5, 0.5),
         f"""WITH {METRICS}, k AS (SELECT quantile_cont(did_a2c_pct, 0.25) AS low, quantile_cont(did_a2c_pct, 0.75) AS high, sum(sessions) AS al FROM m)
@@ -47,7 +53,6 @@ QUERIES = {
         f"WITH {METRICS} SELECT round(100.0::DOUBLE * sum(sessions) FILTER (string_split(cluster, '/')[2] = 'BUILDING') / sum(sessions), 4) AS share_pct FROM m",
     ),
     "p14_significant": (lambda s, d: C.significant(_metrics(s, d), 2, 0.9), f"WITH {METRICS}, h AS (SELECT cluster, sessions, 100.0::DOUBLE * sessions / sum(sessions) OVER () AS share FROM m) SELECT cluster, sessions, round(share, 4) AS share FROM h WHERE sessions > 2 AND share > 0.9"),
-    "p13_multi_label": (lambda s, d: table(s, d, "part").where(F.size(F.split("p_type", " ")) > 1).groupBy("p_brand").agg(F.count("*").alias("n")), "SELECT p_brand, count(*) AS n FROM part WHERE len(string_split(p_type, ' ')) > 1 GROUP BY 1"),
     "p19_renumbered": (
         lambda s, d: C.concern_clusters(_spelled(s, d), "label", "session").where("messages >= 3").select("concern", "cluster_id"),
         f"WITH {SPELLED}, t AS (SELECT lower(label) AS concern, count(*) AS n FROM sp GROUP BY 1), r AS (SELECT concern, n, row_number() OVER (ORDER BY n DESC, concern) - 1 AS cluster_id FROM t) SELECT concern, cluster_id FROM r WHERE n >= 3",

@@ -109,4 +109,8 @@ QUERIES = {
         f"WITH {V.DOC_LINES} SELECT session, pos FROM doc_lines QUALIFY row_number() OVER (PARTITION BY text ORDER BY session, pos) = 1",
     ),
     "j10_text_sessions": (lambda s, d: V.doc_lines(s, d).groupBy("text").agg(F.countDistinct("session").alias("sessions")).where("sessions > 1"), f"WITH {V.DOC_LINES} SELECT text, count(DISTINCT session) AS sessions FROM doc_lines GROUP BY text HAVING count(DISTINCT session) > 1"),
+    "j10_messages_of_texts": (
+        lambda s, d: V.doc_lines(s, d).groupBy("text", "session").agg(F.count("*").alias("times")).join(V.doc_lines(s, d).groupBy("text").agg(F.countDistinct("session").alias("all")).where(F.col("all") > 1), "text").select(F.md5("text").alias("text_md5"), "session", "times"),
+        f"WITH {V.DOC_LINES}, m AS (SELECT text FROM doc_lines GROUP BY 1 HAVING count(DISTINCT session) > 1) SELECT md5(text) AS text_md5, session, count(*) AS times FROM doc_lines JOIN m USING (text) GROUP BY text, session",
+    ),
 }

@@ -52,7 +52,7 @@ FIXTURES: dict[str, tuple[str, list[tuple]]] = {
             (4, "Price", "cost", 30, ["how much", "cost of it", "price", "too dear", "discount", "sale"], ["how much?"]), (5, "Costs", "money", 30, ["cost of it", "cheap"], ["cheaper?"]), (6, "Greetings", "hello and bye", 9, ["hello"], ["hi"]), (7, "General talk", "various", 4, ["so so"], []), (8, "Sizes", "fit", 0, [], []),
         ],
     ),
-    "similar": ("a long, b long, similarity double", [(1, 2, 0.9), (2, 3, 0.7), (4, 5, 0.65), (6, 7, 0.649), (1, 3, 0.2)]),
+    "alike": ("a long, b long, similarity double", [(1, 2, 0.9), (2, 3, 0.7), (4, 5, 0.65), (6, 7, 0.649), (1, 3, 0.2)]),
     "assigned": (
         "message long, text string, theme long, status string, phrase string, best double, second double, second_theme long, was_borderline int",
         [

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from chatloom.functions.vectors import cosine, euclidean
 from chatloom.operators import assign as A
+from chatloom.operators import clusters as C
 from chatloom.operators import lexical as L
 from chatloom.operators import vector_quality as Q
 from chatloom.plans import views as V
@@ -87,6 +88,12 @@ QUERIES = {
         lambda s, d: _scores(s, d).select("message", "theme", "phrase"),
         f"WITH {V.VECTORS}, c AS (SELECT message, theme, phrase, round(list_cosine_similarity(vm.v, vp.v), 9) AS c FROM vm, vp) SELECT message, theme, phrase FROM c QUALIFY row_number() OVER (PARTITION BY message, theme ORDER BY c DESC, phrase) = 1",
     ),
+    "a27_quality_report": (
+        lambda s, d: C.quality_report(A.decide(_scores(s, d), LOOSE), Q.coherence(_clusters(s, d))),
+        f"""WITH {SCORES}, {_loose}, {CL}, p AS (SELECT a.cluster, list_cosine_similarity(a.v, b.v) AS c FROM cl a JOIN cl b ON a.cluster = b.cluster AND a.id < b.id), g AS (SELECT cluster, avg(c) * (1 - stddev_pop(c)) AS co FROM p GROUP BY 1)
+        SELECT round(100 * avg(CASE WHEN status = 'confident' THEN 1.0::DOUBLE ELSE 0 END), 2) AS confident_pct, round(100 * avg(CASE WHEN status <> 'miscellaneous' THEN 1.0::DOUBLE ELSE 0 END), 2) AS assigned_pct, count(*) FILTER (status = 'miscellaneous') AS miscellaneous,
+        count(DISTINCT CASE WHEN status <> 'miscellaneous' THEN theme END) AS themes, round((SELECT avg(co) FROM g), 6) AS mean_coherence FROM de""",
+    ),
     "m2_best_bm25": (lambda s, d: L.best_bm25(_texts(s, d), V.product_names(s, d)).select("message", F.round("raw", 6).alias("raw")), f"WITH {BM25} SELECT message, round(max(raw), 6) AS raw FROM bm GROUP BY 1"),
     "m2_bm25plus": (lambda s, d: _signals(s, d).select("message", "theme", F.round("raw", 6).alias("raw")), f"WITH {SIGNALS} SELECT message, theme, round(raw, 6) AS raw FROM sg"),
     "m3_token_sort_ratio": (lambda s, d: _signals(s, d).select("message", "theme", F.round("fuzzy", 6).alias("fuzzy")), f"WITH {SIGNALS} SELECT message, theme, round(fuzzy, 6) AS fuzzy FROM sg"),

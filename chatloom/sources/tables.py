@@ -60,3 +60,13 @@ def missing_vectors(texts: DataFrame, cache: DataFrame, dimension: int) -> DataF
     valid = cache.where(F.size("embedding") == dimension).select(F.col("text").alias("known")).distinct()
     wanted = texts.where("text is not null").select("text").distinct()
     return wanted.join(valid, wanted["text"] == valid["known"], "left_anti")
+
+
+def assembled(chat: DataFrame, fields: DataFrame, links: DataFrame, image: str = "img:", bought: str = "product_added_to_cart") -> DataFrame:
+    """session, chat, fields, bought, links: one document a session that has a message, from flat tables. Messages by time and id, without images (text
+    that begins with `image`); links by time; lists without elements are null."""
+    said = chat.where(~F.coalesce(F.col("text").startswith(image), F.lit(False)))
+    grouped = lambda df, order, rest, name: df.groupBy("session").agg(F.array_sort(F.collect_list(F.struct(*order, *rest))).alias(name))
+    out = grouped(said, ["made", "id"], ["actor", "text"], "chat").join(grouped(fields, ["made"], ["k", "v"], "fields"), "session", "left").join(grouped(links, ["made"], ["link"], "links"), "session", "left")
+    cart = F.filter("fields", lambda x: x["k"] == bought)
+    return out.select("session", "chat", "fields", F.when(F.size(cart) > 0, cart).alias("bought"), "links")
