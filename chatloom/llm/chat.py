@@ -5,7 +5,7 @@ each of its lines, each message's own text and each of its own lines are normali
 hashes are joined to the first message of the same conversation that wrote them, if it is earlier. A message's parent is the
 message that its outermost linked quotes take most characters from (then the latest). Threads are followed by pointer jumping, so their depth
 costs a logarithm of rounds, and no conversation gathers in one task: originals are reduced to one row for each (conversation, hash)
-before the join. Quoted lines are left out of the text, and so is a line ending in "wrote:" right before a quote.
+before the join, and what is quoted very often is joined by broadcast of those few hashes (common.attach). Quoted lines are left out of the text, and so is a line ending in "wrote:" right before a quote.
 
 Order by conv_id, thread, turn gives each thread's messages after what they reply to.
 
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import materialize
+from chatloom.llm.common import attach, materialize
 
 MARK = r"^[ \t]*>[ \t>]*"
 WROTE = r"wrote:[ \t]*$"
@@ -56,9 +56,12 @@ def links(parsed: DataFrame) -> DataFrame:
     each = line.select("row", "conv_id", "turn", "level", "run", normalised(F.col("body")).alias("t"), F.lit(False).alias("whole"))
     runs = line.groupBy("row", "conv_id", "turn", "level", "run").agg(F.array_sort(F.collect_list(F.struct("pos", "body"))).alias("parts"))
     runs = runs.select("row", "conv_id", "turn", "level", "run", normalised(F.array_join(F.transform("parts", lambda p: p["body"]), " ")).alias("t"), F.lit(True).alias("whole"))
-    asked = each.unionByName(runs).where("t <> ''").withColumn("hash", F.sha2("t", 256))
-    found = asked.join(written, ["conv_id", "hash"]).where(F.col("source") < F.col("turn"))
-    return found.groupBy("conv_id", "turn", "level", F.col("source").alias("parent")).agg(F.sum(F.length("t")).alias("chars"))
+    asked = each.unionByName(runs).where("t <> ''").select("conv_id", "turn", "level", F.length("t").alias("size"), F.sha2("t", 256).alias("hash"))
+    asked = materialize(asked, "quotes")
+    key = ["conv_id", "hash"]
+    groups = materialize(asked.groupBy(*key).agg(F.count("*").alias("copies")).join(written, key), "written")
+    found = attach(asked, groups, key, "copies", asked.count()).where(F.col("source") < F.col("turn"))
+    return found.groupBy("conv_id", "turn", "level", F.col("source").alias("parent")).agg(F.sum("size").alias("chars"))
 
 
 def threads(replies: DataFrame) -> DataFrame:
