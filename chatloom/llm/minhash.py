@@ -12,7 +12,7 @@ paired with the one before it that shares the most samples: pairs grow in propor
 verified on the exact vectors, and components of verified links of THRESHOLD or more are made. Then all pairs that share a
 bucket, may be similar and lie in different components are verified too: of each, one is not in the bucket's commonest component,
 so those few are compared with all members. That is done block by block on the exact vectors, so these pairs are never listed. A bucket with
-more than BLOCK such members, as that of a template with many fillings, is first split by prefixes: texts of similarity THRESHOLD have in common one of the
+more than SPLIT * BLOCK such members, as that of a template with many fillings, is first split by prefixes: texts of similarity THRESHOLD have in common one of the
 features (rarest first) that make up the first 1 - THRESHOLD of their weight, so only members that share such a feature are compared, and
 rows grow in proportion to members. No link that joins two components is left out. Classes are the components of all verified links.
 
@@ -41,6 +41,9 @@ COMMON = 4096
 #: Shares of equal samples from which a pair is a candidate (0.8 is 3.5 standard deviations above).
 MAYBE = 0.625
 BLOCK = 512
+#: Blocks of texts outside a bucket's commonest class from which on prefixes make fewer rows than blocks do: SPLIT blocks make 2 SPLIT rows a text, a prefix
+#: has about a fifth of a text's shingles.
+SPLIT = 32
 _STEP = np.cumprod(np.full(SHINGLE, 0xD6E8FEB86659FD93, np.uint64))
 _K = BANDS * ROWS
 _rng = np.random.default_rng(9)
@@ -330,10 +333,10 @@ def other_links(docs: DataFrame, nodes: DataFrame, shared: DataFrame, labels: Da
     """a, b, similarity: verified links between components, enough to join all components that pairs of a bucket link. Of such
     a pair at least one is not in the bucket's commonest component, so those few are compared with all members, cell by cell: first by
     samples, then those that may be similar by their exact vectors. Pairs aren't listed, so a bucket of n texts makes n rows a cell. Buckets with
-    over BLOCK of the few are split by prefixes() first; a feature that over BLOCK of their texts begin with is compared block by block of both sides."""
+    over SPLIT * BLOCK of the few are split by prefixes() first; a feature that over BLOCK of their texts begin with is compared block by block of both sides."""
     named = materialize(shared.drop("centre").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "named")
     named = materialize(with_commonest(named), "named")
-    split = F.col("n") - F.col("c") > BLOCK  # many that aren't in the commonest component: in blocks, rows would grow with their square
+    split = F.col("n") - F.col("c") > SPLIT * BLOCK  # many that aren't in the commonest component: in blocks, rows would grow with their square
     large = named.where(split).groupBy("node").agg(F.first("samples").alias("samples"), F.first("label").alias("label"), F.max(F.col("label") != F.col("most")).alias("few"))
     small = named.where(~split)
     if not (large := materialize(large, "large")).isEmpty():

@@ -53,6 +53,7 @@ def test_template_bucket_equals_brute_force(spark, monkeypatch):
     links = _links(_vectors(docs, texts), itertools.combinations(range(len(texts)), 2))
     assert len(links) >= 15
     monkeypatch.setattr(M, "BLOCK", 8)
+    monkeypatch.setattr(M, "SPLIT", 1)
     asked = []
     prefixes = M.prefixes
     monkeypatch.setattr(M, "prefixes", lambda *a: asked.append(1) or prefixes(*a))
