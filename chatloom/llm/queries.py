@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatloom.llm import chunks, packing, pii, suffix
+from chatloom.llm import byte_bpe, chunks, packing, pii, suffix
 from chatloom.llm.chat import reply_ordered
 from chatloom.llm.decontam import contaminated
 from chatloom.llm.exact_dedup import exact_groups
@@ -59,8 +59,12 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.digest(chunks.duplicate_runs(_table(spark, sf_dir, "documents")))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.digest(byte_bpe.decode(byte_bpe.encode(_table(spark, sf_dir, "documents"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_chat_format, op3_packing, op4_exact_dedup, op5_decontamination, op6_language_id, op7_personal_data, op8_quality, op9_minhash, op10_chunk_dedup)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_chat_format, op3_packing, op4_exact_dedup, op5_decontamination, op6_language_id, op7_personal_data, op8_quality, op9_minhash, op10_chunk_dedup, op13_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
