@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chatloom.llm import byte_bpe, chunks, packing, pii, suffix
+from chatloom.llm import byte_bpe, chunks, codes, packing, pii, suffix, trie
 from chatloom.llm.chat import reply_ordered
 from chatloom.llm.decontam import contaminated
 from chatloom.llm.exact_dedup import exact_groups
@@ -59,12 +59,20 @@ def op10_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.digest(chunks.duplicate_runs(_table(spark, sf_dir, "documents")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op12_code_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.digest(*codes.compress(_table(spark, sf_dir, "embeddings")))
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digest(byte_bpe.decode(byte_bpe.encode(_table(spark, sf_dir, "documents"))))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_suffix_dedup, op2_chat_format, op3_packing, op4_exact_dedup, op5_decontamination, op6_language_id, op7_personal_data, op8_quality, op9_minhash, op10_chunk_dedup, op13_byte_bpe)}
+    return {f.__name__: f for f in (op1_suffix_dedup, op2_chat_format, op3_packing, op4_exact_dedup, op5_decontamination, op6_language_id, op7_personal_data, op8_quality, op9_minhash, op10_chunk_dedup, op11_prefix_trie, op12_code_compression, op13_byte_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -73,4 +81,6 @@ def oracle_sql() -> dict[str, str]:
             SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                    doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
             FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+        "op11_prefix_trie": trie.ORACLE,
+        "op12_code_compression": codes.oracle(),
     }
