@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,7 +44,19 @@ def splitter(pattern: str):
     """A function that cuts a text into the pattern's matches."""
     plain, newer = regex.compile(pattern), regex.compile(_newer)
     careful = regex.compile(pattern.replace(r"\p{L}", rf"[\p{{L}}--{_newer}]").replace(r"\p{N}", rf"[\p{{N}}--{_newer}]"), regex.V1)
-    return lambda text: (plain if text.isascii() or not newer.search(text) else careful).findall(text)
+    narrow = pattern.replace(r"\s\p{L}\p{N}", r"\sA-Za-z0-9").replace(r"\p{L}", "[A-Za-z]").replace(r"\p{N}", "[0-9]")
+    ascii_ = plain if r"\p" in narrow else re.compile(narrow, re.ASCII)  # what the pattern says of ASCII texts
+
+    def split(text: str) -> list[str]:
+        if text.isascii():
+            return ascii_.findall(text)
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return (careful if newer.search(text) else plain).findall(text)
+        return plain.findall(text)
+
+    return split
 
 
 _FACTORS = np.cumprod(np.full(512, 0x9E3779B97F4A7C15, np.uint64))
@@ -96,34 +109,49 @@ class PerfectHash:
         return out
 
 
-def merged(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of a piece that isn't a token, by a heap over linked bytes."""
+def first_pairs(ranks: dict[bytes, int]) -> list[list[int]]:
+    """Rank of each pair of bytes, -1 for none."""
+    return [[ranks.get(bytes((a, b)), -1) for b in range(256)] for a in range(256)]
+
+
+def merged(piece: bytes, ranks: dict[bytes, int], pairs: list[list[int]]) -> list[int]:
+    """The ids of a piece that isn't a token, by a heap over linked bytes. A heap's entry is rank, start and end of a pair in one number; it holds as long as
+    the pair's two parts are still there, that is, the part after the one at start ends where it did."""
     n = len(piece)
-    if n < 2:
-        return [ranks[piece]] if n else []
-    end, after, before = list(range(1, n + 1)), list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that starts at a place
-    heap = [(r, i) for i in range(n - 1) if (r := ranks.get(piece[i : i + 2])) is not None]
+    after = [*range(1, n + 1), n]  # where the part that starts at a place ends and the next one starts; 0: no part starts here
+    before = list(range(-1, n))
+    get, push, pop = ranks.get, heapq.heappush, heapq.heappop
+    bits = n.bit_length()
+    high, mask, step = 2 * bits, (1 << bits) - 1, (1 << bits) + 1
+    heap = []
+    place, last = 2 - step, None
+    for b in piece:
+        if last is not None and (r := last[b]) >= 0:
+            heap.append((r << high) + place)
+        last = pairs[b]
+        place += step
     heapq.heapify(heap)
-    alive = bytearray(b"\1") * n
     while heap:
-        r, i = heapq.heappop(heap)
+        x = pop(heap)
+        end = x & mask
+        i = x >> bits & mask
         j = after[i]
-        if not alive[i] or j >= n or ranks.get(piece[i : end[j]]) != r:
+        if not j or j >= n or after[j] != end:
             continue
-        alive[j] = 0
-        end[i], k = end[j], after[j]
-        after[i] = k
-        if k < n:
-            before[k] = i
-            if (s := ranks.get(piece[i : end[k]])) is not None:
-                heapq.heappush(heap, (s, i))
+        after[i], after[j] = end, 0
+        if end < n:
+            before[end] = i
+            k = after[end]
+            if (r := get(piece[i:k])) is not None:
+                push(heap, r << high | i << bits | k)
         b = before[i]
-        if b >= 0 and (s := ranks.get(piece[b : end[i]])) is not None:
-            heapq.heappush(heap, (s, b))
+        if b >= 0 and (r := get(piece[b:end])) is not None:
+            push(heap, r << high | b << bits | end)
     out, i = [], 0
     while i < n:
-        out.append(ranks[piece[i : end[i]]])
-        i = after[i]
+        j = after[i]
+        out.append(ranks[piece[i:j]])
+        i = j
     return out
 
 
@@ -137,21 +165,20 @@ class Vocabulary(dict):
         self.index = PerfectHash(hashes(self.tokens))
         keys = self.index.numbers(hashes(self.tokens))
         self.tokens = [self.tokens[i] for i in np.argsort(keys).tolist()]  # in the perfect hash's order
-        self.split = splitter(pattern)
+        self.split, self.pairs = splitter(pattern), first_pairs(self.ranks)
         by_id = sorted(self.ranks.items(), key=lambda x: x[1])
         if [r for _, r in by_id] != list(range(len(by_id))):
             raise ValueError("ranks must be 0, 1, 2, ...")
+        self.coded = [i.to_bytes(4, "little") for i in range(len(by_id))]
         self.blob = np.frombuffer(b"".join(t for t, _ in by_id), np.uint8)
         self.ends = np.cumsum([len(t) for t, _ in by_id])
 
     def resolve(self, pieces: list[str]) -> list[bytes]:
         """The ids of pieces: whole tokens by the perfect hash, the others by merging."""
         keys = [p.encode() for p in pieces]
-        out = []
-        for key, n in zip(keys, self.index.numbers(hashes(keys)).tolist(), strict=True):
-            ids = [self.ranks[key]] if n >= 0 and self.tokens[n] == key else merged(key, self.ranks)
-            out.append(np.array(ids, "<u4").tobytes())
-        return out
+        ranks, tokens, coded, pairs = self.ranks, self.tokens, self.coded, self.pairs
+        numbers = self.index.numbers(hashes(keys)).tolist()
+        return [coded[ranks[key]] if n >= 0 and tokens[n] == key else b"".join([coded[i] for i in merged(key, ranks, pairs)]) for key, n in zip(keys, numbers, strict=True)]
 
     def __missing__(self, piece: str) -> bytes:
         return self.resolve([piece])[0]
