@@ -6,15 +6,15 @@ product with the cluster's sum S, so each row meets one vector for each cluster,
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chatloom.functions.vectors import cosine, dot, euclidean, norm
+from chatloom.operators.graph import checkpointed, ranked
+from chatloom.operators.neighbours import nearest
 
 
 def unit(df: DataFrame) -> DataFrame:
@@ -102,53 +102,12 @@ def similar_pairs(themes: DataFrame, least: float) -> DataFrame:
     return a.join(b, F.col("a") < F.col("b")).select("a", "b", F.round(cosine(F.col("va"), F.col("vb")), 9).alias("similarity")).where(F.col("similarity") >= least)
 
 
-#: Vectors that meet all others at once.
-OTHERS = 4096
-
-
-def nearest(df: DataFrame, k: int) -> DataFrame:
-    """a, b, d: the k nearest others of each vector by Euclidean distance rounded to nine digits (ties: the smaller id). The table passes in blocks
-    of OTHERS vectors; each task keeps the k nearest of a block, and a window those of all blocks."""
-    parts, block = [], []
-
-    def meet(rows: list) -> DataFrame:
-        shared = df.sparkSession.sparkContext.broadcast((np.array([r["id"] for r in rows], np.int64), np.array([r["v"] for r in rows], np.float64)))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ids, m = shared.value
-            for whole in batches:
-                for low in range(0, len(whole), 512):
-                    b = whole.slice(low, 512)
-                    own, x = b.column(0).to_numpy(), np.array(b.column(1).to_pylist(), np.float64)
-                    near = np.zeros((len(x), len(m)))
-                    for j in range(m.shape[1]):  # differences, not products, so that equal vectors are at 0
-                        near += (x[:, j : j + 1] - m[None, :, j]) ** 2
-                    near = np.round(np.sqrt(near), 9)
-                    near[own[:, None] == ids[None]] = np.inf
-                    order = np.lexsort((np.broadcast_to(ids, near.shape), near), axis=1)[:, :k]
-                    d = np.take_along_axis(near, order, 1)
-                    some = np.isfinite(d)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(own, some.sum(1))), pa.array(ids[order][some]), pa.array(d[some])], ["a", "b", "d"])
-
-        return df.select("id", "v").mapInArrow(run, "a long, b long, d double")
-
-    for row in df.select("id", "v").toLocalIterator():
-        block.append(row)
-        if len(block) == OTHERS:
-            parts.append(meet(block))
-            block = []
-    if block or not parts:
-        parts.append(meet(block)) if block else parts.append(df.sparkSession.createDataFrame([], "a long, b long, d double"))
-    found = reduce(DataFrame.union, parts)
-    return found.withColumn("nth", F.row_number().over(W.partitionBy("a").orderBy("d", "b"))).where(F.col("nth") <= k).drop("nth")
-
-
 def local_outliers(df: DataFrame, k: int = 20, share: float = 0.1) -> DataFrame:
     """id, lof, outlier: exact local outlier factors; the `share` of all vectors with the highest ones (ties: the smaller id) are outliers."""
-    near = nearest(df, k)
+    near = checkpointed(nearest(df, k))
     reach = near.groupBy(F.col("a").alias("b")).agg(F.max("d").alias("kd"))
-    density = near.join(reach, "b").groupBy("a").agg((1 / F.greatest(F.avg(F.greatest("d", "kd")), F.lit(1e-10))).alias("lrd"))
+    density = checkpointed(near.join(reach, "b").groupBy("a").agg((1 / F.greatest(F.avg(F.greatest("d", "kd")), F.lit(1e-10))).alias("lrd")))
     lof = near.join(density.select(F.col("a").alias("b"), F.col("lrd").alias("their")), "b").join(density, "a").groupBy("a").agg(F.round(F.avg("their") / F.first("lrd"), 6).alias("lof"))
-    most = F.broadcast(lof.agg(F.floor(F.count("*") * F.lit(share)).alias("most")))  # one row
-    rank = F.row_number().over(W.orderBy(F.desc("lof"), "a"))
-    return lof.withColumn("nth", rank).join(most, F.lit(True)).select(F.col("a").alias("id"), "lof", (F.col("nth") <= F.col("most")).cast("int").alias("outlier"))
+    places = ranked(lof, [F.desc("lof"), F.asc("a")], "nth")
+    most = int(places.count() * share)
+    return places.select(F.col("a").alias("id"), "lof", (F.col("nth") < most).cast("int").alias("outlier"))

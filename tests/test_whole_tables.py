@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chatloom import catalog
 from chatloom.functions.text import clean_english
-from chatloom.operators import assign, facts
+from chatloom.operators import assign, facts, neighbours
 from chatloom.operators import vector_quality as quality
 
 ROWS = 4020
@@ -94,8 +94,11 @@ def test_local_outliers_equal_brute_force(spark, monkeypatch):
     lof = {i: round(np.mean([density[j] for j in near[i]]) / density[i], 6) for i in range(n)}
     first = sorted(lof, key=lambda i: (-lof[i], i))[: n // 10]
     df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<float>").repartition(3)
-    for most in (quality.OTHERS, 13):
-        monkeypatch.setattr(quality, "OTHERS", most)
+    for pivots, rows in ((256, 2048), (7, 5)):  # few pivots and small blocks, so rows visit others
+        monkeypatch.setattr(neighbours, "PIVOTS", pivots)
+        monkeypatch.setattr(neighbours, "PIVOT_ROWS", 4)
+        monkeypatch.setattr(neighbours, "BLOCK_ROWS", rows)
+        monkeypatch.setattr(neighbours, "QUERY_ROWS", 20)
         got = {r.id: (r.lof, r.outlier) for r in quality.local_outliers(df, k).collect()}
         assert got == {i: (pytest.approx(x, abs=2e-6), int(i in first)) for i, x in lof.items()}
     assert quality.local_outliers(df.limit(0), k).collect() == []
