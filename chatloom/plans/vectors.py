@@ -9,6 +9,7 @@ from chatloom.operators import assign as A
 from chatloom.operators import clusters as C
 from chatloom.operators import density as D
 from chatloom.operators import lexical as L
+from chatloom.operators import projection as P
 from chatloom.operators import vector_quality as Q
 from chatloom.plans import views as V
 from chatloom.session import table
@@ -63,6 +64,8 @@ def _density(vectors):
     return D.density_clusters(vectors, *D.sizes_for(vectors.count()))
 
 
+_ids = lambda s, d: table(s, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+
 QUERIES = {
     "f19_cosine": (lambda s, d: table(s, d, "embeddings").alias("a").join(table(s, d, "embeddings").alias("b"), F.expr("a.vec_id + 1 = b.vec_id")).select(F.col("a.vec_id").alias("vec_id"), F.round(cosine(F.col("a.embedding"), F.col("b.embedding")), 6).alias("cos")), "SELECT a.vec_id, round(list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS cos FROM embeddings a JOIN embeddings b ON a.vec_id + 1 = b.vec_id"),
     "f20_euclidean": (lambda s, d: table(s, d, "embeddings").alias("a").join(table(s, d, "embeddings").alias("b"), F.expr("a.vec_id + 1 = b.vec_id")).select(F.col("a.vec_id").alias("vec_id"), F.round(euclidean(F.col("a.embedding"), F.col("b.embedding")), 6).alias("dist")), "SELECT a.vec_id, round(list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])), 6) AS dist FROM embeddings a JOIN embeddings b ON a.vec_id + 1 = b.vec_id"),
@@ -151,5 +154,7 @@ QUERIES = {
         SELECT a.cluster AS a, b.cluster AS b, round(list_cosine_similarity(a.c, b.c), 6) AS similarity FROM cv a JOIN cv b ON a.cluster < b.cluster WHERE round(list_cosine_similarity(a.c, b.c), 9) >= 0""",
     ),
     "m16_local_outliers": (lambda s, d: Q.local_outliers(_clusters(s, d)), None),  # tested against brute force
+    "m15_projected": (lambda s, d: P.projected(_ids(s, d), 8).select("id", F.transform("v", lambda x: F.round(x, 6)).alias("v")), None),  # tested by trustworthiness
+    "t7_density_chain": (lambda s, d: P.density_chain(_ids(s, d), 60, 8), None),  # tested against plain Python
     "m17_density_clusters": (lambda s, d: _density(_clusters(s, d).select("id", "v")), None),  # tested against plain Python over the whole table
 }
