@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.functions.vectors import cosine, euclidean
+from chatloom.operators.graph import checkpointed
 from chatloom.operators.vector_quality import centroids
 
 #: Distances up to the median times this merge, in the first round and in the second; messages that a label needs to stay.
@@ -49,15 +50,16 @@ def without_conflicts(valid: DataFrame, metas: DataFrame) -> DataFrame:
     """meta of the unions that are used: by rising average (ties: the smaller meta), each whose groups no used one has. A union that no better one
     touches is used, what it touches is not, and so on with the rest: rounds, not a loop over unions."""
     touching = metas.alias("x").join(metas.alias("y"), F.expr("x.grp = y.grp and x.meta <> y.meta")).select(F.col("x.meta").alias("meta"), F.col("y.meta").alias("other")).distinct()
-    rest = valid.select("meta", F.struct("average", "meta").alias("rank"))
+    touching = checkpointed(touching)
+    rest = checkpointed(valid.select("meta", F.struct("average", "meta").alias("rank")))
     used = rest.select("meta").limit(0)
-    while not rest.isEmpty():
+    while not rest.isEmpty():  # a table for each round
         ranks = rest.select(F.col("meta").alias("other"), F.col("rank").alias("theirs"))
         beaten = touching.join(rest, "meta").join(ranks, "other").where("theirs < rank").select("meta").distinct()
-        best = rest.join(beaten, "meta", "left_anti").select("meta")
+        best = checkpointed(rest.join(beaten, "meta", "left_anti").select("meta"))
         used = used.union(best)
         gone = best.union(touching.join(best.withColumnRenamed("meta", "other"), "other", "left_semi").select("meta")).distinct()
-        rest = rest.join(gone, "meta", "left_anti")
+        rest = checkpointed(rest.join(gone, "meta", "left_anti"))
     return used
 
 

@@ -1,103 +1,109 @@
-"""Small invented inputs with the cases that the generated tables lack, as a DataFrame and as SQL values."""
+"""Inputs with the odd cases that the tables lack, derived row by row from the given tables: as a DataFrame and as SQL.
+
+Each case is a list of select expressions over a table, read alike by both engines, and sometimes a grouping of what they give; a row's key says which odd spelling its values
+are put into, so the work grows with the table."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-#: Name -> schema and rows. Arrays are lists.
-FIXTURES: dict[str, tuple[str, list[tuple]]] = {
-    "times": (
-        "id long, t string",
-        [(1, "2024-01-05T10:00:00Z"), (2, "2024-01-05T10:00:00.123456"), (3, "2024-01-05T23:59:59+00:00"), (4, "2024-01-05 10:00"), (5, "2024-01-05"), (6, "2024-02-30T10:00:00Z"), (7, "yesterday"), (8, None), (9, ""), (10, "2024-01-05T10:00:00+02:00"), (11, "2024-12-31T19:00:00.5Z")],
-    ),
-    "states": (
-        "id long, j string",
-        [(1, '{"utm_source": "mail", "days": ["a", "b"]}'), (2, '{"utm_source": ["ads", "mail"], "days": []}'), (3, '{"utm_source": [], "days": "x"}'), (4, '{"other": 1}'), (5, "{}"), (6, "not json"), (7, None), (8, '{"utm_source": 7, "days": [1, 2, 3]}'), (9, '{"utm_source": null}')],
-    ),
+from chatloom.session import table
+
+
+def pick(key: str, *options: str) -> str:
+    """The option of a row by its key, in turn; options are SQL texts."""
+    return f"CASE {key} % {len(options)} " + " ".join(f"WHEN {i} THEN {o}" for i, o in enumerate(options)) + " END"
+
+
+_q = lambda *texts: [f"'{t}'" for t in texts]
+_day, _clock = "substr(CAST(ts AS STRING), 1, 10)", "substr(CAST(ts AS STRING), 12, 8)"
+_theme = "CAST(substr(p_brand, 7, 5) AS BIGINT)"
+_up = lambda x, by: f"CAST(floor({x} / {by}) AS BIGINT)"
+_phrases = lambda n: "[" + ", ".join(f'"p{i}"' for i in range(n)) + "]"
+NAMES = _q("Delivery time", "Delivery delay", "Late parcels", "Price", "Costs", "Greetings", "General talk", "Sizes")
+DESCRIPTIONS = _q("when it comes", "late parcels", "late", "cost", "money", "hello and bye", "various", "fit")
+TEXTS = ["p_name", "'when will it come'", "'late again'", "'how much'", "'hi'", "'hey there'", "'ok'", "'zzz'", "'yes'", "'a long and winding text'", "p_type"]
+
+#: Name -> table, select expressions, condition or None, keys of a grouping or None, expressions of the groups.
+CASES: dict[str, tuple] = {
+    "times": ("events", ["event_id AS id", pick("event_id", f"{_day} || 'T' || {_clock} || 'Z'", f"{_day} || 'T' || {_clock} || '.123456'", f"{_day} || 'T23:59:59+00:00'", f"{_day} || ' ' || substr({_clock}, 1, 5)", _day, f"'2024-02-30T' || {_clock} || 'Z'", "event_type", "NULL", "''", f"{_day} || 'T' || {_clock} || '+02:00'", f"{_day} || 'T' || {_clock} || '.5Z'") + " AS t"]),
+    "states": ("events", ["event_id AS id", pick("event_id", """'{"utm_source": "' || event_type || '", "days": ["a", "b"]}'""", """'{"utm_source": ["' || event_type || '", "mail"], "days": []}'""", """'{"utm_source": [], "days": "x"}'""", "props", "'{}'", "'not json'", "NULL", """'{"utm_source": ' || CAST(user_id AS STRING) || ', "days": [1, 2, 3]}'""", """'{"utm_source": null}'""") + " AS j"]),
     "orders_made": (
-        "session long, n long, details string",
-        [(1, 1, '{"by_chat": true}'), (1, 2, '{"by_chat": false}'), (2, 1, '{"by_chat": false}'), (2, 2, '{"by_chat": true}'), (3, 1, '"{\\"by_chat\\": true}"'), (4, 1, '"just text"'), (5, 1, "broken {"), (6, 1, None), (7, 1, '{"by_chat": 1}'), (8, 1, '{"by_chat": 0}'), (9, 1, '{"by_chat": ""}'), (10, 1, '["by_chat"]'), (11, 1, '{"by_chat": "yes"}')],
-    ),
-    "fields": (
-        "session long, n long, k string, v string",
-        [(1, 1, "Location", "Pune"), (1, 2, "location", "Goa"), (2, 1, "LOCATION", " Unknown "), (2, 2, "location", "Goa"), (3, 1, "page", "x"), (4, 1, "location", None), (4, 2, "location", "Delhi"), (5, 1, "location", "unknown")],
+        "orders",
+        ["o_custkey AS session", "o_orderkey AS n", pick("o_orderkey", """'{"by_chat": true}'""", """'{"by_chat": false}'""", """'"{' || chr(92) || '"by_chat' || chr(92) || '": true}"'""", "'\"just text\"'", "'broken {'", "NULL", """'{"by_chat": ' || CAST(o_custkey % 2 AS STRING) || '}'""", """'{"by_chat": ""}'""", """'["by_chat"]'""", """'{"by_chat": "' || o_orderpriority || '"}'""") + " AS details"],
     ),
+    "fields": ("events", ["user_id AS session", "event_id AS n", pick("event_id", *_q("Location", "location", "LOCATION", "page", "location")) + " AS k", pick("event_id", "'Pune'", "'Goa'", "' Unknown '", "NULL", "'unknown'", "event_type", "'Delhi'") + " AS v"]),
     "replies": (
-        "id long, reply string",
+        "events",
         [
-            (1, 'Sure:\n```json\n[{"theme_name": "Delivery", "key_phrases": ["a", "b", "c", "d", "e", "f"]}]\n``` done'), (2, '[{"theme_name": "Price", "key_phrases": ["a", "b", "c", "d", "e"]}, {"theme_name": "Size", "key_phrases": ["a", "b", "c", "d", "e", "f", "g"]}]'),
-            (3, '[{"theme_name": "Cut", "key_phrases": ["a"'), (4, "no list at all"), (5, None), (6, "```[]```"), (7, '{"theme_name": "Alone"}'), (8, '[{"key_phrases": ["a", "b", "c", "d", "e", "f"]}]'), (9, 'Here is [1, 2'),
+            "event_id AS id",
+            pick(
+                "event_id", f"""'Sure:' || chr(10) || '```json' || chr(10) || '[{{"theme_name": "' || event_type || '", "key_phrases": {_phrases(6)}}}]' || chr(10) || '``` done'""",
+                f"""'[{{"theme_name": "Price", "key_phrases": {_phrases(5)}}}, {{"theme_name": "' || event_type || '", "key_phrases": {_phrases(7)}}}]'""", """'[{"theme_name": "Cut", "key_phrases": ["a"'""", "'no list at all'", "NULL", "'```[]```'", """'{"theme_name": "Alone"}'""", f"""'[{{"key_phrases": {_phrases(6)}}}]'""", "'Here is [1, 2'",
+            ) + " AS reply",
         ],
     ),
-    "broken": ("id long, raw string", [(1, '{"k": 1}'), (2, '{"k": "a\x01b"}'), (3, '\x0b{"k": 2}\x1f'), (4, '{"k": '), (5, '{"k": "t\x7fx"}'), (6, None)]),
+    "broken": ("events", ["event_id AS id", pick("event_id", """'{"k": ' || CAST(user_id AS STRING) || '}'""", """'{"k": "a' || chr(1) || event_type || '"}'""", """chr(11) || '{"k": 2}' || chr(31)""", """'{"k": '""", """'{"k": "t' || chr(127) || 'x"}'""", "NULL", "props") + " AS raw"]),
     "spoken": (
-        "id long, lang string, t string",
+        "documents",
         [
-            (1, "en", "Is  it IN stock?? mail a@b.cd or +91 98765 43210 now!!!"), (2, "hi", "APP kya h? Price nhi pata"), (3, "hi", "paise kitne, mughe chiye... ok!!"), (4, "fr", "Où est l'été déjà?"), (5, "de", "Größe ÄÖÜ $5 http://x.y/z end"), (6, None, "Plain Text"), (7, "en", "café au lait"), (8, "hi-Latn", "napa na napa"), (9, "ta", "han haa ha!"), (10, "fr", ""), (11, "en", "5$ off..."), (12, "es", "¿Cuánto? ¡Mañana! ??"),
+            "doc_id AS id", pick("doc_id", "lang", "'hi'", "lang", "'hi-Latn'", "'ta'", "NULL", "lang") + " AS lang",
+            pick("doc_id", *(f"'{t} ' || source" for t in ("Is  it IN stock?? mail a@b.cd or +91 98765 43210 now!!!", "APP kya h? Price nhi pata", "paise kitne, mughe chiye... ok!!", "Où est l été déjà?", "Größe ÄÖÜ $5 http://x.y/z end", "Plain Text", "café au lait", "napa na napa", "han haa ha!", "5$ off...", "¿Cuánto? ¡Mañana! ??")), "''", "source") + " AS t",
         ],
     ),
-    "named": ("id long, name string, description string", [(1, "Where is my order", "tracking and delays"), (2, "Prices", "what it costs"), (3, "Wrong Product", "arrived"), (4, "Greetings", "hello"), (5, "Sizes", "refund of sizes"), (6, "Contents", "")]),
-    "use_cases": ("id long, u string", [(1, "Customer Problem"), (2, "Complaint"), (3, "product_benefits"), (4, "ecommerce_quick_commerce"), (5, "side_effects"), (6, "physical_store"), (7, "durability"), (8, "No More Product Query"), (9, "Pricing"), (10, "Something New"), (11, None), (12, "All Products"), (13, "Inquiry about availability on other platforms")]),
-    "lists": ("id long, themes array<string>", [(1, ["Delivery", "Price"]), (2, []), (3, None), (4, ["  Not Enough Data here "]), (5, ["No patterns detected."]), (6, ["patterns detected"]), (7, ["a", "Insufficient message volume"])]),
-    "concern_keys": ("id long, k string", [(1, "concern"), (2, "Concern"), (3, "customer_concern"), (4, "user concerns"), (5, "location"), (6, None), (7, "main_CONCERN_tag")]),
-    "numbers": ("id long, x double", [(1, 2.675), (2, 0.125), (3, 1.005), (4, -2.5), (5, None), (6, 1234567.0), (7, 0.5), (8, 1.5)]),
-    "channels": ("id long, channel string", [(1, "Mail"), (2, "MAIL"), (3, "Ads"), (4, "other"), (5, None)]),
-    "channel_rows": ("source string, n long, sessions long", [("mail", 1, 10), ("Mail", 2, 20), ("ADS", 1, 30), ("none", 1, 40)]),
-    "pages_seen": ("id long, page string", [(1, "Shop/red"), (2, "shop/RED"), (3, "blog/red"), (4, None), (5, "SHOP/blue"), (6, "about"), (7, "shop/red")]),
-    # themes and assignments
-    "themes": (
-        "theme long, name string, description string, n long, phrases array<string>, examples array<string>",
-        [
-            (1, "Delivery time", "when it comes", 40, ["when will it come", "delivery date", "late"], ["when?"]), (2, "Delivery delay", "late parcels", 55, ["late", "delayed parcel", "Delivery Date"], ["so late", "where is it"]), (3, "Late parcels", "late", 5, ["parcel late"], []),
-            (4, "Price", "cost", 30, ["how much", "cost of it", "price", "too dear", "discount", "sale"], ["how much?"]), (5, "Costs", "money", 30, ["cost of it", "cheap"], ["cheaper?"]), (6, "Greetings", "hello and bye", 9, ["hello"], ["hi"]), (7, "General talk", "various", 4, ["so so"], []), (8, "Sizes", "fit", 0, [], []),
-        ],
-    ),
-    "alike": ("a long, b long, similarity double", [(1, 2, 0.9), (2, 3, 0.7), (4, 5, 0.65), (6, 7, 0.649), (1, 3, 0.2)]),
+    "named": ("part", ["p_partkey AS id", pick("p_partkey", *(f"'{t} ' || p_name" for t in ("Where is my order", "Prices", "Wrong Product", "Greetings", "Sizes", "Contents"))) + " AS name", pick("p_partkey", *_q("tracking and delays", "what it costs", "arrived", "hello", "refund of sizes", "", "courier")) + " AS description"]),
+    "use_cases": ("events", ["event_id AS id", pick("event_id", *_q("Customer Problem", "Complaint", "product_benefits", "ecommerce_quick_commerce", "side_effects", "physical_store", "durability", "No More Product Query", "Pricing"), "event_type", "NULL", *_q("All Products", "Inquiry about availability on other platforms")) + " AS u"]),
+    "lists": ("part", ["p_partkey AS id", pick("p_partkey", "split(p_name, ' ')", "SLICE(split('a', ' '), 1, 0)", "NULL", "split('  Not Enough Data here ', ';')", "split('No patterns detected.', ';')", "split('patterns detected', ';')", "split(p_type || ';Insufficient message volume', ';')") + " AS themes"]),
+    "concern_keys": ("events", ["event_id AS id", pick("event_id", "'concern'", "'Concern'", "'customer_concern'", "event_type || ' concerns'", "'location'", "NULL", "'main_CONCERN_tag'") + " AS k"]),
+    "numbers": ("orders", ["o_orderkey AS id", pick("o_orderkey", "o_totalprice", "floor(o_totalprice) / 8", "NULL", "-floor(o_totalprice) / 2", "floor(o_totalprice) / 1000") + " AS x"]),
+    "channels": ("customer", ["c_custkey AS id", pick("c_custkey", *_q("Mail", "MAIL", "Ads", "other"), "NULL") + " AS channel"]),
+    "channel_rows": ("orders", [pick("o_orderkey", *_q("mail", "Mail", "ADS", "none")) + " AS source", "o_orderkey AS n", "o_custkey AS sessions"]),
+    "pages_seen": ("events", ["user_id AS id", pick("event_id", *_q("Shop/red", "shop/RED", "blog/red"), "NULL", *_q("SHOP/blue", "about", "shop/red"), "event_type") + " AS page"]),
+    # themes and assignments: one theme a brand, one message a part
+    "themes": ("part", [f"{_theme} AS theme", "p_name", "p_type"], None, ["theme"], [pick("theme", *NAMES) + " || ' ' || CAST(theme AS STRING) AS name", pick("theme", *DESCRIPTIONS) + " AS description", "count(*) AS n", "array_sort(array_agg(DISTINCT p_name)) AS phrases", "array_sort(array_agg(DISTINCT p_type)) AS examples"]),
+    "alike": ("part", [f"{_theme} AS a", f"{_theme} + 1 + p_size % 3 AS b"], f"{_theme} + 1 + p_size % 3 <= 25", ["a", "b"], ["CAST((count(*) * 37 + a * 11 + b) % 101 AS DOUBLE) / 100 AS similarity"]),
     "assigned": (
-        "message long, text string, theme long, status string, phrase string, best double, second double, second_theme long, was_borderline int",
-        [
-            (1, "when will it come", 1, "confident", "when will it come", 0.9, 0.2, 4, 0), (2, "late again", 2, "confident", "late", 0.8, 0.78, 1, 1), (3, "parcel late", 3, "confident", "parcel late", 0.7, 0.6, 2, 0), (4, "how much", 4, "confident", "how much", 0.95, 0.1, 5, 0), (5, "cost of it", 5, "confident", "cost of it", 0.6, 0.59, 4, 1),
-            (6, "hi", 6, "confident", "hello", 0.6, 0.1, 1, 0), (7, "hey there", 7, "confident", "so so", 0.55, 0.1, 1, 0), (8, "ok", 7, "confident", None, 0.55, 0.1, 1, 0), (9, "zzz", -1, "miscellaneous", "late", 0.1, 0.0, 1, 0), (10, "blue", -1, "miscellaneous", None, 0.0, 0.0, None, 0), (11, "late", 1, "confident", "late", 0.9, 0.8, 2, 0), (12, "yes", 7, "confident", "so so", 0.5, 0.2, 1, 0), (13, "a long and winding text", 7, "confident", "so so", 0.5, 0.1, 1, 0),
-        ],
+        "part",
+        ["p_partkey AS message", pick("p_partkey", *TEXTS) + " AS text", f"CASE WHEN p_size % 6 = 0 THEN -1 ELSE {_theme} END AS theme", "CASE WHEN p_size % 6 = 0 THEN 'miscellaneous' ELSE 'confident' END AS status", "CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_name END AS phrase", "CAST(p_size % 16 AS DOUBLE) / 16 AS best", "CAST(p_size % 5 AS DOUBLE) / 16 AS second", f"CASE WHEN p_size % 7 = 0 THEN NULL ELSE {_theme} % 25 + 1 END AS second_theme", "CASE WHEN p_size % 3 = 0 THEN 1 ELSE 0 END AS was_borderline"],
     ),
-    # labels of concerns
-    "labels_of": ("label string, n long, v array<double>", [("late", 40, [1.0, 0.0]), ("delay", 12, [0.9, 0.1]), ("slow", 12, [0.8, 0.3]), ("price", 30, [0.0, 1.0]), ("cost", 9, [0.1, 0.9]), ("dear", 3, [0.2, 0.95]), ("lost", 4, [0.95, 0.3]), ("size", 2, [-1.0, -0.2]), ("fit", 6, [-0.9, 0.1]), ("Cost", 1, [0.0, 0.8])]),
-    "label_groups": ("grp long, label string", [(0, "late"), (0, "delay"), (1, "slow"), (2, "price"), (2, "cost"), (3, "fit")]),
-    "meta_groups": ("meta long, grp long", [(0, 0), (0, 1), (1, 1), (1, 3), (2, 2), (2, 0), (3, 2), (4, 3), (4, 9)]),
-    "concern_messages": ("id long, concern string", [(1, "late"), (2, "delay"), (3, '["delay", "price"]'), (4, '["late", "delay"]'), (5, '["cost", "price", "fit"]'), (6, "[broken"), (7, None), (8, '["size"]'), (9, '["price", "delay"]'), (10, "fit")]),
-    "suggested": ("low string, target string", [("dear", "cost"), ("dear", "nowhere"), ("size", "fit"), ("lost", "late"), ("none", "late"), ("Cost", "cost")]),
-    "history": ("label string, step string, status string", [("delay", "round1", "merged"), ("cost", "round1", "merged"), ("dear", "round2", "merged"), ("size", "round2", "deleted"), ("late", None, "retained"), ("price", None, "retained"), ("fit", None, "retained")]),
+    # labels of concerns: the names of parts
+    "labels_of": ("part", ["p_name AS label", "p_size", "p_partkey"], None, ["label"], ["count(*) % 14 AS n", "LIST(CAST(sum(p_size) % 37 + 1 AS DOUBLE), CAST(sum(p_partkey) % 29 AS DOUBLE)) AS v"]),
+    "label_groups": ("part", ["p_name AS label", "p_size"], None, ["label"], ["sum(p_size) % 9 AS grp"]),
+    "meta_groups": ("part", ["CAST(p_size % 6 AS BIGINT) AS meta", "CAST(p_size * p_size % 11 AS BIGINT) AS grp"], None, ["meta", "grp"], []),
+    "concern_messages": ("part", ["p_partkey AS id", pick("p_partkey", "p_name", """'["' || p_name || '", "cold bolt"]'""", "p_name", """'["' || p_name || '"]'""", """'[broken ' || p_name""", "NULL", """'["small ring", "' || p_name || '", "hot gear"]'""") + " AS concern"]),
+    "suggested": ("part", ["p_name AS low", pick("p_size", "'cold '", "'hot '", "'large '", "'no '") + " || split_part(p_name, ' ', 2) AS target"], None, ["low", "target"], []),
+    "history": ("part", ["p_name AS label", "p_size"], None, ["label"], [pick("sum(p_size)", "'round1'", "'round2'", "NULL", "'round2'") + " AS step", pick("sum(p_size)", *_q("merged", "merged", "retained", "deleted")) + " AS status"]),
     # sessions and messages
-    "snapshots": ("session long, made long, k string, v string", [(1, 10, "a", "1"), (1, 10, "b", "2"), (1, 20, "a", "3"), (2, 5, "a", "9"), (1, 10, "a", "1b")]),
-    "asked": ("session long, id long, made long", [(1, 1, 5), (1, 2, 10), (1, 3, 11), (1, 4, 25), (2, 5, 6), (3, 6, 1)]),
-    "chat_rows": ("session string, id long, made string, actor string, text string", [("s1", 2, "2024-01-01T00:00:02", "AI", "yes"), ("s1", 1, "2024-01-01T00:00:01", "customer", "hi"), ("s2", 3, "2024-01-01T00:00:03", "customer", "img:data"), ("s2", 4, "2024-01-01T00:00:04", "customer", "blue?"), ("s3", 5, "2024-01-01T00:00:05", "customer", "img:x")]),
-    "field_rows": ("session string, k string, v string, made string", [("s1", "product_added_to_cart", "p1", "1"), ("s1", "location", "Pune", "2"), ("s2", "location", "Goa", "3"), ("s9", "location", "Goa", "3")]),
-    "link_rows": ("session string, made string, link string", [("s1", "2024-01-01 00:00:09", "b"), ("s1", "2024-01-01 00:00:03", "a"), ("s2", "2024-01-01 00:00:01", "c")]),
+    "snapshots": ("events", ["user_id AS session", f"{_up('event_id', 8)} AS made", pick("event_id", *_q("a", "b", "c")) + " AS k", "event_type AS v"], "event_type <> 'view'"),
+    "asked": ("events", ["user_id AS session", "event_id AS id", f"{_up('event_id', 8)} AS made"], "event_type = 'view'"),
+    "chat_rows": ("conversations", ["CAST(conv_id AS STRING) AS session", "conv_id * 1000 + turn AS id", "CAST(turn AS STRING) AS made", "role AS actor", "CASE WHEN (conv_id + turn) % 5 = 0 THEN 'img:' || role ELSE text END AS text"]),
+    "field_rows": ("events", ["CAST(user_id AS STRING) AS session", pick("event_id", *_q("product_added_to_cart", "location", "page")) + " AS k", "event_type || CAST(event_id AS STRING) AS v", "CAST(event_id + 1000000000 AS STRING) AS made"]),
+    "link_rows": ("events", ["CAST(user_id AS STRING) AS session", "CAST(event_id + 1000000000 AS STRING) AS made", "props AS link"], "event_type = 'click'"),
 }
 
 
-def frame(spark: SparkSession, name: str) -> DataFrame:
-    schema, rows = FIXTURES[name]
-    return spark.createDataFrame(rows, schema)
+def _parts(name: str) -> tuple:
+    return (*CASES[name], *(None, None, None))[:5]
 
 
-def _literal(v) -> str:
-    if v is None:
-        return "NULL"
-    if isinstance(v, str):
-        return "'" + v.replace("'", "''") + "'"
-    if isinstance(v, list):
-        return "[" + ", ".join(map(_literal, v)) + "]"
-    return repr(v)
+def frame(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    source, select, where, keys, groups = _parts(name)
+    plain = lambda x: x.replace("SLICE(", "slice(").replace("LIST(", "array(")
+    df = table(spark, sf, source)
+    df = (df.where(where) if where else df).selectExpr(*map(plain, select))
+    if keys is None:
+        return df
+    return df.groupBy(*keys).agg(*(F.expr(plain(g)) for g in groups)) if groups else df.distinct()
 
 
 def values(*names: str) -> str:
     """Common table expressions with the same rows."""
-    kinds = {"long": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "int": "INTEGER", "array<string>": "VARCHAR[]", "array<double>": "DOUBLE[]"}
     out = []
     for name in names:
-        schema, rows = FIXTURES[name]
-        columns = [c.split() for c in schema.split(", ")]
-        cast = ", ".join(f"CAST({c} AS {kinds[k]}) AS {c}" for c, k in columns)
-        out.append(f"{name} AS (SELECT {cast} FROM (VALUES {', '.join('(' + ', '.join(map(_literal, r)) + ')' for r in rows)}) v({', '.join(c for c, _ in columns)}))")
+        source, select, where, keys, groups = _parts(name)
+        text = f"SELECT {', '.join(select)} FROM {source}" + (f" WHERE {where}" if where else "")
+        if keys is not None:
+            text = f"SELECT {', '.join(keys + groups)} FROM ({text}) GROUP BY {', '.join(keys)}"
+        out.append(f"{name} AS ({text.replace('SLICE(', 'list_slice(').replace('LIST(', 'list_value(')})")
     return ", ".join(out)

@@ -8,9 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from chatloom import catalog
-from chatloom.functions.text import clean_english
+from chatloom.functions.text import clean_english, round_half_even
 from chatloom.operators import assign, facts, neighbours
 from chatloom.operators import vector_quality as quality
+from chatloom.plans.fixtures import frame
 
 ROWS = 4020
 NAMES = ["red linen box", "blue linen", "green tin box", "red"]
@@ -104,9 +105,13 @@ def test_local_outliers_equal_brute_force(spark, monkeypatch):
     assert quality.local_outliers(df.limit(0), k).collect() == []
 
 
-def test_half_even_is_pythons(spark):
-    got = {r.id: r.x for r in catalog.queries()["f26_half_even"](spark, "").collect()}
-    assert got == {1: 2.67, 2: 0.12, 3: 1.0, 4: -2.5, 5: None, 6: 1234567.0, 7: 0.5, 8: 1.5}
+def test_half_even_is_pythons(spark, sf):
+    df = spark.createDataFrame(list(enumerate([2.675, 0.125, 1.005, -2.5, None, 1234567.0, 0.5, 1.5])), "id long, x double")
+    got = [r.x for r in df.select("id", round_half_even(F.col("x"), 2).alias("x")).orderBy("id").collect()]
+    assert got == [2.67, 0.12, 1.0, -2.5, None, 1234567.0, 0.5, 1.5]
+    given = {r.id: r.x for r in frame(spark, sf, "numbers").collect()}
+    got = {r.id: r.x for r in catalog.queries()["f26_half_even"](spark, sf).collect()}
+    assert got == {i: x if x is None else round(x, 2) for i, x in given.items()} and len(got) > 100
 
 
 def test_long_text_without_blanks_is_cleaned_in_time(spark):
