@@ -13,6 +13,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Python workers are reused, and what a pool keeps for the next batch of one operator isn't there for the other worker or the JVM: freed buffers go back at once.
+pa.set_memory_pool(pa.system_memory_pool())
+
 #: Characters that one numpy step holds; a longer text forms a step of its own.
 SLICE_CHARS = 300_000
 #: A key is hot beyond a 256th of the rows, so there are never more than 256 hot keys.

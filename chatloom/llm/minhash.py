@@ -435,8 +435,8 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     weights = context.broadcast(idf(frequencies, total))
     signed = materialize(signatures(docs, weights), "signatures")
     some = signed.where("node is not null")
-    groups = some.groupBy("node").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"))
-    nodes = materialize(some.join(groups, "node").where(F.col("doc_id").eqNullSafe(F.col("rep"))).dropDuplicates(["node"]).select("node", "rep", "copies", "bands", "samples"), "nodes")
+    groups = some.groupBy("node").agg(F.count("*").alias("copies"), F.min("doc_id").alias("rep"), F.first(F.struct("bands", "samples")).alias("s"))  # equal shingles, equal samples
+    nodes = materialize(groups.select("node", "rep", "copies", "s.bands", "s.samples"), "nodes")
     shared = materialize(shared_bands(nodes), "shared")
 
     def linked(pairs: DataFrame) -> DataFrame:
@@ -452,6 +452,7 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
     named = nodes.select("node", "rep", "copies").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     sizes = named.groupBy("label").agg(F.min("rep").alias("class_id"), F.sum("copies").alias("class_size"))
     named = materialize(named.join(sizes, "label").select("node", "copies", "class_id", "class_size"), "classes")
+    weights.destroy()  # all that needs them is written; reused workers would keep them
     out = attach(some.select("doc_id", "node"), named, ["node"], "copies", total).select("doc_id", "class_id", "class_size")
     alone = signed.where("node is null").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"))
     return out.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
