@@ -7,10 +7,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from chatloom.functions import text as T
-from chatloom.operators.graph import components
+from chatloom.operators.graph import checkpointed, components, ranked
 
 #: Phrases and examples that a merged theme keeps, phrases that a theme must have.
 MOST_PHRASES, MOST_EXAMPLES, LEAST_PHRASES = 12, 4, 6
+#: Batches that are joined at once.
+FAN = 16
 
 
 def redundant(similar: DataFrame, least: float = 0.65) -> DataFrame:
@@ -75,6 +77,51 @@ def word_run_themes(messages: DataFrame, least: int, most_themes: int, stop: lis
     return top.select("name", F.slice(F.transform("p", lambda x: x["phrase"]), 1, MOST_PHRASES).alias("phrases"), "messages")
 
 
+def numbered_batches(messages: DataFrame, size: int) -> DataFrame:
+    """messages with batch: `size` rows at a time, in order of message."""
+    return ranked(messages, [F.col("message")], "place").withColumn("batch", F.floor(F.col("place") / size)).drop("place")
+
+
+def batch_themes(messages: DataFrame, least: int, most_themes: int, stop: list[str] = (), least_phrases: int = LEAST_PHRASES) -> DataFrame:
+    """batch, name, phrases, examples, messages: what word_run_themes finds in each batch (columns batch, message, text) on its own, all batches at once; themes with fewer than
+    `least_phrases` phrases aren't valid. Groups are no larger than a batch."""
+    words = messages.select("batch", "message", "text", F.filter(F.split(T.clean_english(F.col("text")), " "), lambda w: ~w.isin("", *stop)).alias("w"))
+    pair = lambda i: F.concat_ws(" ", F.get(F.col("w"), i - 1), F.get(F.col("w"), i))
+    runs = words.where(F.size("w") > 1).select("batch", "message", "text", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.size("w") - 1), pair))).alias("phrase"))
+    phrases = runs.groupBy("batch", "phrase").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+    counted = words.select("batch", F.explode(F.array_distinct("w")).alias("word")).groupBy("batch", "word").agg(F.count("*").alias("df"))
+    owner = phrases.select("batch", "phrase", "n", F.explode(F.array_distinct(F.split("phrase", " "))).alias("word")).join(counted, ["batch", "word"])
+    owner = owner.groupBy("batch", "phrase", "n").agg(F.min(F.struct((-F.col("df")).alias("df"), "word")).alias("o")).select("batch", "phrase", "n", F.col("o.word").alias("name"))
+    found = runs.join(owner, ["batch", "phrase"]).groupBy("batch", "name").agg(F.array_sort(F.collect_set(F.struct("message", "text"))).alias("m"))
+    listed = owner.groupBy("batch", "name").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "phrase"))).alias("p")).where(F.size("p") >= least_phrases)
+    rows = found.join(listed, ["batch", "name"]).withColumn("messages", F.size("m").cast("long"))
+    nth = F.row_number().over(W.partitionBy("batch").orderBy(F.desc("messages"), "name"))
+    rows = rows.withColumn("nth", nth).where(F.col("nth") <= most_themes)
+    texts = lambda c, field, most: F.slice(F.transform(c, lambda x: x[field]), 1, most)
+    return rows.select("batch", "name", texts("p", "phrase", MOST_PHRASES).alias("phrases"), F.array_distinct(texts("m", "text", MOST_EXAMPLES)).alias("examples"), "messages")
+
+
+def fold_batches(themes: DataFrame, seeds: list[str] = ()) -> DataFrame:
+    """name, phrases, examples, messages, batches: themes of all batches with those of one name, in any case, made one: the first one's spelling, phrases and examples in order of batches
+    without repeats, up to the most that a theme keeps. Themes with a seed's name stay apart. Taking the first few of an ordered union is associative, so
+    FAN batches are joined at a time, level by level, and no group holds more."""
+    low = F.lower(T.strip(F.col("name")))
+    alone = F.concat_ws("#", low, F.col("batch").cast("string"))
+    rows = themes.withColumn("key", F.when(low.isin(*(s.lower() for s in seeds)), alone).otherwise(low) if seeds else low).withColumn("batches", F.lit(1).cast("long"))
+    rows = checkpointed(rows.select("key", F.col("batch").cast("long").alias("batch"), "name", "phrases", "examples", "messages", "batches"))
+    top = rows.agg(F.max("batch")).first()[0] or 0
+    joined = lambda c: F.flatten(F.transform("all", lambda x: x[c]))
+    total = lambda c: F.aggregate(F.transform("all", lambda x: x[c]), F.lit(0).cast("long"), lambda a, x: a + x)
+    while top > 0:
+        part = rows.groupBy("key", F.floor(F.col("batch") / FAN).alias("batch")).agg(F.array_sort(F.collect_list(F.struct(F.col("batch").alias("b"), "name", "phrases", "examples", "messages", "batches"))).alias("all"))
+        more = F.size("all") > 1
+        phrases = F.when(more, F.slice(without_case(joined("phrases")), 1, MOST_PHRASES)).otherwise(joined("phrases"))
+        examples = F.when(more, F.slice(F.array_distinct(joined("examples")), 1, MOST_EXAMPLES)).otherwise(joined("examples"))
+        rows = checkpointed(part.select("key", "batch", F.get("all", F.lit(0))["name"].alias("name"), phrases.alias("phrases"), examples.alias("examples"), total("messages").alias("messages"), total("batches").alias("batches")))
+        top //= FAN
+    return rows.select("name", "phrases", "examples", "messages", "batches")
+
+
 def titled(assigned: DataFrame, themes: DataFrame) -> DataFrame:
     """Adds title: the theme's name; for messages without a theme the name of the last theme that has their best phrase."""
     by_phrase = themes.select(F.explode("phrases").alias("phrase"), "theme", "name").groupBy("phrase").agg(F.max(F.struct("theme", "name")).alias("p")).select("phrase", F.col("p.name").alias("by_phrase"))

@@ -78,7 +78,7 @@ QUERIES = {
         """WITH p AS (SELECT a.n_nationkey, b.n_nationkey AS target, abs(length(a.n_name) - length(b.n_name)) + b.n_nationkey / 1000.0::DOUBLE AS d FROM nation a, nation b WHERE a.n_nationkey < 5 AND b.n_nationkey >= 5)
         SELECT n_nationkey, target FROM (SELECT *, row_number() OVER (PARTITION BY n_nationkey ORDER BY d) AS nth FROM p) WHERE nth = 1 AND d <= (SELECT quantile_cont(d, 0.5) FROM p)""",
     ),
-    "t4_sample_size": (lambda s, d: s.range(0, 3000, 37).select("id", C.adaptive_sample_size(F.col("id")).alias("size")), "SELECT range AS id, CAST(CASE WHEN range <= 500 THEN range WHEN range <= 1000 THEN least(500, floor(range * 0.75)) WHEN range <= 1500 THEN least(650, floor(range * 0.33)) ELSE 800 END AS BIGINT) AS size FROM range(0, 3000, 37)"),
+    "t4_sample_size": (lambda s, d: table(s, d, "orders").select((F.col("o_orderkey") * 37 % 3001).alias("id")).distinct().select("id", C.adaptive_sample_size(F.col("id")).alias("size")), "SELECT DISTINCT range AS id, CAST(CASE WHEN range <= 500 THEN range WHEN range <= 1000 THEN least(500, floor(range * 0.75)) WHEN range <= 1500 THEN least(650, floor(range * 0.33)) ELSE 800 END AS BIGINT) AS size FROM (SELECT o_orderkey * 37 % 3001 AS range FROM orders)"),
     "a32_label_groups": (
         lambda s, d: table(s, d, "part").groupBy("p_brand", "p_type").agg(F.count("*").alias("n")).groupBy("p_brand").agg(F.count("*").alias("labels"), F.sum("n").cast("long").alias("parts"), F.array_join(F.transform(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("m"), "p_type"))), 1, 5), lambda x: x["p_type"]), ",").alias("top")),
         "WITH g AS (SELECT p_brand, p_type, count(*) AS n FROM part GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY n DESC, p_type) AS k FROM g) SELECT p_brand, count(*) AS labels, CAST(sum(n) AS BIGINT) AS parts, string_agg(p_type, ',' ORDER BY k) FILTER (k <= 5) AS top FROM r GROUP BY 1",

@@ -9,6 +9,7 @@ from chatloom.operators import labels as B
 from chatloom.operators import sampling as S
 from chatloom.operators import themes as H
 from chatloom.operators.graph import checkpointed
+from chatloom.plans import views as V
 from chatloom.plans.fixtures import frame, values
 from chatloom.session import table
 from chatloom.sources.tables import assembled
@@ -46,6 +47,7 @@ FIRST = f"""{USED}, um AS (SELECT grp, meta FROM meta_groups JOIN us USING (meta
 _has = lambda c, words: "(" + " OR ".join(f"contains({c}, '{w}')" for w in words) + ")"
 NOISE = f"""gr AS (SELECT theme, avg(CASE WHEN length(trim(text)) <= 3 OR {_has('lower(text)', T.NOISE_TEXTS)} THEN 1.0::DOUBLE ELSE 0 END) AS g FROM assigned GROUP BY 1),
     no AS (SELECT t.theme FROM themes t LEFT JOIN gr ON gr.theme = t.theme WHERE regexp_matches(lower(name || ' ' || description), '{"|".join(T.NOISE_PATTERNS)}') OR ({_has('lower(name)', T.NOISE_TITLES)} AND coalesce(g, 0) > 0.6))"""
+_asked = lambda s, d: V.chat(s, d).where("actor = 'customer' and text is not null").select((F.col("session") * 100_000 + F.col("pos")).alias("message"), "text")
 _strata = lambda s, d: table(s, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("label").cast("long").alias("cluster"), F.round(F.abs(F.element_at("embedding", 1)).cast("double"), 9).alias("distance"))
 STRATA = "st AS (SELECT vec_id AS id, CAST(label AS BIGINT) AS cluster, round(CAST(abs(embedding[1]) AS DOUBLE), 9) AS distance FROM embeddings)"
 _noisy = lambda s, d: table(s, d, "embeddings").select(F.col("vec_id").alias("id"), (F.col("label").cast("long") - 2).alias("label"))
@@ -85,6 +87,7 @@ QUERIES = {
         ls AS (SELECT name, string_agg(phrase, ',' ORDER BY n DESC, phrase) AS phrases FROM (SELECT * FROM ow QUALIFY row_number() OVER (PARTITION BY name ORDER BY n DESC, phrase) <= 12) GROUP BY 1)
         SELECT name, phrases, messages FROM ss JOIN ls USING (name) ORDER BY messages DESC, name LIMIT 5""",
     ),
+    "m11_u2_themes_in_batches": (lambda s, d: H.fold_batches(H.batch_themes(H.numbered_batches(_asked(s, d), 200), 2, 30, least_phrases=3), ["the"]).select("name", _joined(F.col("phrases")).alias("phrases"), _joined(F.col("examples")).alias("examples"), "messages", "batches"), None),  # tested against a plain fold
     "j18_titled": (
         lambda s, d: H.titled(frame(s, d, "assigned"), frame(s, d, "themes")).select("message", "title"),
         f"""WITH {values('themes', 'assigned')}, bp AS (SELECT phrase, arg_max(name, theme) AS name FROM (SELECT theme, name, unnest(phrases) AS phrase FROM themes) GROUP BY 1)
