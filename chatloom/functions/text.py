@@ -9,6 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
 
+from chatloom.functions.scripts import mended, transliterated
+
 #: An e-mail address takes its whole run of non-blanks, so matching starts at runs only, which keeps long runs without @ linear.
 URL, EMAIL, PHONE, CURRENCY = r"http\S+", r"(?<!\S)\S+@\S+", r"\+?\d[\d -]{8,}\d", r"[$€₹¥]"
 MARKERS = r"[!]{2,}|[?]{2,}|[.]{3,}"
@@ -145,11 +147,11 @@ def words_only(c: Column) -> Column:
 
 
 def clean_in(c: Column, language: Column) -> Column:
-    """The cleaned text by language: English as it is, Indian languages in one spelling, others without accents; NFC first, markers last."""
-    text = nfc(c)
+    """The cleaned text by language: English as it is, Indian languages in one spelling, others in Latin letters; composed and mended first, markers last."""
+    text = mended(nfc(c))
     low = F.lower(strip(without_contacts(text)))
     indian = F.coalesce(language.rlike("hi|^(?:" + "|".join(INDIAN) + ")"), F.lit(False))
-    body = F.when(F.coalesce(language.startswith("en"), F.lit(True)), words_only(low)).when(indian, words_only(one_spelling(low))).otherwise(words_only(without_accents(low)))
+    body = F.when(F.coalesce(language.startswith("en"), F.lit(True)), words_only(low)).when(indian, words_only(one_spelling(low))).otherwise(words_only(transliterated(low)))
     marks = urgency_markers(text)
     return F.trim(F.concat(body, F.when(marks == "", "").otherwise(F.concat(F.lit(" "), marks))))
 

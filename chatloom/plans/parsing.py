@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from chatloom.functions import scripts as S
 from chatloom.functions import text as T
 from chatloom.operators import facts as O
 from chatloom.plans.fixtures import frame, values
+from chatloom.session import table
 from chatloom.sources.tables import CONTROL
 
 THEMES = "array<struct<theme_name string, key_phrases array<string>>>"
@@ -32,7 +34,24 @@ _LOW = r"lower(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
 _MARKS = r"array_to_string(list_slice(regexp_extract_all(nfc_normalize(t), '[!]{2,}|[?]{2,}|[.]{3,}'), 1, 2), ' ')"
 _REPLY = r"nullif(regexp_extract(regexp_replace(reply, '```(json)?', '', 'g'), '(?s)\[.*\]'), '')"
 
+
+
+def _latin(column: str) -> str:
+    for letter, spelt in S.TABLE.items():
+        column = f"replace({column}, '{letter}', '{spelt.replace(chr(39), chr(39) * 2)}')"
+    return column
+
+
+_PLAIN = _latin("strip_accents(" + _latin(_LOW) + ")")
 QUERIES = {
+    "f8_mended": (
+        lambda s, d: table(s, d, "documents").select(F.col("doc_id").alias("id"), F.md5(S.mended(F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")).cast("binary")).alias("mended"), F.md5(S.mended("text").cast("binary")).alias("untouched")),
+        "SELECT doc_id AS id, md5(text) AS mended, md5(text) AS untouched FROM documents",
+    ),
+    "f14_transliterated": (
+        lambda s, d: table(s, d, "documents").select(F.col("doc_id").alias("id"), F.md5(S.transliterated(F.concat("text", F.lit(" Привет Καλημέρα नमस्ते ß"))).cast("binary")).alias("latin")),
+        f"SELECT doc_id AS id, md5({_latin('strip_accents(' + _latin(chr(39).join(['nfc_normalize(text || ', ' Привет Καλημέρα नमस्ते ß', ')'])) + ')')}) AS latin FROM documents",
+    ),
     "f1_iso_to_local": (
         lambda s, d: frame(s, d, "times").select("id", T.local_from_iso(F.col("t")).alias("ist")),
         r"""WITH """ + values("times") + r""", p AS (SELECT id, regexp_extract(t, '^(\d{4}-\d{2}-\d{2})(?:[T ](\d{2}:\d{2}(?::\d{2})?)(?:[.]\d+)?)?(?:Z|[+-]\d{2}:\d{2})?$', ['day', 'clock']) AS m FROM times)
@@ -74,7 +93,7 @@ QUERIES = {
     "f14_without_accents": (lambda s, d: frame(s, d, "spoken").select("id", T.without_accents(F.col("t")).alias("t")), f"WITH {values('spoken')} SELECT id, strip_accents(t) AS t FROM spoken"),
     "f8_f14_clean_in": (
         lambda s, d: frame(s, d, "spoken").select("id", T.clean_in(F.col("t"), F.col("lang")).alias("cleaned")),
-        f"""WITH {values('spoken')} SELECT id, trim(CASE WHEN lang IS NULL OR starts_with(lang, 'en') THEN {_WORDS(_LOW)} WHEN contains(lang, 'hi') OR lang = 'ta' THEN {_WORDS(_spelled(_LOW))} ELSE {_WORDS(f'strip_accents({_LOW})')} END
+        f"""WITH {values('spoken')} SELECT id, trim(CASE WHEN lang IS NULL OR starts_with(lang, 'en') THEN {_WORDS(_LOW)} WHEN contains(lang, 'hi') OR lang = 'ta' THEN {_WORDS(_spelled(_LOW))} ELSE {_WORDS(_PLAIN)} END
         || CASE WHEN {_MARKS} = '' THEN '' ELSE ' ' || {_MARKS} END) AS cleaned FROM spoken""",
     ),
     "m26_phrase_text": (lambda s, d: frame(s, d, "spoken").select("id", T.phrase_text(F.col("t")).alias("phrase")), f"WITH {values('spoken')}, c AS (SELECT id, t, {_WORDS(_LOW.replace('nfc_normalize(t)', 't'))} AS x FROM spoken) SELECT id, CASE WHEN x = '' THEN t ELSE x END AS phrase FROM c"),

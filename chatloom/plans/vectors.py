@@ -8,6 +8,7 @@ from chatloom.functions.vectors import cosine, euclidean
 from chatloom.operators import assign as A
 from chatloom.operators import clusters as C
 from chatloom.operators import density as D
+from chatloom.operators import embed as E
 from chatloom.operators import lexical as L
 from chatloom.operators import projection as P
 from chatloom.operators import vector_quality as Q
@@ -156,5 +157,6 @@ QUERIES = {
     "m16_local_outliers": (lambda s, d: Q.local_outliers(_clusters(s, d)), None),  # tested against brute force
     "m15_projected": (lambda s, d: P.projected(_ids(s, d), 8).select("id", F.transform("v", lambda x: F.round(x, 6)).alias("v")), None),  # tested by trustworthiness
     "t7_density_chain": (lambda s, d: P.density_chain(_ids(s, d), 60, 8), None),  # tested against plain Python
+    "m25_text_vectors": (lambda s, d: E.text_vectors(table(s, d, "documents").select(F.col("doc_id").alias("id"), "text"), 64).select("id", F.transform("v", lambda x: F.round(x, 6)).alias("v")), None),  # tested by planted paraphrases
     "m17_density_clusters": (lambda s, d: _density(_clusters(s, d).select("id", "v")), None),  # tested against plain Python over the whole table
 }
