@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
 from functools import lru_cache
 
 import numpy as np
@@ -46,9 +48,17 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _tables.append(path)
+    _give_back()
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _give_back() -> None:
+    """The driver's Python returns what models and counts of earlier steps took."""
+    gc.collect()
+    with suppress(OSError, AttributeError):  # only the GNU library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def discard(spark: SparkSession, paths: list[str]) -> None:
     """Delete tables that nothing reads any more."""
     for path in paths:
