@@ -13,9 +13,9 @@ verified on the exact vectors, and components of verified links of THRESHOLD or
 bucket, may be similar and lie in different components are verified too: of each, one is not in the bucket's commonest component,
 so those few are compared with all members. That is done block by block on the exact vectors, so these pairs are never listed. A bucket with
 more than SPLIT * BLOCK such members, as that of a template with many fillings, is first split by prefixes: texts of similarity THRESHOLD have in common one of the
-features (rarest first) that make up the first 1 - THRESHOLD of their weight, so only members that share such a feature are compared, and
-rows grow in proportion to members where those features are rare in the bucket too; a template in fewer than a COMMON-th of all documents counts as rare, and its bucket's rows then
-grow with the square. Of links of similarity 0.8 the bands and the first look at samples leave out about 2 in 10,000 each, of closer ones fewer. Classes are the components of all verified links.
+features that make up the first 1 - THRESHOLD of their weight, so only members that share such a feature are compared. Features go by how many members of
+those buckets have them, rarest first, counted by DF_BUCKETS hash buckets: a table of fixed size, whatever the corpus holds. Rows grow in proportion to members where the
+fillings are over 1 - THRESHOLD of a text's weight; where they are less, the template itself is in the prefixes and its texts are compared block by block of both sides. Of links of similarity 0.8 the bands and the first look at samples leave out about 2 in 10,000 each, of closer ones fewer. Classes are the components of all verified links.
 
 Defined results: null counts as empty text; a text with fewer than five words has one shingle of all its words; a text without
 words is a class of its own; class_id is the smallest doc_id of the class; rows that repeat are returned as often; an empty table gives
@@ -296,9 +296,15 @@ def with_commonest(named: DataFrame) -> DataFrame:
     return attach(named.drop("n"), top, ["band", "key"], "n", named.count()).where("most is not null")
 
 
-def prefixes(docs: DataFrame, wanted: DataFrame, weights, threshold: float = THRESHOLD) -> DataFrame:
-    """band (-1), key, node: of each wanted document the features (shingle and its number in the text) that make up the first 1 - threshold
-    of its weight, in one order for all texts: rarest first, ties by hash. Two texts of similarity threshold share one of them."""
+def ranks(members: DataFrame) -> np.ndarray:
+    """For each hash bucket of shingles 1,024 times the logarithm of how many of the members have one of it, at least."""
+    counts, _ = full_buckets(members)
+    return np.rint(1024 * np.log2(counts + 1)).astype(np.uint16)
+
+
+def prefixes(members: DataFrame, order, weights, threshold: float = THRESHOLD) -> DataFrame:
+    """band (-1), key, node: of each member (doc_id, text) the features (shingle and its number in the text) that make up the first 1 - threshold
+    of its weight, in one order for all texts: by the broadcast ranks() in order, ties by hash. Two texts of similarity threshold share one of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in slices(batches):
@@ -312,15 +318,15 @@ def prefixes(docs: DataFrame, wanted: DataFrame, weights, threshold: float = THR
                 weight = np.repeat(weights.value[buckets(mine)], n)
                 nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 feature = mix(np.repeat(mine, n) + mix(nth.astype(np.uint64)))
-                order = np.lexsort((feature, -weight))
-                before = np.cumsum(weight[order]) - weight[order]
-                taken = feature[order][before <= (1 - threshold + 1e-9) * weight.sum()]
+                rarest = np.lexsort((feature, np.repeat(order.value[_places(mine, len(order.value))], n)))
+                before = np.cumsum(weight[rarest]) - weight[rarest]
+                taken = feature[rarest][before <= (1 - threshold + 1e-9) * weight.sum()]
                 features.append(taken)
                 keys += [node] * len(taken)
             key = np.concatenate([np.zeros(0, np.uint64), *features]).view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), -1), pa.int32()), pa.array(key), pa.array(keys, pa.binary())], ["band", "key", "node"])
 
-    return chosen(docs, wanted).mapInArrow(run, "band int, key long, node binary").distinct()
+    return members.mapInArrow(run, "band int, key long, node binary").distinct()
 
 
 def chosen(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -342,9 +348,12 @@ def other_links(docs: DataFrame, nodes: DataFrame, shared: DataFrame, labels: Da
     small = named.where(~split)
     if not (large := materialize(large, "large")).isEmpty():
         asked = [nodes.join(large.where(who).select("node"), "node", "left_semi").select(F.col("rep").alias("wanted")) for who in ("few", "not few")]
-        rows = materialize(prefixes(docs, asked[0], weights, threshold), "prefixes")
-        rest = prefixes(docs, asked[1], weights, threshold).join(rows.select("key").distinct(), "key", "left_semi").select("band", "key", "node")
+        members = [chosen(docs, a) for a in asked]
+        order = docs.sparkSession.sparkContext.broadcast(ranks(members[0].unionByName(members[1])))
+        rows = materialize(prefixes(members[0], order, weights, threshold), "prefixes")
+        rest = prefixes(members[1], order, weights, threshold).join(rows.select("key").distinct(), "key", "left_semi").select("band", "key", "node")
         rows = materialize(rows.unionByName(rest).join(large.drop("few"), "node"), "prefixes")
+        order.destroy()
         sizes = rows.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
         rows = attach(rows, materialize(sizes, "sizes"), ["band", "key"], "n", rows.count()).where("n is not null")
         small = small.unionByName(with_commonest(rows).select(*named.columns))

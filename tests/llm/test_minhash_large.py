@@ -70,7 +70,7 @@ def test_similar_texts_share_a_prefix(spark):
     frequencies, total = M.document_frequencies(docs)
     weights = spark.sparkContext.broadcast(M.idf(frequencies, total))
     by = {}
-    for r in M.prefixes(docs, docs.select(F.col("doc_id").alias("wanted")), weights).collect():
+    for r in M.prefixes(docs, spark.sparkContext.broadcast(M.ranks(docs)), weights).collect():
         by.setdefault(bytes(r.node), set()).add(r.key)
     keys = [M.node_keys(*M.shingles([t]))[0] for t in texts]
     links = _links(vecs, itertools.combinations(range(len(texts)), 2))
@@ -78,23 +78,43 @@ def test_similar_texts_share_a_prefix(spark):
     assert all(len(by[k]) < 60 for k in keys)
 
 
-def test_rows_grow_with_members_of_a_bucket(spark, monkeypatch):
-    """20,000 texts of one template in as many components under one key."""
-    n = 20_000
+def _rows_of_a_bucket(spark, monkeypatch, n):
+    """Rows compared for n texts of one template in as many components under one key, in a corpus so large that the template counts as rare."""
     texts = [" ".join(f"t{k}" for k in range(30)) + " " + " ".join(f"w{i}x{k}" for k in range(12)) for i in range(n)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
-    template = M.shingles([" ".join(f"t{k}" for k in range(30))])[0]
-    weights = spark.sparkContext.broadcast(M.idf(M.Weights(np.sort(template), np.full(len(template), n), 1), n))
+    weights = spark.sparkContext.broadcast(M.idf(M.Weights(np.zeros(0, np.uint64), np.zeros(0, np.int64), 1), 5000 * n))
     signed = M.materialize(M.signatures(docs, weights), "signed")
     nodes = M.materialize(signed.select("node", F.col("doc_id").alias("rep"), F.lit(1).cast("long").alias("copies"), F.array(F.lit(7).cast("long")).alias("bands"), "samples"), "nodes")
     shared = M.materialize(M.shared_bands(nodes), "shared")
     assert shared.count() == n
     seen = []
     grouped = M._grouped
-    monkeypatch.setattr(M, "_grouped", lambda table, *a: seen.append(table.count()) or grouped(table, *a))
-    labels = nodes.select("node", F.col("node").alias("label")).limit(0)
-    assert M.other_links(docs, nodes, shared, labels, weights).count() == 0
-    assert sum(seen) < 10 * n
+    with monkeypatch.context() as m:
+        m.setattr(M, "_grouped", lambda table, *a: seen.append(table.count()) or grouped(table, *a))
+        m.setattr(M, "SPLIT", 4)
+        labels = nodes.select("node", F.col("node").alias("label")).limit(0)
+        assert M.other_links(docs, nodes, shared, labels, weights).count() == 0
+    return sum(seen)
+
+
+def test_rows_grow_with_members_of_a_bucket(spark, monkeypatch):
+    for n in (4_000, 16_000):
+        assert _rows_of_a_bucket(spark, monkeypatch, n) < 10 * n
+
+
+def test_both_sides_of_the_split_give_equal_classes(spark, monkeypatch):
+    """Templates whose fillings are less and more than a fifth of the text, and texts right at the threshold."""
+    rng = random.Random(8)
+    texts = _template(rng, 60, 300, 30) + _template(rng, 60, 60, 40)
+    texts += [_near(rng, texts[i], 1 + i % 4) for i in range(0, 60, 2)] + [" ".join(texts[i].split()[:-k]) for i in range(60, 120, 3) for k in (2, 6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    links = _links(_vectors(docs, texts), itertools.combinations(range(len(texts)), 2))
+    want = _classes(len(texts), links)
+    assert 30 < len(links)
+    monkeypatch.setattr(M, "BLOCK", 8)
+    for split in (0, 10**6):
+        monkeypatch.setattr(M, "SPLIT", split)
+        assert {r.doc_id: r.class_id for r in M.near_duplicate_classes(docs).collect()} == want
 
 
 def test_recall_against_all_pairs(spark):
