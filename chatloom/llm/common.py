@@ -46,15 +46,41 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Cut lineage: write df as Parquet to the shared folder and read it again."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
     _tables.append(path)
     _give_back()
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch: executors hold some of them outside the heap for each task, and workers hold them as Python objects too.
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches of at most BATCH_BYTES (a row is never divided) while a table is written; smaller ones that the session asks for stay."""
+    before = spark.conf.get(_BATCH, None)
+    bytes_asked = before.removesuffix("b") if before else ""
+    if bytes_asked.isdigit() and 0 < int(bytes_asked) <= BATCH_BYTES:
+        yield
+        return
+    spark.conf.set(_BATCH, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before) if before else spark.conf.unset(_BATCH)
+
+
 def _give_back() -> None:
     """The driver's Python returns what models and counts of earlier steps took."""
     gc.collect()
+    trim()
+
+
+def trim() -> None:
+    """Freed memory goes back to the system: a reused worker that waits for its next task holds none."""
     with suppress(OSError, AttributeError):  # only the GNU library has it
         ctypes.CDLL(None).malloc_trim(0)
 
@@ -115,6 +141,7 @@ def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_CHARS) -> Itera
             total += n
         if start < len(texts):
             yield ids.slice(start), texts.slice(start).to_pylist()
+    trim()
 
 
 def _offset_type(x: pa.Array):

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chatloom.llm import cells
-from chatloom.llm.common import BROADCAST_IDS, attach, documents, dropped_ids, materialize, mix, slices, without_ids, words
+from chatloom.llm.common import BROADCAST_IDS, attach, documents, dropped_ids, materialize, mix, slices, small_batches, trim, without_ids, words
 from chatloom.llm.graph import components
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -42,6 +42,8 @@ COMMON = 4096
 #: Shares of equal samples from which a pair is a candidate (0.8 is 3.5 standard deviations above).
 MAYBE = 0.625
 BLOCK = 512
+#: Rows of groups that are Python objects at a time.
+GROUP_ROWS = 1024
 #: Blocks of texts outside a bucket's commonest class from which on prefixes make fewer rows than blocks do: SPLIT blocks make 2 SPLIT rows a text, a prefix
 #: has about a fifth of a text's shingles.
 SPLIT = 32
@@ -128,12 +130,13 @@ def full_buckets(docs: DataFrame) -> tuple[np.ndarray, int]:
 
     schema = "part int, counts binary"
     out, total = np.zeros(DF_BUCKETS, np.int64), 0
-    for part, counts in documents(docs).mapInArrow(run, schema).repartition(DF_PARTS, "part").mapInArrow(add, schema).toLocalIterator():
-        x = np.frombuffer(counts, np.int64)
-        if part < DF_PARTS:
-            out[part * size : (part + 1) * size] = x
-        else:
-            total = int(x[0])
+    with small_batches(docs.sparkSession):
+        for part, counts in documents(docs).mapInArrow(run, schema).repartition(DF_PARTS, "part").mapInArrow(add, schema).toLocalIterator():
+            x = np.frombuffer(counts, np.int64)
+            if part < DF_PARTS:
+                out[part * size : (part + 1) * size] = x
+            else:
+                total = int(x[0])
     return out, total
 
 
@@ -150,7 +153,9 @@ def document_frequencies(docs: DataFrame) -> tuple[Weights, int]:
             keys, n = np.unique(s[wanted[_places(s, len(wanted))]], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["shingle", "n"])
 
-    found = documents(docs).mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas()
+    counted = documents(docs).mapInArrow(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
+    with small_batches(docs.sparkSession):
+        found = counted.toPandas()
     keys = found["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     return Weights(keys[order], found["n"].to_numpy(np.int64)[order], 1), total
@@ -238,10 +243,14 @@ def _grouped(table: DataFrame, by: list[str], kernel, schema: str) -> DataFrame:
             keys = np.stack([t.column(c).to_numpy() for c in by], 1)
             edge = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, n]
             stop = len(edge) - 1 if last else len(edge) - 2
-            out = []
-            data = {c: t.column(c).to_pylist() for c in t.column_names}
-            for a, b in zip(edge[:stop].tolist(), edge[1 : stop + 1].tolist(), strict=True):
-                out += kernel({c: v[a:b] for c, v in data.items()})
+            out, first = [], 0
+            while first < stop:  # whole groups, some GROUP_ROWS rows at a time
+                end = min(stop, max(first + 1, int(np.searchsorted(edge, edge[first] + GROUP_ROWS, "right")) - 1))
+                low = int(edge[first])
+                data = {c: t.column(c).slice(low, int(edge[end]) - low).to_pylist() for c in t.column_names}
+                for a, b in zip((edge[first:end] - low).tolist(), (edge[first + 1 : end + 1] - low).tolist(), strict=True):
+                    out += kernel({c: v[a:b] for c, v in data.items()})
+                first = end
             left = t.slice(int(edge[stop])) if not last else None
             return out, left
 
@@ -260,6 +269,7 @@ def _grouped(table: DataFrame, by: list[str], kernel, schema: str) -> DataFrame:
             rows, _ = groups(rest, True)
             if rows:
                 yield packed(rows)
+        trim()
 
     return table.repartition(*by).sortWithinPartitions(*by, "node").mapInArrow(run, schema)
 
