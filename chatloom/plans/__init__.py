@@ -4,10 +4,10 @@ from __future__ import annotations
 
 
 def registry() -> dict:
-    from chatloom.plans import clusters, facts, metrics, parsing, texts, themes, vectors
+    from chatloom.plans import clusters, exports, facts, metrics, parsing, texts, themes, vectors
 
     out: dict = {}
-    for module in (metrics, facts, texts, parsing, vectors, clusters, themes):
+    for module in (metrics, facts, texts, parsing, vectors, clusters, themes, exports):
         for name, entry in module.QUERIES.items():
             if name in out:
                 raise ValueError(f"two queries named {name}")
