@@ -27,10 +27,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatloom.llm.common import documents, slices
+from chatloom.llm.common import documents, slices, trim
 
 CAPACITY, PIECE, BLOCK_WINDOWS, END = 4096, 1024, 128, 2
-#: Words that a worker remembers, and the longest word that it does.
+#: Words (some 200 bytes each) that a worker remembers if not told otherwise, and the longest word that it does.
 CACHE, CACHED_CHARS = 1_000_000, 64
 #: Words that the tokeniser gets as one pre-split text.
 TOGETHER = 1000
@@ -44,7 +44,8 @@ class WordIds(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer, self.most = Tokenizer.from_file(path), CACHE
+        trim()  # reading takes more than the vocabulary keeps
 
     def encode(self, words: list[str]) -> list[bytes]:
         groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
@@ -61,7 +62,7 @@ class WordIds(dict):
     def of(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, with the end id."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self) > CACHE:
+        if len(self) > self.most:
             self.clear()
         new = [w for w in set().union(*split).difference(self) if len(w) <= CACHED_CHARS]
         for i in range(0, len(new), 10_000):
@@ -131,8 +132,9 @@ def cut(tokens: int, piece: int = PIECE) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges, edges[1:])]
 
 
-def pack_documents(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, piece: int = PIECE) -> DataFrame:
-    """A row for each piece: SCHEMA and padded_to. See the module's text."""
+def pack_documents(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, piece: int = PIECE, remembered: int | None = None) -> DataFrame:
+    """A row for each piece: SCHEMA and padded_to. See the module's text. With `remembered`, a worker remembers about as many words, and those and the
+    vocabulary only until its task ends: less memory for more encoding, with equal rows."""
     if vocabulary is None:
         import public_tokenizers
 
@@ -153,6 +155,7 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, capacity: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = word_ids(vocabulary)
+        ids_of.most = CACHE if remembered is None else remembered
         pieces: list = []
         pending, first = 0, TaskContext.get().partitionId() << 33
         for ids, texts in slices(batches):
@@ -167,6 +170,9 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, capacity: int
                         pieces, pending = [], 0
         if pieces:
             yield flush(pieces, first)[0]
+        if remembered is not None:
+            del _loaded[vocabulary], ids_of
+            trim()
 
     packed = documents(docs).mapInArrow(run, SCHEMA)
     full = F.col("sequence_tokens")
