@@ -81,6 +81,12 @@ def word_ids(path: str) -> WordIds:
     return _loaded[path]
 
 
+def forget(path: str) -> None:
+    """The worker gives a vocabulary and its words back."""
+    _loaded.pop(path, None)
+    trim()
+
+
 def differencing(sizes: list[int], k: int) -> list[list[int]]:
     """k sets of places in sizes, with near-equal sums."""
     empty = [None] * (k - 1)
@@ -171,8 +177,8 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, capacity: int
         if pieces:
             yield flush(pieces, first)[0]
         if remembered is not None:
-            del _loaded[vocabulary], ids_of
-            trim()
+            del ids_of
+            forget(vocabulary)
 
     packed = documents(docs).mapInArrow(run, SCHEMA)
     full = F.col("sequence_tokens")

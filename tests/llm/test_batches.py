@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chatloom.llm import common as K
 from chatloom.llm import minhash as M
+from chatloom.llm import packing as P
 
 
 def test_batches_are_small_only_while_a_table_is_written(spark, monkeypatch):
@@ -33,3 +34,11 @@ def test_groups_over_edges_of_batches(spark, monkeypatch):
     table = spark.createDataFrame(rows, "g long, node binary, v binary")
     got = K.materialize(M._grouped(table, ["g"], lambda x: [(x["g"][0], len(x["g"]))], "g long, n long"), "groups").collect()
     assert sorted((r.g, r.n) for r in got) == list(enumerate(sizes))
+
+
+def test_packing_with_few_remembered_words_gives_equal_rows(spark):
+    rng = random.Random(5)
+    texts = [None, "", *(" ".join(f"w{rng.randrange(3000)}" for _ in range(rng.randrange(1, 400))) for _ in range(60))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    few, many = (sorted(map(tuple, P.digest(P.pack_documents(docs, remembered=n)).collect())) for n in (10, None))
+    assert few == many and len({r[0] for r in few}) == len(texts)
