@@ -16,6 +16,8 @@ from chatloom.functions.vectors import sigmoid
 
 #: Phrases that each task holds at once (8 MB of vectors for 64 numbers each); more are met block by block.
 PHRASES = 16_384
+#: Scores that a task holds at once (8 MB): as many messages as that allows meet a block of phrases together.
+CELLS = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -51,7 +53,7 @@ def phrase_blocks(phrases: DataFrame) -> Iterator[list]:
 
 def theme_scores(messages: DataFrame, phrases: DataFrame) -> DataFrame:
     """message, theme, score, phrase: the best cosine over a theme's phrases (ties to nine digits: the first phrase). Each task multiplies
-    Arrow batches of messages with a block of phrases at a time; a theme's best of several blocks is an aggregate."""
+    slices of messages with a block of phrases at a time, CELLS scores at once; a theme's best of several blocks is an aggregate."""
     found = [_block_scores(messages, rows) for rows in phrase_blocks(phrases)]
     if len(found) < 2:
         return found[0] if found else _block_scores(messages, [])
@@ -70,16 +72,21 @@ def _block_scores(messages: DataFrame, rows: list) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, ids, themes, starts = shared.value
-        for b in batches:
-            if not len(b) or not len(m):
-                continue
-            x = np.array(b.column(1).to_pylist(), np.float64).reshape(len(b), -1)
-            size = np.sqrt((x * x).sum(1, keepdims=True))
-            s = np.divide(x, size, out=np.zeros_like(x), where=size > 0) @ m.T
-            ends = np.r_[starts[1:], len(m)]
-            for a, e in zip(starts.tolist(), ends.tolist(), strict=True):
-                at = np.round(s[:, a:e], 9).argmax(1)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.full(len(b), themes[a])), pa.array(s[np.arange(len(b)), a + at]), pa.array(ids[a + at])], ["message", "theme", "score", "phrase"])
+        if not len(m):
+            return
+        step = max(1, CELLS // len(m))
+        for whole in batches:
+            for low in range(0, len(whole), step):
+                b = whole.slice(low, step)
+                x = np.array(b.column(1).to_pylist(), np.float64).reshape(len(b), -1)
+                size = np.sqrt((x * x).sum(1, keepdims=True))
+                s = np.divide(x, size, out=np.zeros_like(x), where=size > 0) @ m.T
+                rounded = np.round(s, 9)
+                ends = np.r_[starts[1:], len(m)]
+                at = np.stack([a + rounded[:, a:e].argmax(1) for a, e in zip(starts.tolist(), ends.tolist(), strict=True)], 1)
+                found = [np.tile(themes[starts], len(b)), np.take_along_axis(s, at, 1).ravel(), ids[at].ravel()]
+                messages = b.column(0).take(pa.array(np.repeat(np.arange(len(b)), len(starts))))
+                yield pa.RecordBatch.from_arrays([messages, *map(pa.array, found)], ["message", "theme", "score", "phrase"])
 
     return messages.select("message", "v").mapInArrow(run, "message long, theme long, score double, phrase long")
 
