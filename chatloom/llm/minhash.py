@@ -1,8 +1,9 @@
 """Near-duplicates by improved consistent weighted sampling over TF-IDF shingles (operator 9).
 
 Shingles are five words (lower-cased runs of letters and digits). A shingle weighs its count in the text times an inverse
-document frequency, damped to [1, 2]: 1 + ln((N + 1) / (df + 1)) / ln(N + 2). Frequencies are exact for shingles in at least a
-COMMON-th of all documents and in two; all rarer ones weigh as if in one document. There are at most COMMON times as many common ones as
+document frequency, damped to [1, 2]: 1 + ln((N + 1) / (df + 1)) / ln(N + 2), where df is the larger of the documents with it and a
+RAREST-th of all, which is below one document up to RAREST of them: one rule for tables of any size, in which a weight has no jump. So only frequencies of common
+shingles, in at least a COMMON-th of all documents and in two, are needed, and weights are exact. There are at most COMMON times as many common ones as
 a document has shingles on average. They are found in two passes: counts in DF_BUCKETS hash buckets, which are no less than the
 frequencies of the shingles in them, and then a count by shingle of what full buckets hold, partial before the shuffle.
 BANDS x ROWS samples a text give bands; texts that share a band are candidates. With weighted Jaccard similarity 0.8 a pair shares one with probability 0.9998.
@@ -39,6 +40,8 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 4
 DF_BUCKETS, DF_PARTS = 1 << 22, 64
 COMMON = 4096
+#: The share of documents below which shingles weigh alike is one in RAREST; at most COMMON, so that weights don't depend on what is counted.
+RAREST = 4096
 #: Shares of equal samples from which a pair is a candidate (0.8 is 3.5 standard deviations above).
 MAYBE = 0.625
 BLOCK = 512
@@ -162,7 +165,8 @@ def document_frequencies(docs: DataFrame) -> tuple[Weights, int]:
 
 
 def idf(frequencies: Weights, total: int) -> Weights:
-    weight = lambda df: 1 + np.log((total + 1) / (np.minimum(df, total) + 1)) / np.log(total + 2)
+    """See the module's text."""
+    weight = lambda df: 1 + np.log((total + 1) / (np.minimum(np.maximum(df, total / RAREST), total) + 1)) / np.log(total + 2)
     return Weights(frequencies.keys, weight(frequencies.values), float(weight(frequencies.other)))
 
 
