@@ -64,7 +64,7 @@ class WordIds(dict):
         split = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self) > self.most:
             self.clear()
-        new = [w for w in set().union(*split).difference(self) if len(w) <= CACHED_CHARS]
+        new = [w for w in set().union(*split) if w not in self and len(w) <= CACHED_CHARS]  # set.difference would walk all of a subclass of dict
         for i in range(0, len(new), 10_000):
             self.update(zip(new[i : i + 10_000], self.encode(new[i : i + 10_000]), strict=True))
         end = np.array([END], "<u4").tobytes()
