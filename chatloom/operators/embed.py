@@ -6,7 +6,8 @@ random matrix that every task draws from the same seed, at length 1; a text with
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from zlib import crc32
 
@@ -18,19 +19,57 @@ from pyspark.sql import functions as F
 BUCKETS, DIMENSIONS, SEED = 1 << 15, 256, 42
 #: How much a word, a run of two words and a group of letters count.
 SHARES = (1.0, 0.7, 0.3)
+#: ASCII signs but letters and digits as blanks; most texts need no look at each sign.
+_BLANKS = {i: " " for i in range(128) if not chr(i).isalnum()}
+
+
+#: Words whose letter groups, and parts whose hashes, a worker remembers at most; longer ones are made each time.
+REMEMBERED, REMEMBERED_CHARS = 100_000, 32
+_groups: dict[str, list[str]] = {}
+_hashes: dict[float, dict[str, int]] = {}
+
+
+def _groups_of(word: str) -> list[str]:
+    found = _groups.get(word)
+    if found is None:
+        found = [f"^{word}$"[i : i + 3] for i in range(len(word))]
+        if len(word) <= REMEMBERED_CHARS:
+            if len(_groups) >= REMEMBERED:
+                _groups.clear()
+            _groups[word] = found
+    return found
+
+
+def _hashes_of(parts: Iterable[str], share: float) -> list[int]:
+    """crc32 of each part with its share."""
+    known = _hashes.setdefault(share, {})
+    if len(known) >= REMEMBERED:
+        known.clear()
+    out = []
+    for p in parts:
+        h = known.get(p)
+        if h is None:
+            h = crc32(f"{share}:{p}".encode())
+            if len(p) <= REMEMBERED_CHARS and len(known) < REMEMBERED:
+                known[p] = h
+        out.append(h)
+    return out
 
 
 def features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Different buckets of a text, in order, and their signed weights before idf (1 + ln of how often)."""
-    words = "".join(c if c.isalnum() else " " for c in text.lower()).split()
-    parts = [(w, SHARES[0]) for w in words] + [(f"{a} {b}", SHARES[1]) for a, b in zip(words, words[1:])] + [(f"^{w}$"[i : i + 3], SHARES[2]) for w in words for i in range(len(w))]
-    if not parts:
+    words = (text.lower().translate(_BLANKS) if text.isascii() else "".join([c if c.isalnum() else " " for c in text.lower()])).split()
+    if not words:
         return np.zeros(0, np.int64), np.zeros(0)
-    counts: dict[tuple[str, float], int] = {}
-    for p in parts:
-        counts[p] = counts.get(p, 0) + 1
-    hashes = np.array([crc32(f"{share}:{p}".encode()) for p, share in counts], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    weight = np.array([share * (1 + np.log(n)) for (_, share), n in counts.items()])
+    single = Counter(words)
+    pairs = Counter(map(" ".join, zip(words, words[1:])))
+    groups: dict[str, int] = {}
+    for w, n in single.items():
+        for g in _groups_of(w):
+            groups[g] = groups.get(g, 0) + n
+    kinds = list(zip(SHARES, (single, pairs, groups), strict=True))
+    hashes = np.array([h for share, counts in kinds for h in (_hashes_of(counts, share) if counts is not pairs else [crc32(f"{share}:{p}".encode()) for p in counts])], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    weight = np.concatenate([share * (1 + np.log(np.fromiter(counts.values(), np.float64, len(counts)))) for share, counts in kinds])
     signed = np.where(hashes >> np.uint64(63) > 0, weight, -weight)
     bucket = (hashes >> np.uint64(20)).astype(np.int64) % BUCKETS
     at, inverse = np.unique(bucket, return_inverse=True)
