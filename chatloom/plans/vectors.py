@@ -37,7 +37,6 @@ BM25 = f"""{TEXTS}, {V.NAMES}, pw AS (SELECT phrase, list_filter(regexp_split_to
 
 _themed = lambda s, d: V.product_names(s, d).select(F.ascii("theme").cast("long").alias("theme"), "phrase")
 _signals = lambda s, d: L.signals(_texts(s, d), _themed(s, d))
-_fused = lambda s, d: _signals(s, d).withColumn("score", F.col("fusion"))
 MEET = A.Thresholds(primary=0.55, gap=0.02, borderline=0.5, rescue=0.7, rescue_norm=0.8, rescue_fusion=0.6)
 _letters = lambda c: f"list_transform(string_split('a b c d e f g h i j k l m n o p q r s t u v w x y z', ' '), lambda z: CAST(len({c}) - len(replace({c}, z, '')) AS DOUBLE))"
 _sorted = lambda c: f"array_to_string(list_sort(list_filter(regexp_split_to_array(lower({c}), '\\s+'), lambda z: z <> '')), ' ')"
@@ -55,10 +54,16 @@ _meets = f"""rk AS (SELECT message, theme, phrase, round(fusion, 9) AS s, lead(r
     de AS (SELECT message, theme, phrase, s, CASE WHEN s >= 0.55 AND round(coalesce(s - second, 1.0), 9) >= 0.02 THEN 'confident' WHEN s >= 0.5 THEN 'borderline' ELSE 'miscellaneous' END AS status FROM rk WHERE nth = 1)"""
 
 
+def _by_text(s, d, step):
+    """What step finds in the signals, for every message; it looks at each different text once."""
+    messages = _texts(s, d)
+    texts, scores = L.text_signals(messages, _themed(s, d))
+    return L.for_messages(messages, texts, step(scores.withColumn("score", F.col("fusion"))))
+
+
 def _assigned(s, d):
     """Each message's theme by fusion, with the phrase of that theme that it is closest to."""
-    scores = _signals(s, d)
-    return A.decide(scores.select("message", "theme", F.col("fusion").alias("score")), MEET).join(scores.select("message", "theme", "phrase"), ["message", "theme"])
+    return _by_text(s, d, lambda scores: A.decide(scores, MEET).join(scores.select("message", "theme", "phrase"), ["message", "theme"]))
 
 
 def _density(vectors):
@@ -110,9 +115,9 @@ QUERIES = {
         lambda s, d: _signals(s, d).select("message", "theme", "phrase", *(F.round(c, 6).alias(c) for c in ("cosine", "norm", "fuzzy", "fusion"))),
         f"WITH {SIGNALS} SELECT message, theme, phrase, round(cosine, 6) AS cosine, round(norm, 6) AS norm, round(fuzzy, 6) AS fuzzy, round(fusion, 6) AS fusion FROM sg",
     ),
-    "m5_decide_fused": (lambda s, d: A.decide(_fused(s, d), MEET).select("message", "theme", "status"), f"WITH {SIGNALS}, {_meets} SELECT message, CASE WHEN status = 'miscellaneous' THEN -1 ELSE theme END AS theme, status FROM de"),
+    "m5_decide_fused": (lambda s, d: _by_text(s, d, lambda scores: A.decide(scores, MEET)).select("message", "theme", "status"), f"WITH {SIGNALS}, {_meets} SELECT message, CASE WHEN status = 'miscellaneous' THEN -1 ELSE theme END AS theme, status FROM de"),
     "m9_rescued": (
-        lambda s, d: A.rescued(_fused(s, d), MEET),
+        lambda s, d: _by_text(s, d, lambda scores: A.rescued(scores, MEET)),
         f"WITH {SIGNALS} SELECT message, arg_max(theme, struct_pack(f := round(fusion, 9), t := -theme)) AS theme FROM sg WHERE raw <> 0 AND (fusion > 0.7 OR (norm > 0.8 AND fusion > 0.6)) GROUP BY 1",
     ),
     "a31_phrase_matches": (lambda s, d: L.phrase_matches(_assigned(s, d)), f"WITH {SIGNALS}, {_meets} SELECT theme, phrase, count(*) AS n FROM de WHERE status <> 'miscellaneous' GROUP BY 1, 2"),
