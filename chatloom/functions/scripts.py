@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import re
 import unicodedata
+from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-#: Times that a text may have been decoded wrongly.
-ROUNDS = 3
+#: Times that a text may have been decoded wrongly; texts of an Arrow batch that are Python objects at a time.
+ROUNDS, PIECE = 3, 128
 
 
 def _bytes_of_signs() -> dict[str, int]:
@@ -58,10 +59,17 @@ def mend(text: str) -> str:
     return text
 
 
-@F.pandas_udf(StringType())
-def mended(texts: pd.Series) -> pd.Series:
+def _piecewise(texts: pa.Array, change: Callable[[str], str]) -> pa.Array:
+    """change of each text that isn't ASCII alone; PIECE of them are Python objects at a time. Null stays null."""
+    one = lambda t: t if t is None or t.isascii() else change(t)
+    pieces = [pa.array([one(t) for t in texts.slice(i, PIECE).to_pylist()], pa.large_string()) for i in range(0, len(texts), PIECE)]
+    return pa.concat_arrays(pieces).cast(pa.string()) if pieces else pa.array([], pa.string())
+
+
+@F.arrow_udf(StringType())
+def mended(texts: pa.Array) -> pa.Array:
     """See mend; null stays null."""
-    return texts.map(lambda t: t if t is None or t.isascii() else mend(t))
+    return _piecewise(texts, mend)
 
 
 #: Letters of Cyrillic, Greek and Devanagari and special Latin ones in plain Latin letters.
@@ -83,7 +91,7 @@ def to_latin(text: str) -> str:
     return unicodedata.normalize("NFC", bare).translate(_table)  # letters that had a mark
 
 
-@F.pandas_udf(StringType())
-def transliterated(texts: pd.Series) -> pd.Series:
+@F.arrow_udf(StringType())
+def transliterated(texts: pa.Array) -> pa.Array:
     """See to_latin; null stays null."""
-    return texts.map(lambda t: t if t is None or t.isascii() else to_latin(t))
+    return _piecewise(texts, to_latin)
