@@ -9,8 +9,8 @@ items are indexed under their length and all block values with up to FLIPS bits
 block differs in RADIUS // BLOCKS = FLIPS bits or fewer, so all of them are found. A window meets items of its own length only. Candidates are
 verified by the exact weighted Jaccard similarity of window and item, which must be THRESHOLD or more.
 
-The benchmark's shingles and index, the places of windows and the windows that match are broadcast while they have at most BROADCAST_ROWS rows,
-else joined by shuffle; then windows that many documents have (common.attach) are broadcast alone, so no passage gathers in one task.
+The index is joined by shuffle. The benchmark's shingles, the places of windows and the windows that match are broadcast while they have at most BROADCAST_ROWS rows,
+else joined by shuffle too; then windows that many documents have (common.attach) are broadcast alone, so no passage gathers in one task.
 
 Defined results: one row for each (doc_id, item_id) that matches, with its best window (most similar, then first); rows with the
 same doc_id count as one document, also null ids; an item with fewer than five words matches where its words stand in a row;
@@ -127,7 +127,7 @@ def _long_items(texts: DataFrame, items: DataFrame, threshold: float) -> DataFra
     size = items.select("item", F.col("n_words").alias("long"))
     index = prints.join(_small(size), "item").select("item", "long", F.col("sim").alias("item_sim"), F.col("total").alias("item_total"), F.explode(near_block_values(F.col("sim"))).alias("b")).select("item", "long", "item_sim", "item_total", "b.block", "b.value")
     probe = seen.select("content", "long", "total", "sim", F.explode(block_values(F.col("sim"))).alias("b")).select("content", "long", "total", "sim", "b.block", "b.value")
-    probe, index = probe.alias("p"), _small(index).alias("i")
+    probe, index = probe.hint("merge").alias("p"), index.alias("i")  # hundreds of rows an item: as a broadcast they would all pass the driver
     hamming = F.bit_count(F.col("p.sim").bitwiseXOR(F.col("i.item_sim")))
     same = [F.col(f"p.{c}") == F.col(f"i.{c}") for c in ("long", "block", "value")]
     near = probe.join(index, [*same, hamming <= RADIUS])

@@ -50,7 +50,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows. Of the tables that a stage writes only its result is left, and that until the next stage's result is written."""
+    """The last stage's rows, read from its table. Of the tables that a stage writes only its result is left, and that until the next stage's result is written."""
     docs, read = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         with only_last_table(spark):
@@ -58,4 +58,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         if read:
             discard(spark, [read])
         read = last_table()
-    return STAGES[-1][1](spark, docs, sf_dir)
+    packed = STAGES[-1][1](spark, docs, sf_dir)
+    discard(spark, [read])
+    return packed
