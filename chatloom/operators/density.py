@@ -34,21 +34,25 @@ def _small(df: DataFrame, n: int) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST else df
 
 
-def _foreign(q: pa.Table, t: pa.Table) -> pa.Table:
+def _foreign(q: pa.Table, t: pa.Table, tiles: Iterator) -> pa.Table:
     """For each component of the visitors its lightest edge to a row of another one, up to the visitors' `most`."""
     x, y, most = matrix(q.column("v")), matrix(t.column("v")), numbers(q.column("most"))
     a, b, ca, cb = numbers(q.column("id")), numbers(t.column("id")), numbers(q.column("comp")), numbers(t.column("comp"))
     core_a, core_b = numbers(q.column("core")), numbers(t.column("core"))
     best: dict[int, tuple] = {}
-    for at in range(0, len(x), 256):
-        i, j, d = within(x[at : at + 256], y, most[at : at + 256])
-        i = i + at
+    names, place = np.unique(ca, return_inverse=True)
+    lightest = np.full(len(names), np.inf)  # of each component, so far
+    for rows, block in tiles:
+        rows = rows[core_a[rows] <= lightest[place[rows]]]
+        i, j, d = within(x[rows], y[block], np.minimum(most[rows], lightest[place[rows]]))
+        i, j = rows[i], j + block.start
         other = ca[i] != cb[j]
         i, j, d = i[other], j[other], d[other]
         w = np.maximum(np.maximum(core_a[i], core_b[j]), d)
         lo, hi = np.minimum(a[i], b[j]), np.maximum(a[i], b[j])
         order = np.lexsort((hi, lo, w, ca[i]))
-        first = order[np.diff(ca[i][order], prepend=-1) != 0] if len(order) else order
+        first = order[np.diff(ca[i][order], prepend=-(1 << 63)) != 0] if len(order) else order
+        np.minimum.at(lightest, place[i[first]], w[first])
         for c, *edge in zip(ca[i][first].tolist(), w[first].tolist(), lo[first].tolist(), hi[first].tolist(), cb[j][first].tolist(), strict=True):
             if c not in best or tuple(edge) < best[c]:
                 best[c] = tuple(edge)
@@ -84,8 +88,8 @@ def spanning_tree(df: DataFrame, samples: int) -> DataFrame:
         bound = rows_now.join(_small(listed.select("comp", F.col("e.w").alias("most")), left), "comp", "left")
         bound = bound.withColumn("most", F.coalesce("most", F.lit(float("inf"))))
         unseen = F.when(F.col("lists") < n - 1, F.greatest("core", "seen"))  # what isn't on a row's list is no nearer
-        asks = bound.where((unseen <= F.col("most")) & (F.col("core") <= F.col("most"))).withColumn("block", F.lit(None).cast("long"))
-        met = space.meet(space.visits(asks, ["comp", "core"], skips), rows_now.select("id", "v", "block", "comp", "core"), _foreign, "comp long, w double, lo long, hi long, other long")
+        asks = bound.where((unseen <= F.col("most")) & (F.col("core") <= F.col("most")))
+        met = space.meet(asks, ["comp", "core"], rows_now.select("id", "v", "cell", "block", "comp", "core"), _foreign, "comp long, w double, lo long, hi long, other long", own=True, skips=skips)
         best = met.select("comp", F.struct("w", "lo", "hi", "other").alias("e")).union(listed).groupBy("comp").agg(F.min("e").alias("e"))
         best = checkpointed(best.select("comp", "e.w", "e.lo", "e.hi", F.col("e.other").alias("up")))
         trees.append(best.select("w", "lo", "hi").distinct())

@@ -1,8 +1,9 @@
 """Exact nearest neighbours in a table of vectors, by cells around pivots.
 
 Rows are dealt to the nearest of PIVOTS sampled pivots, and cells with more than BLOCK_ROWS rows are split into blocks. A row first meets its own block, which bounds how
-far its neighbours can be; by the triangle inequality it then visits only blocks of cells that can hold something nearer. Visits of a block are dealt to slots of about
-QUERY_ROWS rows, so no task holds more than one block and one slot. Of equal vectors only k + 1 rows (the smallest ids) take part: the others' neighbours are those.
+far its neighbours can be; by the triangle inequality it then visits only blocks of cells that can hold something nearer. Rows travel in whole groups, not once for each
+visit: about QUERY_ROWS visitors of neighbouring blocks (a party) meet about TARGET_ROWS rows of neighbouring blocks (a slab) in one task, which looks only at the blocks that
+a row may need. Smaller tables have up to PARTIES and SLABS of them, so rows sent grow with the table until a party is full. Of equal vectors only k + 1 rows (the smallest ids) take part: the others' neighbours are those.
 The driver holds the pivots and the least and largest distance of each cell, nothing that grows with the rows."""
 
 from __future__ import annotations
@@ -17,8 +18,12 @@ from pyspark.sql import functions as F
 
 from chatloom.operators.graph import checkpointed
 
-#: Sampled pivots, and rows for each of them at least; rows of a block; rows that visit a block in one task.
-PIVOTS, PIVOT_ROWS, BLOCK_ROWS, QUERY_ROWS = 256, 256, 2048, 16_384
+#: Sampled pivots, and rows for each of them at least; rows of a block; rows that visit, and rows that are visited, in one task at most (but for one block).
+PIVOTS, PIVOT_ROWS, BLOCK_ROWS, QUERY_ROWS, TARGET_ROWS = 256, 256, 2048, 32_768, 65_536
+#: Parties and slabs of a table that isn't too large for them.
+PARTIES, SLABS = 8, 8
+#: Rows that a step of a task compares with a block.
+STEP = 512
 #: Slack of a bound, for the rounding of distances to nine digits and of floats.
 SLACK = 2e-9
 _BLOCKS = 1 << 24
@@ -49,8 +54,11 @@ def about(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def within(x: np.ndarray, y: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row of x, row of y, distance) of all pairs up to `most` apart, which has a value for each row of x."""
-    squares = (x * x).sum(1)[:, None] + (y * y).sum(1)
-    i, j = np.nonzero(np.maximum(squares - 2 * (x @ y.T), 0) <= (most[:, None] + SLACK) ** 2 + 1e-12 * squares)
+    sx, sy = (x * x).sum(1), (y * y).sum(1)
+    room = (most + SLACK) ** 2 + 1e-12 * (sx + sy.max(initial=0, where=np.isfinite(sy)))
+    near = x @ y.T
+    near -= sy / 2
+    i, j = np.nonzero(near >= ((sx - room) / 2)[:, None])
     d = exact(x[i], y[j])
     keep = d <= most[i]
     return i[keep], j[keep], d[keep]
@@ -77,50 +85,67 @@ class Space:
         cells = cells.select("*", F.ceil(F.col("n") / BLOCK_ROWS).cast("long").alias("blocks"))
         self.cells = cells.orderBy("cell").collect()  # one row a pivot
         self.count = sum(c["n"] for c in self.cells)
-        block = F.col("cell") * _BLOCKS + F.pmod(F.xxhash64("id"), F.col("blocks"))
-        shown = df.sparkSession.createDataFrame([(c["cell"], c["blocks"]) for c in self.cells], "cell long, blocks long")
-        self.rows = dealt.join(F.broadcast(shown), "cell").select("id", "v", "cell", block.alias("block"))
-
-    def visits(self, queries: DataFrame, extra: list[str], skips: dict[int, int] | None = None) -> DataFrame:
-        """queries (id, v, most, block, ...) once for each block, but their own, that can hold a row up to `most` away, as to (the block), slot, id, v, most and the extra columns (long or double).
-        skips: for a cell, the value of `extra[0]` whose rows needn't visit it. A null block has no own block."""
+        nth = F.pmod(F.xxhash64("id"), F.col("blocks"))
+        begins = np.cumsum([0, *(c["n"] for c in self.cells)]).tolist()
+        shown = [(c["cell"], c["blocks"], begin, c["n"]) for c, begin in zip(self.cells, begins)]
+        self.shown = F.broadcast(df.sparkSession.createDataFrame(shown, "cell long, blocks long, begin long, n long"))
+        self.rows = dealt.join(self.shown, "cell").select("id", "v", "cell", (F.col("cell") * _BLOCKS + nth).alias("block"))
+
+    def dealt(self, rows: DataFrame, most: int, parts: int, name: str) -> DataFrame:
+        """rows (with cell and block) with the number of the group of blocks that theirs is in: about `most` rows each, or the table's `parts`-th part."""
+        size = min(most, max(BLOCK_ROWS, -(-self.count // parts)))
+        place = F.col("begin") + F.floor(F.col("block") % _BLOCKS * F.col("n") / F.col("blocks"))
+        return rows.join(self.shown, "cell").withColumn(name, F.floor(place / size).cast("long")).drop("blocks", "begin", "n")
+
+    def meet(self, queries: DataFrame, extra: list[str], targets: DataFrame, kernel: Callable, schema: str, own: bool, skips: dict[int, int] | None = None) -> DataFrame:
+        """kernel(visitors, rows, tiles) for each party of queries (id, v, most, cell, block, and the extra columns) and slab of targets (id, v, cell, block and more) that has
+        something for it; tiles are (places of visitors, slice of rows): all blocks that can hold a row up to a visitor's `most` away, but without `own` not its own one.
+        skips: for a cell, the value of `extra[0]` whose rows needn't visit it."""
         p, cells = self.pivots, self.cells
         number = np.array([c["cell"] for c in cells], np.int64)
         low, high = (np.array([c[x] for c in cells]) for x in ("low", "high"))
-        blocks = np.array([c["blocks"] for c in cells], np.int64)
         skip = np.array([(skips or {}).get(c["cell"], -(1 << 63)) for c in cells], np.int64)
-        slots = -(-self.count // QUERY_ROWS)
-        kinds = dict(queries.dtypes)
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def reaches(x: np.ndarray, most: np.ndarray, kind: np.ndarray | None, which: np.ndarray) -> np.ndarray:
+            d = np.sqrt(about(x, p[number[which]]))
+            slack = SLACK + 1e-7 * (1 + d)  # `about` loses digits
+            near = (d - high[which] - slack <= most[:, None]) & (low[which] - d - slack <= most[:, None])
+            return near if kind is None else near & (skip[which] != kind[:, None])
+
+        every = np.arange(len(cells))
+
+        def asks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            asked: set[tuple[int, int]] = set()  # parties times pivots at most
             for whole in batches:
-                for at in range(0, len(whole), 512):
-                    b = whole.slice(at, 512)
-                    x, most = matrix(b.column(1)), numbers(b.column(2)).astype(np.float64)
-                    d = np.sqrt(about(x, p[number]))
-                    slack = SLACK + 1e-7 * (1 + d)  # `about` loses digits
-                    near = (d - high - slack <= most[:, None]) & (low - d - slack <= most[:, None])
-                    if skips:
-                        near &= skip != numbers(b.column(4))[:, None]
-                    row, cell = np.nonzero(near)
-                    times = blocks[cell]
-                    row, cell = np.repeat(row, times), np.repeat(cell, times)
-                    block = number[cell] * _BLOCKS + np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
-                    other = block != np.nan_to_num(numbers(b.column(3)).astype(np.float64), nan=-1).astype(np.int64)[row]
-                    row, block = row[other], block[other]
-                    ids = numbers(b.column(0))
-                    slot = (ids[row].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(slots)
-                    take = b.take(pa.array(row))
-                    yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(slot.astype(np.int64)), take.column(0), take.column(1), take.column(2), *(take.column(4 + i) for i in range(len(extra)))], ["to", "slot", "id", "v", "most", *extra])
-
-        schema = "to long, slot long, id long, v array<double>, most double" + "".join(f", {c} {kinds[c]}" for c in extra)
-        return queries.select("id", "v", "most", "block", *extra).mapInArrow(run, schema)
-
-    def meet(self, visits: DataFrame, targets: DataFrame, kernel: Callable[[pa.Table, pa.Table], pa.Table], schema: str) -> DataFrame:
-        """kernel(visitors, rows of the block) for each block and slot that has visitors; targets: rows with more columns."""
-        visits = checkpointed(visits)
-        there = visits.select(F.col("to").alias("block"), F.col("slot").alias("part")).distinct()
-        return visits.groupBy("to", "slot").cogroup(targets.join(there, "block").groupBy("block", "part")).applyInArrow(lambda a, b: kernel(a, b), schema)
+                for at in range(0, len(whole), STEP):
+                    b = whole.slice(at, STEP)
+                    row, cell = np.nonzero(reaches(matrix(b.column(1)), numbers(b.column(2)).astype(np.float64), numbers(b.column(3)) if skips else None, every))
+                    asked |= set(np.unique(numbers(b.column(0))[row] * len(every) + cell).tolist())
+            codes = np.array(sorted(asked), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(codes // len(every)), pa.array(number[codes % len(every)])], ["party", "cell"])
+
+        def tiles(q: pa.Table, t: pa.Table) -> Iterator[tuple[np.ndarray, slice]]:
+            x, most, blocks = matrix(q.column("v")), numbers(q.column("most")).astype(np.float64), numbers(t.column("block"))
+            kind, mine = numbers(q.column(extra[0])) if skips else None, numbers(q.column("block"))
+            edges = np.flatnonzero(np.diff(blocks, prepend=-1, append=-1))
+            which = np.searchsorted(number, blocks[edges[:-1]] // _BLOCKS)
+            for at in range(0, len(x), STEP):
+                rows = np.arange(at, min(at + STEP, len(x)))
+                near = reaches(x[rows], most[rows], kind[rows] if skips else None, which)
+                if not own:
+                    near &= mine[rows][:, None] != blocks[edges[:-1]]
+                for k in np.flatnonzero(near.any(0)).tolist():
+                    yield rows[near[:, k]], slice(int(edges[k]), int(edges[k + 1]))
+
+        def run(q: pa.Table, t: pa.Table) -> pa.Table:
+            q, t = q.sort_by("block"), t.sort_by("block")  # visitors that are near each other need the same blocks
+            return kernel(q, t, tiles(q, t) if len(q) and len(t) else iter(()))
+
+        queries = checkpointed(self.dealt(queries.select("id", "v", "most", "cell", "block", *extra), QUERY_ROWS, PARTIES, "party"))
+        asked = queries.select("party", "v", "most", *extra[:1]).mapInArrow(asks, "party long, cell long").distinct()
+        there = checkpointed(self.dealt(targets, TARGET_ROWS, SLABS, "slab").join(F.broadcast(checkpointed(asked)), "cell").drop("cell"))
+        pairs = there.select("party", F.col("slab").alias("to")).distinct()
+        return queries.join(F.broadcast(pairs), "party").groupBy("party", "to").cogroup(there.groupBy("party", "slab")).applyInArrow(run, schema)
 
 
 def _pairs(a: np.ndarray, b: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,17 +195,45 @@ def nearest_in(space: Space, k: int) -> DataFrame:
                 near[i].append({"b": j, "d": e})
         return pa.table({"id": pa.array(ids), "v": t.column("v"), "block": pa.array(block), "most": pa.array(most), "near": pa.array([near[i] for i in ids.tolist()], pa.list_(pa.struct([("b", pa.int64()), ("d", pa.float64())])))})
 
-    def kernel(q: pa.Table, t: pa.Table) -> pa.Table:
-        x, y, most = matrix(q.column("v")), matrix(t.column("v")), numbers(q.column("most"))
-        a, b, out = numbers(q.column("id")), numbers(t.column("id")), []
-        for at in range(0, len(x), 256):
-            i, j, d = within(x[at : at + 256], y, most[at : at + 256])
-            out.append(_pairs(a[at : at + 256][i], b[j], d, k))
-        return _table(*(np.concatenate(c) for c in zip(*out, strict=True))) if out else _table([], [], [])
+    def kernel(q: pa.Table, t: pa.Table, tiles: Iterator) -> pa.Table:
+        x, y, most = matrix(q.column("v")), matrix(t.column("v")), numbers(q.column("most")).astype(np.float64)
+        a, b = numbers(q.column("id")), numbers(t.column("id"))
+        out, parts, first, found = [], [], -1, 0
+
+        def nearest_yet() -> tuple:
+            """The k nearest that a step's rows have found, which bound what else they need."""
+            nonlocal parts, found
+            i, j, d = (np.concatenate(c) for c in zip(*parts, strict=True))
+            order = np.lexsort((b[j], d, i))
+            i, j, d = i[order], j[order], d[order]
+            start = np.flatnonzero(np.diff(i, prepend=-1))
+            nth = np.arange(len(i)) - np.repeat(start, np.diff(start, append=len(i)))
+            last = nth == k - 1
+            most[i[last]] = np.minimum(most[i[last]], d[last])
+            parts, found = [(i[nth < k], j[nth < k], d[nth < k])], 0
+            return parts[0]
+
+        for rows, block in tiles:
+            if parts and rows[0] // STEP != first:
+                out.append(nearest_yet())
+                parts, found = [], 0
+            first = rows[0] // STEP
+            i, j, d = within(x[rows], y[block], most[rows])
+            parts.append((rows[i], j + block.start, d))
+            found += len(i)
+            if found > 2 * k * STEP:
+                nearest_yet()
+        if parts:
+            out.append(nearest_yet())
+        if not out:
+            return _table([], [], [])
+        i, j, d = (np.concatenate(c) for c in zip(*out, strict=True))
+        return _table(a[i], b[j], d)
 
     met = checkpointed(space.rows.groupBy("block").applyInArrow(own, "id long, v array<double>, block long, most double, near array<struct<b:long,d:double>>"))
+    met = met.withColumn("cell", F.floor(F.col("block") / _BLOCKS).cast("long"))
     first = met.select(F.col("id").alias("a"), F.explode("near").alias("n")).select("a", "n.b", "n.d")
-    more = space.meet(space.visits(met, []), space.rows.select("id", "v", "block"), kernel, "a long, b long, d double")
+    more = space.meet(met, [], space.rows, kernel, "a long, b long, d double", own=False)
     nth = F.row_number().over(W.partitionBy("a").orderBy("d", "b"))
     return first.union(more).withColumn("nth", nth).where(F.col("nth") <= k).drop("nth")
 
