@@ -21,6 +21,7 @@ columns are ignored.
 from __future__ import annotations
 
 import itertools
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,12 +49,10 @@ def shingles(column: str, n: int) -> Column:
 
 
 def simhash(table: DataFrame, keys: list[str]) -> DataFrame:
-    """keys, sim (64 bits) and total weight from rows of keys, h, weight."""
-    bits = [F.sum(F.when(F.col("h").bitwiseAND(F.lit(1 << b if b < 63 else -(1 << 63))) != 0, F.col("weight")).otherwise(-F.col("weight"))).alias(f"b{b}") for b in range(64)]
-    summed = table.groupBy(*keys).agg(F.sum("weight").alias("total"), *bits)
-    sim = F.lit(0).cast("long")
-    for b in range(64):
-        sim = sim.bitwiseOR(F.when(F.col(f"b{b}") > 0, F.lit(1 << b if b < 63 else -(1 << 63))).otherwise(F.lit(0).cast("long")))
+    """keys, sim (64 bits) and total weight from rows of keys, h, weight: a bit is set if its rows weigh more than half of the total."""
+    ones = [F.expr(f"sum((shiftright(h, {b}) & 1) * weight) AS b{b}") for b in range(64)]
+    summed = table.groupBy(*keys).agg(F.sum("weight").alias("total"), *ones)
+    sim = F.expr(" | ".join(f"shiftleft(CAST(2 * b{b} > total AS bigint), {b})" for b in range(64)))
     return summed.select(*keys, "total", sim.alias("sim"))
 
 
@@ -63,13 +62,18 @@ def block_values(sim: Column) -> Column:
 
 
 def near_block_values(sim: Column) -> Column:
-    """Array of (block, value) with up to FLIPS bits changed."""
+    """Array of (block, value) with up to FLIPS bits changed. The masks are one constant a block: hundreds of structs in the plan, and its many copies, took the driver's memory."""
     out = []
     for k, (a, b) in enumerate(itertools.pairwise(_EDGES)):
         value = F.shiftrightunsigned(sim, a).bitwiseAND(F.lit((1 << (b - a)) - 1))
         masks = [sum(1 << x for x in c) for n in range(FLIPS + 1) for c in itertools.combinations(range(b - a), n)]
-        out += [F.struct(F.lit(k).alias("block"), value.bitwiseXOR(F.lit(m).cast("long")).alias("value")) for m in masks]
-    return F.array(*out)
+        masks = F.split(F.lit(",".join(map(str, masks))), ",").cast("array<bigint>")
+        out.append(F.transform(masks, _masked(k, value)))
+    return F.flatten(F.array(*out))
+
+
+def _masked(block: int, value: Column) -> Callable[[Column], Column]:
+    return lambda mask: F.struct(F.lit(block).alias("block"), value.bitwiseXOR(mask).alias("value"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
