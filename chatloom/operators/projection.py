@@ -3,7 +3,8 @@
 Each row's weights to its nearest others (cosine distance) fall off from the nearest one, at a rate solved so that they add up to log2 of the neighbours; the
 two directions of an edge are joined as a fuzzy union. The layout begins with principal components and goes on in rounds: rows are dealt to blocks of near rows,
 and each block moves its own rows for STEPS steps, drawn by sampled edges and pushed by a sample of all rows; rows of other blocks stand still until the next
-round. A block holds BLOCK_ROWS rows with their own edges, so memory is bounded, and the driver sees SAMPLE positions a round."""
+round. A block holds BLOCK_ROWS rows with their own edges, so memory is bounded, and the driver sees SAMPLE positions a round. Edges travel without positions,
+as lists; the position of a row goes to a block once a round, however many of its edges lead there."""
 
 from __future__ import annotations
 
@@ -11,6 +12,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,21 +67,22 @@ def neighbour_graph(df: DataFrame, neighbours: int = NEIGHBOURS) -> DataFrame:
     return both.select("a", "b", (F.col("w") + back - F.col("w") * back).alias("w"))
 
 
-def _moved(own: pa.Table, edges: pa.Table, names: np.ndarray, others: np.ndarray, seed: int, rates: np.ndarray) -> pa.Table:
-    """The rows of a block after its steps; names, others: ids and places of the rows that push."""
-    ids = numbers(own.column("id"))
+def _moved(seats: pa.Table, edges: pa.Table, names: np.ndarray, others: np.ndarray, seed: int, rates: np.ndarray) -> pa.Table:
+    """The rows of a block after its steps. seats: places of the block's own rows (mine) and, once each, of the others that its edges lead to; names, others: ids and places of the rows that push."""
+    ids = numbers(seats.column("id"))
     order = np.argsort(ids, kind="stable")
-    ids, y = ids[order], matrix(own.column("y"))[order].copy()
+    ids, y, own = ids[order], matrix(seats.column("y"))[order], numbers(seats.column("mine"))[order].astype(bool)
+    far, there, ids, y = ids[~own], y[~own], ids[own], y[own]
     rng = np.random.default_rng([seed, int(ids[0]) & 0xFFFFFFFF])
     if len(edges):
-        a, b, w = (numbers(edges.column(c)) for c in ("a", "b", "w"))
+        a = np.repeat(numbers(edges.column("a")), numbers(pc.list_value_length(edges.column("b"))))
+        b, w = (numbers(pc.list_flatten(edges.column(c))) for c in ("b", "w"))
         order = np.lexsort((b, a))
-        a, b, w, there = a[order], b[order], w[order], matrix(edges.column("y"))[order]
-        far, at = np.unique(b, return_index=True)
+        a, b, w = a[order], b[order], w[order]
         mine = np.searchsorted(ids, a)
         inner = np.minimum(np.searchsorted(ids, b), len(ids) - 1)
         other = np.where(ids[inner] == b, inner, len(ids) + np.searchsorted(far, b))
-        still = np.concatenate([there[at], others])
+        still = np.concatenate([there, others])
         inner = np.minimum(np.searchsorted(ids, names), len(ids) - 1)
         pushing = np.where(ids[inner] == names, inner, len(ids) + len(far) + np.arange(len(names)))  # own rows push from where they are by now
         for rate in rates:
@@ -102,7 +105,13 @@ def _moved(own: pa.Table, edges: pa.Table, names: np.ndarray, others: np.ndarray
 
 
 def _mover(names: np.ndarray, others: np.ndarray, seed: int, rates: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    return lambda own, edges: _moved(own, edges, names, others, seed, rates)
+    return lambda seats, edges: _moved(seats, edges, names, others, seed, rates)
+
+
+def seated(blocks: DataFrame, held: DataFrame) -> DataFrame:
+    """block, id, mine: whose places a block needs in a round, each once: its own rows (of blocks: id, block), and rows of other blocks that its edges (b of held) lead to."""
+    met = held.select("block", F.explode("b").alias("id")).distinct().join(blocks.withColumnRenamed("block", "home"), "id")
+    return blocks.select("block", "id", F.lit(True).alias("mine")).union(met.where("home <> block").select("block", "id", F.lit(False)))
 
 
 def projected(df: DataFrame, dimensions: int, neighbours: int = NEIGHBOURS, rounds: int = ROUNDS, seed: int = 42) -> DataFrame:
@@ -116,16 +125,17 @@ def projected(df: DataFrame, dimensions: int, neighbours: int = NEIGHBOURS, roun
     place = checkpointed(first.select("id", F.transform("v", lambda x: F.round(x * (10 / largest), 6)).alias("y")))
     space = Space(unit(rows).select("id", F.col("u").alias("v")))
     blocks = checkpointed(space.rows.select("id", "block"))
-    held = checkpointed(neighbour_graph(rows, min(neighbours, n)).join(blocks.toDF("a", "block"), "a"))
+    held = neighbour_graph(rows, min(neighbours, n)).join(blocks.toDF("a", "block"), "a").groupBy("block", "a").agg(F.array_sort(F.collect_list(F.struct("b", "w"))).alias("to"))  # neighbours - 1 at most
+    held = checkpointed(held.select("block", "a", "to.b", "to.w"))
+    seats = checkpointed(seated(blocks, held))
     total = rounds * STEPS
     for r in range(rounds):
         order = F.md5(F.concat(F.lit(f"{seed}:{r}:"), F.col("id").cast("string")))
         sample = place.orderBy(order, "id").limit(SAMPLE).collect()  # SAMPLE rows
         names, others = np.array([x["id"] for x in sample], np.int64), np.array([x["y"] for x in sample], np.float64)
         rates = 1 - np.arange(r * STEPS, (r + 1) * STEPS) / total
-        own = place.join(blocks, "id").select("block", "id", "y")
-        met = held.join(place.toDF("b", "y"), "b").select("block", "a", "b", "w", "y")
-        place = checkpointed(own.groupBy("block").cogroup(met.groupBy("block")).applyInArrow(_mover(names, others, seed + r, rates), "id long, y array<double>"))
+        now = seats.join(place, "id").select("block", "id", "mine", "y")
+        place = checkpointed(now.groupBy("block").cogroup(held.groupBy("block")).applyInArrow(_mover(names, others, seed + r, rates), "id long, y array<double>"))
     return place.select("id", F.col("y").alias("v"))
 
 
