@@ -4,7 +4,7 @@ Each row's weights to its nearest others (cosine distance) fall off from the nea
 two directions of an edge are joined as a fuzzy union. The layout begins with principal components and goes on in rounds: rows are dealt to blocks of near rows,
 and each block moves its own rows for STEPS steps, drawn by sampled edges and pushed by a sample of all rows; rows of other blocks stand still until the next
 round. A block holds BLOCK_ROWS rows with their own edges, so memory is bounded, and the driver sees SAMPLE positions a round. Edges travel without positions,
-as lists; the position of a row goes to a block once a round, however many of its edges lead there."""
+as lists; the position of a row goes once a round to a party of neighbouring blocks (about QUERY_ROWS rows), however many of its edges lead there."""
 
 from __future__ import annotations
 
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from chatloom.operators.density import density_clusters, sizes_for
 from chatloom.operators.graph import checkpointed
-from chatloom.operators.neighbours import Space, matrix, nearest, numbers
+from chatloom.operators.neighbours import PARTIES, QUERY_ROWS, Space, matrix, nearest, numbers
 from chatloom.operators.sampling import density_sample, fewer_dimensions
 from chatloom.operators.vector_quality import local_outliers, unit
 
@@ -68,17 +68,30 @@ def neighbour_graph(df: DataFrame, neighbours: int = NEIGHBOURS) -> DataFrame:
 
 
 def _moved(seats: pa.Table, edges: pa.Table, names: np.ndarray, others: np.ndarray, seed: int, rates: np.ndarray) -> pa.Table:
-    """The rows of a block after its steps. seats: places of the block's own rows (mine) and, once each, of the others that its edges lead to; names, others: ids and places of the rows that push."""
+    """The rows of a party's blocks after their steps. seats: places of the party's own rows and, once each (block -1), of the others that its edges lead to; names, others: ids and places of the rows that push."""
     ids = numbers(seats.column("id"))
     order = np.argsort(ids, kind="stable")
-    ids, y, own = ids[order], matrix(seats.column("y"))[order], numbers(seats.column("mine"))[order].astype(bool)
-    far, there, ids, y = ids[~own], y[~own], ids[own], y[own]
+    ids, y, block = ids[order], matrix(seats.column("y"))[order], numbers(seats.column("block"))[order]
+    many = numbers(pc.list_value_length(edges.column("b")))
+    a, home = (np.repeat(numbers(edges.column(c)), many) for c in ("a", "block"))
+    b, w = (numbers(pc.list_flatten(edges.column(c))) for c in ("b", "w"))
+    order = np.lexsort((b, a, home))
+    a, b, w, home = a[order], b[order], w[order], home[order]
+    moved, kept = [], []
+    for k in np.unique(block[block >= 0]).tolist():
+        own, part = block == k, slice(*np.searchsorted(home, [k, k + 1]).tolist())
+        far = np.setdiff1d(b[part], ids[own])
+        moved.append(_steps(ids[own], y[own], a[part], b[part], w[part], far, y[np.searchsorted(ids, far)], names, others, seed, rates))
+        kept.append(ids[own])
+    y = np.concatenate(moved)
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(y) + 1, dtype=np.int32) * y.shape[1]), pa.array(y.ravel()))
+    return pa.table({"id": pa.array(np.concatenate(kept)), "y": lists})
+
+
+def _steps(ids: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray, w: np.ndarray, far: np.ndarray, there: np.ndarray, names: np.ndarray, others: np.ndarray, seed: int, rates: np.ndarray) -> np.ndarray:
+    """Places y of a block's rows (ids) after its steps along edges a, b, w; far, there: the rows of other blocks that edges lead to."""
     rng = np.random.default_rng([seed, int(ids[0]) & 0xFFFFFFFF])
-    if len(edges):
-        a = np.repeat(numbers(edges.column("a")), numbers(pc.list_value_length(edges.column("b"))))
-        b, w = (numbers(pc.list_flatten(edges.column(c))) for c in ("b", "w"))
-        order = np.lexsort((b, a))
-        a, b, w = a[order], b[order], w[order]
+    if len(a):
         mine = np.searchsorted(ids, a)
         inner = np.minimum(np.searchsorted(ids, b), len(ids) - 1)
         other = np.where(ids[inner] == b, inner, len(ids) + np.searchsorted(far, b))
@@ -100,8 +113,7 @@ def _moved(seats: pa.Table, edges: pa.Table, names: np.ndarray, others: np.ndarr
             push = 2 * B / ((0.001 + d2) * (1 + A * d2**B))
             np.add.at(force, i5, np.where(d2 > 0, 1, 0)[:, None] * np.clip(push[:, None] * delta, -CLIP, CLIP))
             y += rate * force / np.maximum(np.bincount(i, minlength=len(y)), 1)[:, None]
-    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(y) + 1, dtype=np.int32) * y.shape[1]), pa.array(y.ravel()))
-    return pa.table({"id": pa.array(ids), "y": lists})
+    return y
 
 
 def _mover(names: np.ndarray, others: np.ndarray, seed: int, rates: np.ndarray) -> Callable[[pa.Table, pa.Table], pa.Table]:
@@ -109,9 +121,9 @@ def _mover(names: np.ndarray, others: np.ndarray, seed: int, rates: np.ndarray)
 
 
 def seated(blocks: DataFrame, held: DataFrame) -> DataFrame:
-    """block, id, mine: whose places a block needs in a round, each once: its own rows (of blocks: id, block), and rows of other blocks that its edges (b of held) lead to."""
-    met = held.select("block", F.explode("b").alias("id")).distinct().join(blocks.withColumnRenamed("block", "home"), "id")
-    return blocks.select("block", "id", F.lit(True).alias("mine")).union(met.where("home <> block").select("block", "id", F.lit(False)))
+    """party, block, id: whose places a party of blocks needs in a round, each once: its own rows (of blocks: id, block, party), and with block -1 rows of other parties that its edges (b of held) lead to."""
+    met = held.select("party", F.explode("b").alias("id")).distinct().join(blocks.select("id", F.col("party").alias("home")), "id")
+    return blocks.select("party", "block", "id").union(met.where("home <> party").select("party", F.lit(-1).cast("long"), "id"))
 
 
 def projected(df: DataFrame, dimensions: int, neighbours: int = NEIGHBOURS, rounds: int = ROUNDS, seed: int = 42) -> DataFrame:
@@ -124,9 +136,9 @@ def projected(df: DataFrame, dimensions: int, neighbours: int = NEIGHBOURS, roun
     largest = first.agg(F.max(F.array_max(F.transform("v", F.abs))).alias("m")).first()["m"] or 1.0  # sums of floats differ in their last digits by how rows are dealt, so places are rounded
     place = checkpointed(first.select("id", F.transform("v", lambda x: F.round(x * (10 / largest), 6)).alias("y")))
     space = Space(unit(rows).select("id", F.col("u").alias("v")))
-    blocks = checkpointed(space.rows.select("id", "block"))
-    held = neighbour_graph(rows, min(neighbours, n)).join(blocks.toDF("a", "block"), "a").groupBy("block", "a").agg(F.array_sort(F.collect_list(F.struct("b", "w"))).alias("to"))  # neighbours - 1 at most
-    held = checkpointed(held.select("block", "a", "to.b", "to.w"))
+    blocks = checkpointed(space.dealt(space.rows.select("id", "cell", "block"), QUERY_ROWS, PARTIES, "party").select("id", "block", "party"))
+    held = neighbour_graph(rows, min(neighbours, n)).join(blocks.toDF("a", "block", "party"), "a").groupBy("party", "block", "a").agg(F.array_sort(F.collect_list(F.struct("b", "w"))).alias("to"))  # neighbours - 1 at most
+    held = checkpointed(held.select("party", "block", "a", "to.b", "to.w"))
     seats = checkpointed(seated(blocks, held))
     total = rounds * STEPS
     for r in range(rounds):
@@ -134,8 +146,8 @@ def projected(df: DataFrame, dimensions: int, neighbours: int = NEIGHBOURS, roun
         sample = place.orderBy(order, "id").limit(SAMPLE).collect()  # SAMPLE rows
         names, others = np.array([x["id"] for x in sample], np.int64), np.array([x["y"] for x in sample], np.float64)
         rates = 1 - np.arange(r * STEPS, (r + 1) * STEPS) / total
-        now = seats.join(place, "id").select("block", "id", "mine", "y")
-        place = checkpointed(now.groupBy("block").cogroup(held.groupBy("block")).applyInArrow(_mover(names, others, seed + r, rates), "id long, y array<double>"))
+        now = seats.join(place, "id").select("party", "block", "id", "y")
+        place = checkpointed(now.groupBy("party").cogroup(held.groupBy("party")).applyInArrow(_mover(names, others, seed + r, rates), "id long, y array<double>"))
     return place.select("id", F.col("y").alias("v"))
 
 
