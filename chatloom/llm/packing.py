@@ -7,7 +7,8 @@ one is left. k starts at total / capacity, rounded up, and rises whenever a set
 it reads, block by block: there is no shuffle, and memory is bounded by a block.
 
 Tokens: white space always ends a token of this vocabulary, so the distinct words of a slice are encoded once and a
-document's ids are its words' ids in a row; tests compare that with the tokeniser's result for whole texts.
+document's ids are its words' ids in a row; so does the edge between letters and signs, so case and signs don't make a word
+new. Tests compare that with the tokeniser's result for whole texts.
 
 Defined results: a null text counts as empty and has the end id alone; rows that repeat are packed as often; sequence_id is
 the task's number times 2^33 plus a count; padded_to is `capacity` but for sequences whose length is a power of two; an empty
@@ -17,12 +18,15 @@ table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import heapq
+import json
 import os
+import re
 from collections.abc import Iterator
 from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,8 +36,22 @@ from chatloom.llm.common import documents, slices, trim
 CAPACITY, PIECE, BLOCK_WINDOWS, END = 4096, 1024, 128, 2
 #: Words (some 200 bytes each) that a worker remembers if not told otherwise, and the longest word that it does.
 CACHE, CACHED_CHARS = 1_000_000, 64
-#: Words that the tokeniser gets as one pre-split text.
+#: Words that the tokeniser gets as one text.
 TOGETHER = 1000
+#: Letters that no normal form changes and signs after them, neither of which can be part of a special token's end: the rules below split such a word between both.
+PARTS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:&#$*]*)")
+#: Normaliser, pre-tokeniser and end of a run in vocabularies for which that holds.
+RULES = [
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "</w>",
+]
 SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, sequence_tokens long, ids binary"
 
 
@@ -45,6 +63,12 @@ class WordIds(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), CACHE
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        splits = [spec["normalizer"], spec["pre_tokenizer"], spec["model"].get("end_of_word_suffix")] == RULES
+        #: For each id whether it ends a run of letters; None where the vocabulary follows other rules.
+        self.ends = np.array([t.endswith("</w>") for t, _ in sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])]) if splits else None
+        del spec
         trim()  # reading takes more than the vocabulary keeps
 
     def encode(self, words: list[str]) -> list[bytes]:
@@ -56,19 +80,47 @@ class WordIds(dict):
             out += [blob[a:b] for a, b in pairwise([0, *(4 * np.cumsum(sizes)).tolist()])]
         return out
 
+    def encode_letters(self, words: list[str]) -> list[bytes]:
+        """The same for words of letters alone: one text of them costs half of what as many pre-split words do."""
+        groups = [words[i : i + TOGETHER] for i in range(0, len(words), TOGETHER)]
+        out: list[bytes] = []
+        for group, e in zip(groups, self.tokenizer.encode_batch_fast(list(map(" ".join, groups)), add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, "<u4")
+            blob, ends = ids.tobytes(), (4 * np.flatnonzero(self.ends[ids]) + 4).tolist()
+            out += [blob[a:b] for a, b in zip([0, *ends], ends, strict=False)] if len(ends) == len(group) else self.encode(group)
+        return out
+
+    def learn(self, words: list[str]) -> None:
+        """Remember new words. Letters in either case, and letters with signs after them, get their ids from those of the lower-cased letters and of the signs."""
+        found = [(w, m[1].lower(), m[2]) for w in words if (m := PARTS.fullmatch(w))] if self.ends is not None else []
+        letters = [x for x in {x for _, x, _ in found} if x not in self]
+        ids = dict(zip(letters, self.encode_letters(letters), strict=True))
+        self.update(ids)
+        rest = words if not found else [w for w in words if not PARTS.fullmatch(w)]
+        signs = {x for _, _, x in found if x}
+        other = [x for x in {*rest, *signs} if x not in self]
+        self.update(zip(other, self.encode(other), strict=True))
+        after = {x: self[x] for x in signs} | {"": b""}
+        self.update([(w, (ids.get(a) or self[a]) + after[b]) for w, a, b in found])
+
     def __missing__(self, word: str) -> bytes:
         return self.encode([word])[0]
 
     def of(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, with the end id."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        """The ids of each text, with the end id. Arrow finds the different words of all texts and lays their ids out in a row."""
+        split = pc.split_pattern(pa.array([t.replace("\n", " ") for t in texts], pa.large_string()), " ")
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist makes an Arrow object for each
         if len(self) > self.most:
             self.clear()
-        new = [w for w in set().union(*split) if w not in self and len(w) <= CACHED_CHARS]  # set.difference would walk all of a subclass of dict
+        found = list(map(self.get, words))
+        new = [w for w, x in zip(words, found, strict=True) if x is None and len(w) <= CACHED_CHARS]  # set.difference would walk all of a subclass of dict
         for i in range(0, len(new), 10_000):
-            self.update(zip(new[i : i + 10_000], self.encode(new[i : i + 10_000]), strict=True))
-        end = np.array([END], "<u4").tobytes()
-        return [b"".join([*map(self.__getitem__, ws), end]) for ws in split]
+            self.learn(new[i : i + 10_000])
+        ids = pa.array([self[w] if x is None else x for w, x in zip(words, found, strict=True)], pa.large_binary()).take(coded.indices)
+        ends = np.concatenate([[0], np.cumsum(pc.binary_length(ids).to_numpy())])[split.offsets.to_numpy()].tolist()
+        blob, end = memoryview(ids.buffers()[2] or b""), np.array([END], "<u4").tobytes()
+        return [b"".join((blob[a:b], end)) for a, b in pairwise(ends)]
 
 
 _loaded: dict[str, WordIds] = {}
