@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 
 from chatloom.functions.vectors import sigmoid
 
-#: Phrases that each task holds at once (8 MB of vectors for 64 numbers each); more are met block by block.
+#: Phrases that each task holds at once (8 MB of vectors for 64 numbers each) and that pass the driver at most; more are met block by block.
 PHRASES = 16_384
 #: Scores that a task holds at once (8 MB): as many messages as that allows meet a block of phrases together.
 CELLS = 1 << 20
+#: Messages of a share, which meets every block of phrases in a task; its messages pass through in Arrow batches.
+MESSAGES = 65_536
 
 
 @dataclass(frozen=True)
@@ -53,44 +55,86 @@ def phrase_blocks(phrases: DataFrame) -> Iterator[list]:
 
 def theme_scores(messages: DataFrame, phrases: DataFrame) -> DataFrame:
     """message, theme, score, phrase: the best cosine over a theme's phrases (ties to nine digits: the first phrase). Each task multiplies
-    slices of messages with a block of phrases at a time, CELLS scores at once; a theme's best of several blocks is an aggregate."""
-    found = [_block_scores(messages, rows) for rows in phrase_blocks(phrases)]
-    if len(found) < 2:
-        return found[0] if found else _block_scores(messages, [])
+    slices of messages with a block of phrases at a time, CELLS scores at once. Up to PHRASES phrases are broadcast; more are cut into blocks that
+    meet shares of the messages by shuffle, and a theme's best of several blocks is an aggregate."""
+    rows = phrases.orderBy("theme", "phrase").limit(PHRASES + 1).collect()
+    if len(rows) <= PHRASES:
+        return _block_scores(messages, rows)
     best = F.max(F.struct(F.round("score", 9).alias("s"), (-F.col("phrase")).alias("p"), "score"))
-    return reduce(DataFrame.union, found).groupBy("message", "theme").agg(best.alias("b")).select("message", "theme", "b.score", (-F.col("b.p")).alias("phrase"))
+    return _dealt_scores(messages, phrases).groupBy("message", "theme").agg(best.alias("b")).select("message", "theme", "b.score", (-F.col("b.p")).alias("phrase"))
 
 
-def _block_scores(messages: DataFrame, rows: list) -> DataFrame:
-    themes = np.array([r["theme"] for r in rows], np.int64)
-    ids = np.array([r["phrase"] for r in rows], np.int64)
-    m = np.array([r["v"] for r in rows], np.float64).reshape(len(rows), -1) if rows else np.zeros((0, 0))
+def _block(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Unit vectors, ids and themes of (theme, phrase, v), ordered by theme and phrase, and where a theme starts."""
+    themes = np.array([r[0] for r in rows], np.int64)
+    ids = np.array([r[1] for r in rows], np.int64)
+    m = np.array([r[2] for r in rows], np.float64).reshape(len(rows), -1) if rows else np.zeros((0, 0))
     length = np.sqrt((m * m).sum(1, keepdims=True))
     m = np.divide(m, length, out=np.zeros_like(m), where=length > 0)
-    starts = np.flatnonzero(np.r_[True, themes[1:] != themes[:-1]]) if len(rows) else np.zeros(0, int)
-    shared = messages.sparkSession.sparkContext.broadcast((m, ids, themes, starts))
+    return m, ids, themes, np.flatnonzero(np.r_[True, themes[1:] != themes[:-1]]) if len(rows) else np.zeros(0, int)
+
+
+def _best_of_block(whole: pa.RecordBatch, block: tuple) -> Iterator[pa.RecordBatch]:
+    """The best phrase of each theme in the block, for messages (message, v)."""
+    m, ids, themes, starts = block
+    step = max(1, CELLS // len(m))
+    for low in range(0, len(whole), step):
+        b = whole.slice(low, step)
+        x = np.array(b.column(1).to_pylist(), np.float64).reshape(len(b), -1)
+        size = np.sqrt((x * x).sum(1, keepdims=True))
+        s = np.divide(x, size, out=np.zeros_like(x), where=size > 0) @ m.T
+        rounded = np.round(s, 9)
+        ends = np.r_[starts[1:], len(m)]
+        at = np.stack([a + rounded[:, a:e].argmax(1) for a, e in zip(starts.tolist(), ends.tolist(), strict=True)], 1)
+        found = [np.tile(themes[starts], len(b)), np.take_along_axis(s, at, 1).ravel(), ids[at].ravel()]
+        messages = b.column(0).take(pa.array(np.repeat(np.arange(len(b)), len(starts))))
+        yield pa.RecordBatch.from_arrays([messages, *map(pa.array, found)], ["message", "theme", "score", "phrase"])
+
+
+def _block_scores(messages: DataFrame, rows: list) -> DataFrame:
+    shared = messages.sparkSession.sparkContext.broadcast(_block([(r["theme"], r["phrase"], r["v"]) for r in rows]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, ids, themes, starts = shared.value
-        if not len(m):
-            return
-        step = max(1, CELLS // len(m))
-        for whole in batches:
-            for low in range(0, len(whole), step):
-                b = whole.slice(low, step)
-                x = np.array(b.column(1).to_pylist(), np.float64).reshape(len(b), -1)
-                size = np.sqrt((x * x).sum(1, keepdims=True))
-                s = np.divide(x, size, out=np.zeros_like(x), where=size > 0) @ m.T
-                rounded = np.round(s, 9)
-                ends = np.r_[starts[1:], len(m)]
-                at = np.stack([a + rounded[:, a:e].argmax(1) for a, e in zip(starts.tolist(), ends.tolist(), strict=True)], 1)
-                found = [np.tile(themes[starts], len(b)), np.take_along_axis(s, at, 1).ravel(), ids[at].ravel()]
-                messages = b.column(0).take(pa.array(np.repeat(np.arange(len(b)), len(starts))))
-                yield pa.RecordBatch.from_arrays([messages, *map(pa.array, found)], ["message", "theme", "score", "phrase"])
+        if len(shared.value[0]):
+            for b in batches:
+                yield from _best_of_block(b, shared.value)
 
     return messages.select("message", "v").mapInArrow(run, "message long, theme long, score double, phrase long")
 
 
+def _dealt_scores(messages: DataFrame, phrases: DataFrame) -> DataFrame:
+    """The best of each block of phrases for each message. Ranges of about PHRASES phrases go to every share of about MESSAGES messages, and each share
+    to every range; a task holds one range and an Arrow batch of messages."""
+    blocks, shares = (max(1, -(-df.count() // most)) for df, most in ((phrases, PHRASES), (messages, MESSAGES)))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    a = phrases.select(F.col("theme").cast("long").alias("theme"), F.col("phrase").cast("long").alias("id"), "v").repartitionByRange(blocks, "theme", "id")
+    a = a.withColumn("block", F.spark_partition_id()).select(every(shares).alias("share"), "block", "theme", "id", "v", F.lit(0).alias("side"))
+    b = messages.select(F.pmod(F.xxhash64("message", "v"), F.lit(shares)).cast("int").alias("share"), every(blocks).alias("block"), F.lit(None).cast("long").alias("theme"), F.col("message").cast("long").alias("id"), "v", F.lit(1).alias("side"))
+    rows = a.unionByName(b).repartition("share", "block").sortWithinPartitions("share", "block", "side", "theme", "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, phrases, block = None, [], None
+        for whole in batches:
+            keys = np.stack([whole.column(i).to_numpy() for i in range(3)])
+            edges = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(0)) + 1).tolist(), len(whole)]
+            for low, high in pairwise(edges):
+                b = whole.slice(low, high - low)
+                if not len(b):
+                    continue
+                share, number, side = keys[:, low].tolist()
+                if key != (share, number):
+                    key, phrases, block = (share, number), [], None
+                if not side:
+                    phrases += zip(*(b.column(i).to_pylist() for i in (3, 4, 5)), strict=True)
+                    continue
+                if block is None:
+                    block, phrases = _block(phrases), []
+                if len(block[0]):
+                    yield from _best_of_block(b.select([4, 5]), block)
+
+    return rows.select("share", "block", "side", "theme", "id", "v").mapInArrow(run, "message long, theme long, score double, phrase long")
+
+
 def decide(scores: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """message, theme, score, gap, status of each message; columns message, theme, score. With one theme the gap is 1."""
     w = W.partitionBy("message").orderBy(F.desc("s"), "theme")
