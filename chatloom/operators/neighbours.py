@@ -22,6 +22,8 @@ from chatloom.operators.graph import checkpointed
 PIVOTS, PIVOT_ROWS, BLOCK_ROWS, QUERY_ROWS, TARGET_ROWS = 256, 256, 2048, 32_768, 65_536
 #: Parties and slabs of a table that isn't too large for them.
 PARTIES, SLABS = 8, 8
+#: Rows of a table for each task at least, but for PARTIES tasks.
+TASK_ROWS = 2048
 #: Rows that a step of a task compares with a block.
 STEP = 512
 #: Slack of a bound, for the rounding of distances to nine digits and of floats.
@@ -52,18 +54,52 @@ def about(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.maximum((x * x).sum(1)[:, None] + (y * y).sum(1) - 2 * (x @ y.T), 0)
 
 
+def _places(hits: np.ndarray) -> np.ndarray:
+    """Flat places of the true values, which are few mostly: eight at a time are looked at."""
+    flat = hits.ravel()
+    whole = len(flat) // 8 * 8
+    words = np.flatnonzero(flat[:whole].view(np.uint64))
+    if len(words) > whole // 64:
+        return np.flatnonzero(flat)
+    some = np.concatenate([(words[:, None] * 8 + np.arange(8)).ravel(), np.arange(whole, len(flat))])
+    return some[flat[some]]
+
+
 def within(x: np.ndarray, y: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row of x, row of y, distance) of all pairs up to `most` apart, which has a value for each row of x."""
+    """(row of x, row of y, distance) of all pairs up to `most` apart, which has a value for each row of x. Products of short floats come first where their error is small against the distances;
+    it is allowed for, so they leave out no pair."""
     sx, sy = (x * x).sum(1), (y * y).sum(1)
-    room = (most + SLACK) ** 2 + 1e-12 * (sx + sy.max(initial=0, where=np.isfinite(sy)))
-    near = x @ y.T
-    near -= sy / 2
-    i, j = np.nonzero(near >= ((sx - room) / 2)[:, None])
+    top = sy.max(initial=0, where=np.isfinite(sy))
+    room = (most + SLACK) ** 2 + 1e-12 * (sx + top)
+    least = (sx - room) / 2
+    error = (x.shape[1] + 9) * 2.0**-23 * (np.sqrt(sx * top) + top + sx)
+    if np.isfinite(sy).all() and sx.max(initial=0) + top < 1e30 and (error <= room / 1024).all():
+        short = np.empty((len(y), y.shape[1] + 1), np.float32)
+        short[:, :-1], short[:, -1] = y, sy / -2
+        near = np.concatenate([x.astype(np.float32), np.ones((len(x), 1), np.float32)], axis=1) @ short.T
+        least = (least - error - 2.0**-23 * np.minimum(room, 1e30)).astype(np.float32)
+    else:
+        near = x @ y.T
+        near -= sy / 2
+    i, j = np.divmod(_places(near >= least[:, None]), max(1, len(y)))
     d = exact(x[i], y[j])
     keep = d <= most[i]
     return i[keep], j[keep], d[keep]
 
 
+def keyed(rows: DataFrame, name: str, key: str, most: int) -> tuple[DataFrame, int]:
+    """name, key of each of the groups that a column of rows names, and a number of tasks, `most` at most: a shuffle by the key to so many tasks deals the groups evenly, each to a task of its own if there are enough."""
+    spark = rows.sparkSession
+    groups = sorted(r[name] for r in rows.select(name).distinct().collect())  # one row a group
+    n = max(1, min(len(groups), most))
+    times = -(-len(groups) // n)
+    tasks = spark.range(64 * (times + 1) * n).select("id", F.pmod(F.hash("id"), F.lit(n)).alias("task"))
+    tasks = tasks.withColumn("nth", F.row_number().over(W.partitionBy("task").orderBy("id"))).where(F.col("nth") <= times)
+    keys = [r["id"] for r in tasks.orderBy("nth", "task").limit(len(groups)).collect()] if groups else []
+    keys += [-1 - i for i in range(len(groups) - len(keys))]  # too few numbers led to a task: unlikely
+    return F.broadcast(spark.createDataFrame(list(zip(groups, keys, strict=True)), f"{name} long, {key} long")), n
+
+
 class Space:
     """Vectors (id, v) in cells and blocks. rows: id, v, cell, block; edges of cells on the driver."""
 
@@ -143,9 +179,15 @@ class Space:
 
         queries = checkpointed(self.dealt(queries.select("id", "v", "most", "cell", "block", *extra), QUERY_ROWS, PARTIES, "party"))
         asked = queries.select("party", "v", "most", *extra[:1]).mapInArrow(asks, "party long, cell long").distinct()
-        there = checkpointed(self.dealt(targets, TARGET_ROWS, SLABS, "slab").join(F.broadcast(checkpointed(asked)), "cell").drop("cell"))
-        pairs = there.select("party", F.col("slab").alias("to")).distinct()
-        return queries.join(F.broadcast(pairs), "party").groupBy("party", "to").cogroup(there.groupBy("party", "slab")).applyInArrow(run, schema)
+        there = self.dealt(targets, TARGET_ROWS, SLABS, "slab")
+        pairs = asked.join(F.broadcast(there.select("cell", "slab").distinct()), "cell")  # parties times pivots, and a few more, at most
+        pairs = checkpointed(pairs.withColumn("pair", F.col("party") * _BLOCKS + F.col("slab")))
+        keys, tasks = keyed(pairs, "pair", "key", max(PARTIES, self.count // TASK_ROWS))
+        pairs = checkpointed(pairs.join(keys, "pair"))
+        visits, slabs = pairs.select("party", "key").distinct(), pairs.select("cell", "slab", F.col("key").alias("to"))
+        came = queries.join(F.broadcast(visits), "party").repartition(tasks, "key")
+        there = there.join(F.broadcast(slabs), ["cell", "slab"]).drop("cell", "slab").repartition(tasks, "to")
+        return came.groupBy("key").cogroup(there.groupBy("to")).applyInArrow(run, schema)
 
 
 def _pairs(a: np.ndarray, b: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,8 +199,18 @@ def _pairs(a: np.ndarray, b: np.ndarray, d: np.ndarray, k: int) -> tuple[np.ndar
     return a[keep], b[keep], d[keep]
 
 
-def _table(a: np.ndarray, b: np.ndarray, d: np.ndarray) -> pa.Table:
-    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "d": pa.array(d, pa.float64())})
+def _by_row(row: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """An order by row (of one step's) and distance, which has nine digits: by one whole number, if it has room for both."""
+    row = row - row.min(initial=row[0] if len(row) else 0)
+    if d.max(initial=0) >= 1 << 23:
+        return np.lexsort((d, row))
+    return np.argsort((row << 53) + np.rint(d * 1e9).astype(np.int64))
+
+
+def _lists(row: np.ndarray, b: np.ndarray, d: np.ndarray, n: int) -> pa.ListArray:
+    """d, b of each of n rows, out of pairs in the order of their rows."""
+    ends = np.searchsorted(row, np.arange(n + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(d, pa.float64()), pa.array(b, pa.int64())], ["d", "b"]))
 
 
 def distinct_enough(df: DataFrame, k: int) -> DataFrame:
@@ -169,14 +221,18 @@ def distinct_enough(df: DataFrame, k: int) -> DataFrame:
 
 def nearest_in(space: Space, k: int) -> DataFrame:
     """a, b, d: the k nearest others of each row of a space by distance (ties: the smaller id); fewer where there are fewer rows."""
+    return nearest_lists(space, k).select("a", F.explode("near").alias("n")).select("a", "n.b", "n.d")
+
+
+def nearest_lists(space: Space, k: int) -> DataFrame:
+    """a, near: the same as lists of d, b, nearest first."""
 
     def own(t: pa.Table) -> pa.Table:
         x, ids = matrix(t.column("v")), numbers(t.column("id"))
-        block = numbers(t.column("block"))
-        most, parts = np.full(len(x), np.inf), []
-        for at in range(0, len(x), 512):
-            d2 = about(x[at : at + 512], x)
-            some = np.arange(at, min(at + 512, len(x)))
+        most, parts = np.full(len(x), np.inf), [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+        for at in range(0, len(x), STEP):
+            d2 = about(x[at : at + STEP], x)
+            some = np.arange(at, min(at + STEP, len(x)))
             d2[some - at, some] = np.inf
             kk = min(k, len(x) - 1)
             if kk < 1:
@@ -184,68 +240,71 @@ def nearest_in(space: Space, k: int) -> DataFrame:
             reach = np.sqrt(np.partition(d2, kk - 1, axis=1)[:, kk - 1]) * (1 + 1e-7) + 1e-6
             i, j, d = within(x[some], x, reach)
             i, j, d = i[i + at != j], j[i + at != j], d[i + at != j]
-            a, b, d = _pairs(ids[some][i], ids[j], d, k)
-            parts.append((a, b, d))
+            row, b, d = _pairs(some[i], ids[j], d, k)
+            parts.append((row, b, d))
             if kk == k:
-                last = dict(zip(a.tolist(), d.tolist(), strict=True))  # the k-th is written last
-                most[some] = [last[i] for i in ids[some].tolist()]
-        near: dict[int, list] = {i: [] for i in ids.tolist()}
-        for a, b, d in parts:
-            for i, j, e in zip(a.tolist(), b.tolist(), d.tolist(), strict=True):
-                near[i].append({"b": j, "d": e})
-        return pa.table({"id": pa.array(ids), "v": t.column("v"), "block": pa.array(block), "most": pa.array(most), "near": pa.array([near[i] for i in ids.tolist()], pa.list_(pa.struct([("b", pa.int64()), ("d", pa.float64())])))})
+                most[some] = d[np.searchsorted(row, some, "right") - 1]  # the k-th is the last
+        row, b, d = (np.concatenate(c) for c in zip(*parts, strict=True))
+        return pa.table({"id": pa.array(ids), "v": t.column("v"), "block": t.column("block"), "most": pa.array(most), "near": _lists(row, b, d, len(x))})
 
     def kernel(q: pa.Table, t: pa.Table, tiles: Iterator) -> pa.Table:
         x, y, most = matrix(q.column("v")), matrix(t.column("v")), numbers(q.column("most")).astype(np.float64)
         a, b = numbers(q.column("id")), numbers(t.column("id"))
         out, parts, first, found = [], [], -1, 0
 
-        def nearest_yet() -> tuple:
-            """The k nearest that a step's rows have found, which bound what else they need."""
+        def nearest_yet(last: bool) -> tuple:
+            """The k nearest that a step's rows have found (and rows as near as the k-th, but at last), which bound what else they need."""
             nonlocal parts, found
             i, j, d = (np.concatenate(c) for c in zip(*parts, strict=True))
-            order = np.lexsort((b[j], d, i))
+            keep = d <= most[i]
+            i, j, d = i[keep], j[keep], d[keep]
+            order = np.lexsort((b[j], d, i)) if last else _by_row(i, d)
             i, j, d = i[order], j[order], d[order]
             start = np.flatnonzero(np.diff(i, prepend=-1))
-            nth = np.arange(len(i)) - np.repeat(start, np.diff(start, append=len(i)))
-            last = nth == k - 1
-            most[i[last]] = np.minimum(most[i[last]], d[last])
-            parts, found = [(i[nth < k], j[nth < k], d[nth < k])], 0
+            many = np.diff(start, append=len(i))
+            kth = start[many >= k] + k - 1
+            most[i[kth]] = np.minimum(most[i[kth]], d[kth])
+            keep = np.arange(len(i)) - np.repeat(start, many) < k if last else d <= most[i]
+            parts, found = [(i[keep], j[keep], d[keep])], 0
             return parts[0]
 
         for rows, block in tiles:
             if parts and rows[0] // STEP != first:
-                out.append(nearest_yet())
+                out.append(nearest_yet(True))
                 parts, found = [], 0
             first = rows[0] // STEP
             i, j, d = within(x[rows], y[block], most[rows])
             parts.append((rows[i], j + block.start, d))
             found += len(i)
             if found > 2 * k * STEP:
-                nearest_yet()
+                nearest_yet(False)
         if parts:
-            out.append(nearest_yet())
-        if not out:
-            return _table([], [], [])
-        i, j, d = (np.concatenate(c) for c in zip(*out, strict=True))
-        return _table(a[i], b[j], d)
+            out.append(nearest_yet(True))
+        i, j, d = (np.concatenate(c) for c in zip((np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)), *out, strict=True))
+        rows, place = np.unique(i, return_inverse=True)  # steps come one after the other, so i rises
+        return pa.table({"a": pa.array(a[rows], pa.int64()), "near": _lists(place, b[j], d, len(rows))})
 
-    met = checkpointed(space.rows.groupBy("block").applyInArrow(own, "id long, v array<double>, block long, most double, near array<struct<b:long,d:double>>"))
+    lists = "near array<struct<d:double,b:long>>"
+    met = checkpointed(space.rows.groupBy("block").applyInArrow(own, f"id long, v array<double>, block long, most double, {lists}"))
     met = met.withColumn("cell", F.floor(F.col("block") / _BLOCKS).cast("long"))
-    first = met.select(F.col("id").alias("a"), F.explode("near").alias("n")).select("a", "n.b", "n.d")
-    more = space.meet(met, [], space.rows, kernel, "a long, b long, d double", own=False)
-    nth = F.row_number().over(W.partitionBy("a").orderBy("d", "b"))
-    return first.union(more).withColumn("nth", nth).where(F.col("nth") <= k).drop("nth")
+    more = space.meet(met, [], space.rows, kernel, f"a long, {lists}", own=False)
+    near = met.select(F.col("id").alias("a"), "near").union(more).groupBy("a").agg(F.flatten(F.collect_list("near")).alias("near"))  # k of each slab at most
+    return near.select("a", F.slice(F.array_sort("near"), 1, k).alias("near"))
 
 
 def nearest(df: DataFrame, k: int) -> DataFrame:
     """a, b, d: the k nearest others of each row (id, v) by Euclidean distance rounded to nine digits (ties: the smaller id)."""
+    return listed(df, k).select("a", F.explode("near").alias("n")).select("a", "n.b", "n.d")
+
+
+def listed(df: DataFrame, k: int) -> DataFrame:
+    """a, near: the same as lists of d, b, nearest first."""
     rows = checkpointed(df.select("id", F.col("v").cast("array<double>").alias("v")))
     some = checkpointed(distinct_enough(rows, k))
     if some.isEmpty():
-        return df.sparkSession.createDataFrame([], "a long, b long, d double")
-    found = nearest_in(Space(some), k)
+        return df.sparkSession.createDataFrame([], "a long, near array<struct<d:double,b:long>>")
+    found = nearest_lists(Space(some), k)
     copies = rows.join(some.select("id"), "id", "left_anti")
     same = some.groupBy("v").agg(F.slice(F.array_sort(F.collect_list("id")), 1, k).alias("b"))  # k + 1 at most
-    rest = copies.join(same, "v").select(F.col("id").alias("a"), F.explode("b").alias("b"), F.lit(0.0).alias("d"))
+    rest = copies.join(same, "v").select(F.col("id").alias("a"), F.transform("b", lambda x: F.struct(F.lit(0.0).alias("d"), x.alias("b"))).alias("near"))
     return found.union(rest)

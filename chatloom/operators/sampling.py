@@ -77,6 +77,7 @@ def density_sample(labelled: DataFrame, size: int) -> DataFrame:
 
 def fewer_dimensions(df: DataFrame, k: int) -> DataFrame:
     """id, v with k principal components of the vectors at length 1."""
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    table = df.select("id", array_to_vector(F.transform("v", lambda x: F.when(norm > 0, x / norm).otherwise(0.0).cast("double"))).alias("features"))
+    norm = F.col("norm")  # a column of its own, or it is worked out again for each number
+    table = df.select("id", "v", F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("norm"))
+    table = table.select("id", array_to_vector(F.transform("v", lambda x: F.when(norm > 0, x / norm).otherwise(0.0).cast("double"))).alias("features"))
     return PCA(k=k, inputCol="features", outputCol="reduced").fit(table).transform(table).select("id", vector_to_array("reduced").alias("v"))

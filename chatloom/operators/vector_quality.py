@@ -18,8 +18,8 @@ from chatloom.operators.neighbours import nearest
 
 
 def unit(df: DataFrame) -> DataFrame:
-    n = norm(F.col("v"))
-    return df.withColumn("u", F.when(n > 0, F.transform("v", lambda x: x.cast("double") / n)).otherwise(F.transform("v", lambda x: F.lit(0.0))))
+    n = F.col("_norm")  # a column of its own, or it is worked out again for each number
+    return df.withColumn("_norm", norm(F.col("v"))).withColumn("u", F.when(n > 0, F.transform("v", lambda x: x.cast("double") / n)).otherwise(F.transform("v", lambda x: F.lit(0.0)))).drop("_norm")
 
 
 def vector_sums(df: DataFrame, by: str, v: str) -> DataFrame:
